@@ -8,7 +8,7 @@ may be large, and a minimum never gathers a group.
 
 from __future__ import annotations
 
-from typing import Sequence
+from typing import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -26,17 +26,23 @@ from tidewatch.functions.columns import (
 from tidewatch.operators.joins import salted_lookup
 from tidewatch.settings import Settings
 
-# (group column, prefix of the peer columns) -> names of the three peer means
-TERRITORY_PEERS = (
-    "avg_sales_of_dealers_in_same_territory",
-    "avg_orders_of_dealers_in_same_territory",
-    "avg_units_of_dealers_in_same_territory",
-)
-CLUB_PEERS = (
-    "avg_sales_of_dealers_in_same_dealer_club_category",
-    "avg_orders_of_dealers_in_dealer_club_category",
-    "avg_units_of_dealers_in_dealer_club_category",
-)
+# Group column -> {measure: name of its mean over the group's accounts}
+PEER_MEANS = {
+    "territory_code": {
+        "total_sales": "avg_sales_of_dealers_in_same_territory",
+        "total_invoices": "avg_orders_of_dealers_in_same_territory",
+        "total_units": "avg_units_of_dealers_in_same_territory",
+    },
+    "dealer_club_category": {
+        "total_sales": "avg_sales_of_dealers_in_same_dealer_club_category",
+        "total_invoices": "avg_orders_of_dealers_in_dealer_club_category",
+        "total_units": "avg_units_of_dealers_in_dealer_club_category",
+    },
+}
+ROTATION_MEANS = {
+    "territory_code": {"rotation": "terrwise_rotation"},
+    "dealer_club_category": {"rotation": "dealerclub_wise_rotation"},
+}
 
 
 def account_age(accounts: DataFrame, as_of: Column) -> DataFrame:
@@ -64,18 +70,14 @@ def monthly_totals(window_sales: DataFrame) -> DataFrame:
     )
 
 
-def month_count(window_sales: DataFrame) -> Column:
-    """Number of months with any sales in the windows (a scalar subquery)."""
-    months = window_sales.select(month_from_text(F.col("period")).alias("month"))
-    return months.agg(F.countDistinct("month").alias("n")).scalar()
+def month_count(totals: DataFrame) -> Column:
+    """Number of months in which any account sold (a scalar subquery)."""
+    return totals.agg(F.countDistinct("month").alias("n")).scalar()
 
 
-def monthly_sales(
-    window_sales: DataFrame, accounts: DataFrame, months: Column | None = None
-) -> DataFrame:
+def monthly_sales(totals: DataFrame, accounts: DataFrame) -> DataFrame:
     """Monthly totals, their share of the overall month count, and the account's groups."""
-    n = months if months is not None else month_count(window_sales)
-    totals = monthly_totals(window_sales)
+    n = month_count(totals)
     return totals.select(
         "*",
         (F.col("total_invoices") / n).alias("avg_invoices"),
@@ -88,29 +90,34 @@ def monthly_sales(
     )
 
 
-def group_means(
-    monthly: DataFrame, group: str, measures: Sequence[str], names: Sequence[str]
-) -> DataFrame:
-    """Mean of each measure per group and month; null groups are left out."""
+def group_means(monthly: DataFrame, group: str, means: Mapping[str, str]) -> DataFrame:
+    """Mean of each measure per group and month; null groups are left out.
+
+    ``means`` maps a measure to the name of its mean.
+    """
     return (
         monthly.filter(F.col(group).isNotNull())
         .groupBy(group, "month")
-        .agg(*[F.avg(m).alias(n) for m, n in zip(measures, names)])
+        .agg(*[F.avg(measure).alias(name) for measure, name in means.items()])
     )
 
 
-def with_peer_means(monthly: DataFrame) -> DataFrame:
-    """Means of the account's territory and club in the same month.
+def with_group_means(monthly: DataFrame, groups: Mapping[str, Mapping[str, str]]) -> DataFrame:
+    """Add the means of the account's groups in the same month.
 
     A territory or club may hold a third of all accounts: the means are
     pre-aggregated and looked up with a salted key, never windowed.
     """
-    measures = ("total_sales", "total_invoices", "total_units")
-    by_territory = group_means(monthly, "territory_code", measures, TERRITORY_PEERS)
-    by_club = group_means(monthly, "dealer_club_category", measures, CLUB_PEERS)
-    spread = F.col("dealer_code")
-    out = salted_lookup(monthly, by_territory, ["territory_code", "month"], spread)
-    return salted_lookup(out, by_club, ["dealer_club_category", "month"], spread)
+    out = monthly
+    for group, means in groups.items():
+        table = group_means(monthly, group, means)
+        out = salted_lookup(out, table, [group, "month"], F.col("dealer_code"))
+    return out
+
+
+def with_peer_means(monthly: DataFrame) -> DataFrame:
+    """Sales, order and unit means of the account's territory and club."""
+    return with_group_means(monthly, PEER_MEANS)
 
 
 # -- stock plan and club ---------------------------------------------------------
@@ -126,17 +133,25 @@ def club_month_shift(club_mapping: DataFrame, reference: Column) -> DataFrame:
     )
 
 
-def with_rotation(monthly: DataFrame, shifted_clubs: DataFrame) -> DataFrame:
-    """Sales over stock plan, with its territory and club means."""
-    plan = shifted_clubs.select("dealer_code", "month", F.col("sas_amount").cast("double").alias("sas_amount"))
-    joined = monthly.join(plan, ["dealer_code", "month"], "left").withColumn(
+def add_rotation(monthly: DataFrame, shifted_clubs: DataFrame) -> DataFrame:
+    """Stock plan of the month and sales over stock plan."""
+    plan = shifted_clubs.select(
+        "dealer_code", "month", F.col("sas_amount").cast("double").alias("sas_amount")
+    )
+    return monthly.join(plan, ["dealer_code", "month"], "left").withColumn(
         "rotation", float_ratio(F.col("total_sales"), F.col("sas_amount"))
     )
-    by_territory = group_means(joined, "territory_code", ["rotation"], ["terrwise_rotation"])
-    by_club = group_means(joined, "dealer_club_category", ["rotation"], ["dealerclub_wise_rotation"])
-    spread = F.col("dealer_code")
-    out = salted_lookup(joined, by_territory, ["territory_code", "month"], spread)
-    return salted_lookup(out, by_club, ["dealer_club_category", "month"], spread)
+
+
+def with_rotation(monthly: DataFrame, shifted_clubs: DataFrame) -> DataFrame:
+    """Rotation with its territory and club means."""
+    return with_group_means(add_rotation(monthly, shifted_clubs), ROTATION_MEANS)
+
+
+def with_peers_and_rotation(monthly: DataFrame, shifted_clubs: DataFrame) -> DataFrame:
+    """Both of the above with one aggregate and one lookup per group."""
+    both = {g: {**PEER_MEANS[g], **ROTATION_MEANS[g]} for g in PEER_MEANS}
+    return with_group_means(add_rotation(monthly, shifted_clubs), both)
 
 
 def club_moves(shifted_clubs: DataFrame, settings: Settings) -> DataFrame:

@@ -37,37 +37,53 @@ def monthly_wide(monthly: DataFrame, *month_features: DataFrame) -> DataFrame:
     return left_join_all(monthly, month_features, MONTH_KEY)
 
 
-def feature_pivot(
-    wide: DataFrame, settings: Settings, measures: Sequence[str] = PIVOT_MEASURES
-) -> DataFrame:
-    """One column per measure and relative month, named ``{measure}_cm-{n}``.
+def month_maps(wide: DataFrame, measures: Sequence[str] = PIVOT_MEASURES) -> DataFrame:
+    """One row per account with its months in a map ``{relative month: measures}``.
 
-    An account has at most one row per relative month, so its rows fit one
-    small map; a second row for the same month fails the job.  The map costs
-    a single aggregate whatever the number of measures.
+    An account has at most one row per relative month, so the map is small; a
+    second row for the same month fails the job.  It costs one aggregate
+    whatever the number of measures.
     """
     rows = F.struct(*[F.col(f"`{m}`").alias(m) for m in measures])
-    maps = wide.groupBy("dealer_code").agg(
+    return wide.groupBy("dealer_code").agg(
         F.map_from_entries(F.collect_list(F.struct("rel_month", rows))).alias("by_month")
     )
+
+
+def unfold(
+    maps: DataFrame, settings: Settings, measures: Sequence[str] = PIVOT_MEASURES
+) -> DataFrame:
+    """Replace the month map by columns named ``{measure}_cm-{n}``."""
+    others = [f"`{c}`" for c in maps.columns if c != "by_month"]
     columns = [
-        F.try_element_at("by_month", F.lit(n)).getField(m).alias(f"{m}_cm-{n}")
+        f"try_element_at(by_month, {n}).`{m}` AS `{m}_cm-{n}`"
         for m in measures
         for n in range(1, settings.relative_months + 1)
     ]
-    return maps.select("dealer_code", *columns)
+    return maps.selectExpr(*others, *columns)
+
+
+def feature_pivot(
+    wide: DataFrame, settings: Settings, measures: Sequence[str] = PIVOT_MEASURES
+) -> DataFrame:
+    """One row per account, one column per measure and relative month."""
+    return unfold(month_maps(wide, measures), settings, measures)
 
 
 def account_features(
-    pivoted: DataFrame,
+    maps: DataFrame,
     accounts: DataFrame,
     intervals: DataFrame,
     movements: DataFrame,
     territories: DataFrame,
     lifecycle: DataFrame,
+    settings: Settings,
 ) -> DataFrame:
-    """Pivoted measures with the account, territory and label columns."""
-    out = pivoted.join(
+    """Widened measures with the account, territory and label columns.
+
+    The joins run on the folded rows; the columns are unfolded last.
+    """
+    out = maps.join(
         accounts.select("dealer_code", "territory_code", "dealer_club_category", "dealership_age"),
         "dealer_code",
         "left",
@@ -78,6 +94,7 @@ def account_features(
         "territory_code",
         "left",
     )
-    return out.join(
+    out = out.join(
         lifecycle.select("dealer_code", "last_billed_days", "churn_status"), "dealer_code", "left"
     )
+    return unfold(out, settings)

@@ -1,4 +1,11 @@
-"""The feature build: source tables to one wide row per account."""
+"""The feature build: source tables to one wide row per account.
+
+Three small results are read by many later steps: the reference date (one
+row), the account windows (one row per account) and the monthly sales (at most
+13 rows per account).  ``build_*`` writes each of them once through ``stage``
+so that the sales lines are scanned a fixed number of times; pass ``keep_lazy``
+to get a single lazy plan instead.
+"""
 
 from __future__ import annotations
 
@@ -10,12 +17,20 @@ from pyspark.sql import Column, DataFrame
 from tidewatch.operators import lifecycle as lc
 from tidewatch.operators import measures as ms
 from tidewatch.operators import widen as wd
+from tidewatch.session import stage as write_and_reread
 from tidewatch.settings import Settings
 
+Stage = Callable[[DataFrame, str], DataFrame]
+
+
+def keep_lazy(df: DataFrame, label: str) -> DataFrame:
+    """A stage that does nothing."""
+    return df
+
 
 @dataclass(frozen=True)
 class Lifecycle:
-    """The frames of the lifecycle step, all lazy."""
+    """The frames of the lifecycle step."""
 
     reference: Column
     closed: DataFrame
@@ -24,40 +39,32 @@ class Lifecycle:
 
 
 def build_lifecycle(
-    catalog: Mapping[str, DataFrame],
-    settings: Settings,
-    stage: Callable[[DataFrame, str], DataFrame] | None = None,
+    catalog: Mapping[str, DataFrame], settings: Settings, stage: Stage = keep_lazy
 ) -> Lifecycle:
     """Reference date, account windows and window sales."""
     sales = catalog["sales_data"]
-    reference = lc.reference_value(sales)
+    point = stage(lc.reference_point(sales), "reference")
+    reference = point.select("reference_date").scalar()
     closed = lc.closed_month_sales(sales, reference)
-    windows = lc.account_lifecycle(closed, reference, settings)
-    if stage:
-        windows = stage(windows, "windows")
+    windows = stage(lc.account_lifecycle(closed, reference, settings), "windows")
     return Lifecycle(reference, closed, windows, lc.account_window_sales(closed, windows))
 
 
 def build_monthly(
-    catalog: Mapping[str, DataFrame],
-    life: Lifecycle,
-    settings: Settings,
-    stage: Callable[[DataFrame, str], DataFrame] | None = None,
+    catalog: Mapping[str, DataFrame], life: Lifecycle, stage: Stage = keep_lazy
 ) -> DataFrame:
-    """Monthly sales with peers, rotation and relative month."""
-    monthly = ms.monthly_sales(life.window_sales, catalog["customer_master"])
-    if stage:
-        monthly = stage(monthly, "monthly")
-    clubs = ms.club_month_shift(catalog["monthly_club_mapping"], life.reference)
-    return ms.with_rotation(ms.with_peer_means(monthly), clubs)
+    """Monthly sales of the windows with the account's territory and club."""
+    totals = stage(ms.monthly_totals(life.window_sales), "monthly")
+    return ms.monthly_sales(totals, catalog["customer_master"])
 
 
 def build_monthly_wide(
-    catalog: Mapping[str, DataFrame], monthly: DataFrame, settings: Settings
+    catalog: Mapping[str, DataFrame], monthly: DataFrame, life: Lifecycle, settings: Settings
 ) -> DataFrame:
     """All monthly features on (account, month)."""
+    clubs = ms.club_month_shift(catalog["monthly_club_mapping"], life.reference)
     return wd.monthly_wide(
-        monthly,
+        ms.with_peers_and_rotation(monthly, clubs),
         ms.financial_month(catalog["customer_financial"]),
         ms.credit_notes(catalog["credit_note"]),
         ms.order_channel(catalog["sales_data"], catalog["orders_online"]),
@@ -67,26 +74,21 @@ def build_monthly_wide(
 
 
 def build_features(
-    catalog: Mapping[str, DataFrame],
-    settings: Settings,
-    stage: Callable[[DataFrame, str], DataFrame] | None = None,
+    catalog: Mapping[str, DataFrame], settings: Settings, stage: Stage = write_and_reread
 ) -> DataFrame:
-    """The wide feature table: one lazy plan from the source tables.
-
-    ``stage`` (see :func:`tidewatch.session.stage`) writes the account windows
-    and the monthly sales once; pass it where the sales scan is expensive.
-    """
+    """The wide feature table of every account with sales in its window."""
     life = build_lifecycle(catalog, settings, stage)
-    monthly = build_monthly(catalog, life, settings, stage)
-    wide = build_monthly_wide(catalog, monthly, settings)
-    pivoted = wd.feature_pivot(wd.with_relative_month(wide, settings), settings)
+    monthly = build_monthly(catalog, life, stage)
+    wide = build_monthly_wide(catalog, monthly, life, settings)
+    maps = wd.month_maps(wd.with_relative_month(wide, settings))
     as_of = lc.as_of_date(life.reference, settings)
     clubs = ms.club_month_shift(catalog["monthly_club_mapping"], life.reference)
     return wd.account_features(
-        pivoted,
+        maps,
         ms.account_age(catalog["customer_master"], as_of),
         lc.purchase_interval(life.window_sales),
         ms.club_movement(clubs, settings),
         catalog["territory_master"],
         life.windows,
+        settings,
     )
