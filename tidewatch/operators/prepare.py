@@ -75,14 +75,25 @@ def one_hot(df: DataFrame, column: str, values: Sequence[str]) -> DataFrame:
     return df.select(*[_c(c) for c in df.columns if c != column], *flags)
 
 
-def label_codes(df: DataFrame, column: str) -> DataFrame:
+def label_codes(df: DataFrame, column: str, prefix: int = 2) -> DataFrame:
     """Dictionary of a text column: each distinct value with its sorted position.
 
-    The window sees only the distinct values, after they were reduced map-side.
+    Values are ranked inside their leading characters and shifted by the
+    number of values with smaller leading characters, so no task sorts them all.
     """
-    values = df.select(_c(column).alias(column)).filter(_c(column).isNotNull()).distinct()
-    position = F.dense_rank().over(Window.orderBy(column)) - 1
-    return values.withColumn(f"{column}_encoded", position)
+    values = (
+        df.select(_c(column).alias(column)).filter(_c(column).isNotNull()).distinct()
+        .withColumn("_prefix", F.substring(column, 1, prefix))
+    )
+    sizes = values.groupBy("_prefix").agg(F.count(F.lit(1)).alias("n"))
+    smaller = Window.orderBy("_prefix").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("_prefix", F.coalesce(F.sum("n").over(smaller), F.lit(0)).alias("_offset"))
+    inside = F.row_number().over(Window.partitionBy("_prefix").orderBy(column)) - 1
+    return (
+        values.withColumn("_rank", inside)
+        .join(offsets, "_prefix")
+        .select(column, (F.col("_rank") + F.col("_offset")).cast("int").alias(f"{column}_encoded"))
+    )
 
 
 def label_encode(df: DataFrame, column: str, codes: DataFrame, settings: Settings) -> DataFrame:
