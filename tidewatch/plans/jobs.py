@@ -78,8 +78,8 @@ def score_all(
 ) -> DataFrame:
     """Prediction table of all recent accounts."""
     ready = pp.prepare_scoring(features, state, settings)
-    scored = tr.score(model, ready, state.features)
-    return sc.prediction_results(scored, as_of, settings, ready if include_features else None)
+    keep = state.features if include_features else ()
+    return sc.prediction_results(tr.score(model, ready, state.features, keep), as_of, settings)
 
 
 def score_accounts(
@@ -97,10 +97,9 @@ def score_accounts(
 
 def contributions(spark: SparkSession, trained: Trained, rows: DataFrame) -> tuple[DataFrame, float]:
     """Contributions of prepared rows, with the prediction beside them."""
-    scored = tr.score(trained.model, rows, trained.state.features).drop(pp.TARGET, "dataset")
-    return trees.tree_contributions(
-        spark, trained.model, rows.join(scored, "dealer_code"), trained.state.features
-    )
+    names = trained.state.features
+    scored = tr.score(trained.model, rows, names, keep=names)
+    return trees.tree_contributions(spark, trained.model, scored, names)
 
 
 def explain_all(

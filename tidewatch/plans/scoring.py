@@ -16,21 +16,22 @@ def classify(probability: Column, threshold: float = 0.5) -> Column:
     return (probability >= threshold).cast("int")
 
 
-def prediction_results(
-    scored: DataFrame, as_of: Column, settings: Settings, features: DataFrame | None = None
-) -> DataFrame:
-    """Clamped probability, label, band and stamp per account, optionally with features.
+def prediction_results(scored: DataFrame, as_of: Column, settings: Settings) -> DataFrame:
+    """Clamped probability, label, band and stamp per account.
 
-    ``scored`` has ``dealer_code``, ``predicted_churn`` and ``churn_probability``.
+    ``scored`` has ``dealer_code``, ``predicted_churn`` and ``churn_probability``;
+    further columns (the features, when asked for) follow unchanged.
     """
+    main = ("dealer_code", "predicted_churn", "churn_probability")
+    rest = [F.col(f"`{c}`") for c in scored.columns if c not in main]
     p = clamp_score(F.col("churn_probability"), settings.confidence_floor)
-    out = scored.select("dealer_code", "predicted_churn", p.alias("churn_probability")).select(
-        "*",
+    return scored.withColumn("churn_probability", p).select(
+        *main,
         class_label(F.col("predicted_churn")).alias("prediction_label"),
         risk_band(F.col("churn_probability")).alias("risk_category"),
         F.date_format(as_of, "yyyy-MM-dd HH:mm:ss").alias("prediction_timestamp"),
+        *rest,
     )
-    return out.join(features, "dealer_code", "left") if features is not None else out
 
 
 def high_risk(results: DataFrame, settings: Settings) -> DataFrame:

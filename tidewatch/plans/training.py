@@ -183,13 +183,20 @@ def importance_cut(imp: DataFrame, share: float) -> DataFrame:
     return imp.filter(F.col("importance") >= bound)
 
 
-def score(model: GBTClassificationModel, prepared: DataFrame, features: Sequence[str]) -> DataFrame:
-    """Class and probability per account: a map over partitions, no shuffle."""
-    keep = [c for c in (TARGET, "dataset") if c in prepared.columns]
-    out = model.transform(assemble(prepared, features))
-    return out.select(
+def score(
+    model: GBTClassificationModel,
+    prepared: DataFrame,
+    features: Sequence[str],
+    keep: Sequence[str] = (TARGET, "dataset"),
+) -> DataFrame:
+    """Class and probability per account: a map over partitions, no shuffle.
+
+    Columns named in ``keep`` pass through where present.
+    """
+    vector = VectorAssembler(inputCols=list(features), outputCol=VECTOR).transform(prepared)
+    return model.transform(vector).select(
         KEY,
-        *keep,
+        *[F.col(f"`{c}`") for c in keep if c in prepared.columns],
         F.col("prediction").cast("int").alias("predicted_churn"),
         vector_to_array("probability")[1].alias("churn_probability"),
     )
