@@ -121,6 +121,11 @@ class Inputs:
     def features(self):
         return self._once("features", lambda: ft.build_features(self.catalog, self.settings))
 
+    @property
+    def stored_features(self):
+        """The feature table written once, for steps that read it several times."""
+        return self._once("stored", lambda: stage(self.features, "features"))
+
     @property
     def profiles(self):
         """Account windows with master and territory columns."""
@@ -480,14 +485,14 @@ def label_encode(x: Inputs):
 
 @query()
 def encode_features(x: Inputs):
-    state = pp.fit_preparation(x.features, x.settings)
-    return _rounded(pp.prepare_training(x.features, state, x.settings))
+    state = pp.fit_preparation(x.stored_features, x.settings)
+    return _rounded(pp.prepare_training(x.stored_features, state, x.settings))
 
 
 @query()
 def prepare_scoring(x: Inputs):
-    state = pp.fit_preparation(x.features, x.settings)
-    return _rounded(pp.prepare_scoring(x.features, state, x.settings))
+    state = pp.fit_preparation(x.stored_features, x.settings)
+    return _rounded(pp.prepare_scoring(x.stored_features, state, x.settings))
 
 
 def _rounded(df: DataFrame) -> DataFrame:
@@ -767,7 +772,7 @@ SMALL = {"n_estimators": 10, "max_depth": 4}
 def _trained(session_id: str, sf_dir: str) -> jobs.Trained:
     """One model per session and data folder, for the queries that take a model as input."""
     x = Inputs(SparkSession.active(), sf_dir)
-    return jobs.train_quick(x.features, x.settings, SMALL)
+    return jobs.train_quick(x.stored_features, x.settings, SMALL)
 
 
 def trained(x: Inputs) -> jobs.Trained:
@@ -777,13 +782,13 @@ def trained(x: Inputs) -> jobs.Trained:
 @query()
 def train_gbt(x: Inputs):
     """A fit with the class weight, evaluated on train and test rows."""
-    return jobs.evaluate(jobs.train_quick(x.features, x.settings, {"n_estimators": 20, "max_depth": 4}))
+    return jobs.evaluate(jobs.train_quick(x.stored_features, x.settings, {"n_estimators": 20, "max_depth": 4}))
 
 
 @query()
 def train_quick(x: Inputs):
     """The shortest fit, as test metrics in one row."""
-    t = jobs.train_quick(x.features, x.settings, SMALL)
+    t = jobs.train_quick(x.stored_features, x.settings, SMALL)
     return ev.test_summary(tr.with_truth(tr.score(t.model, t.prepared, t.state.features)))
 
 
@@ -791,7 +796,7 @@ def _search_input(x: Inputs):
     import dataclasses
 
     settings = dataclasses.replace(x.settings, cv_folds=2, search_draws=2)
-    prepared, state = jobs.prepare(x.features, settings)
+    prepared, state = jobs.prepare(x.stored_features, settings)
     return tr.assemble(prepared.filter(F.col("dataset") == "train"), state.features), settings
 
 
@@ -818,14 +823,14 @@ def feature_importance(x: Inputs):
 @query()
 def score_accounts(x: Inputs):
     t = trained(x)
-    ready = pp.prepare_scoring(x.features, t.state, x.settings)
+    ready = pp.prepare_scoring(x.stored_features, t.state, x.settings)
     return tr.score(t.model, ready, t.state.features)
 
 
 @query()
 def score_all(x: Inputs):
     t = trained(x)
-    return jobs.score_all(x.features, t.model, t.state, x.reference, x.settings)
+    return jobs.score_all(x.stored_features, t.model, t.state, x.reference, x.settings)
 
 
 @query()

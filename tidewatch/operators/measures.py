@@ -203,7 +203,7 @@ def financial_month(financial: DataFrame) -> DataFrame:
     """Balances with the ``yyyyMM`` month parsed; numbers become doubles."""
     return financial.select(
         "dealer_code",
-        month_from_text(F.col("period"), "yyyyMM").alias("month"),
+        month_from_text(F.col("period"), dashed=False).alias("month"),
         *[F.col(f"`{c}`").cast("double").alias(c) for c in BALANCES],
     )
 
@@ -230,11 +230,11 @@ def order_channel(sales: DataFrame, online_orders: DataFrame) -> DataFrame:
     account); it is online when the order system knows it for that account.
     Input are all loaded sales, not only the windows.
     """
+    # Lines are first hashed down to one row per invoice and account (a date is
+    # a fixed-width buffer); only that smaller set is sorted for the struct.
     invoices = (
-        sales.select(
-            "dealer_code", month_from_text(F.col("period")).alias("month"),
-            invoice_key(F.col("invoice_number")).alias("invoice_number"),
-        )
+        sales.groupBy(invoice_key(F.col("invoice_number")).alias("invoice_number"), "dealer_code")
+        .agg(F.min(month_from_text(F.col("period"))).alias("month"))
         .groupBy("invoice_number")
         .agg(F.min(F.struct("month", "dealer_code")).alias("first"))
         .select("invoice_number", "first.month", "first.dealer_code")
