@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import datetime as dt
 import re
+from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -89,21 +90,53 @@ VIEWS = {
 BASE_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
 
 
-def tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The provided tables the views are defined over."""
-    return {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in BASE_TABLES}
+class Tables(Mapping[str, DataFrame]):
+    """The provided tables, each opened when first used."""
 
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self._spark, self._dir, self._open = spark, sf_dir, {}
 
-def raw_catalog(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """Source-shaped views as frames; no session-wide names are registered."""
-    base = tables(spark, sf_dir)
-    out = {}
-    for name, text in VIEWS.items():
-        used = {t: df for t, df in base.items() if re.search(rf"\b(FROM|JOIN)\s+{t}\b", text)}
-        for t in used:
-            text = re.sub(rf"\b(FROM|JOIN)\s+{t}\b", rf"\1 {{{t}}}", text)
-        out[name] = spark.sql(text, **used)
-    return out
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._open:
+            self._open[name] = self._spark.read.parquet(f"{self._dir}/{name}.parquet")
+        return self._open[name]
+
+    def __iter__(self):
+        return iter(BASE_TABLES)
+
+    def __len__(self):
+        return len(BASE_TABLES)
+
+
+class Views(Mapping[str, DataFrame]):
+    """Source-shaped views over them; no session-wide names are registered."""
+
+    def __init__(self, spark: SparkSession, tables: Mapping[str, DataFrame]):
+        self._spark, self._tables, self._made = spark, tables, {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._made:
+            text, used = VIEWS[name], {}
+            for t in BASE_TABLES:
+                text, hits = re.subn(rf"\b(FROM|JOIN)\s+{t}\b", rf"\1 {{{t}}}", text)
+                if hits:
+                    used[t] = self._tables[t]
+            self._made[name] = self._spark.sql(text, **used)
+        return self._made[name]
+
+    def __iter__(self):
+        return iter(VIEWS)
+
+    def __len__(self):
+        return len(VIEWS)
+
+
+def tables(spark: SparkSession, sf_dir: str) -> Tables:
+    return Tables(spark, sf_dir)
+
+
+def raw_catalog(spark: SparkSession, sf_dir: str) -> Views:
+    return Views(spark, Tables(spark, sf_dir))
 
 
 def duck(text: str) -> str:

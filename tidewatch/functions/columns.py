@@ -56,10 +56,9 @@ def invoice_key(invoice: Column) -> Column:
 
 
 def finite_or_zero(value: Column) -> Column:
-    """Null, NaN and infinities become 0."""
+    """Null, NaN and infinities become 0 (NaN sorts above infinity)."""
     value = value.cast("double")
-    bad = value.isNull() | F.isnan(value) | (F.abs(value) == F.lit(float("inf")))
-    return F.when(bad, F.lit(0.0)).otherwise(value)
+    return F.coalesce(F.when(F.abs(value) < F.lit(float("inf")), value), F.lit(0.0))
 
 
 def number_or_null(value: Column) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 from dataclasses import asdict, dataclass
-from typing import Sequence
+from typing import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -69,9 +69,14 @@ def encode_club(df: DataFrame, settings: Settings) -> DataFrame:
     )
 
 
+def _flag(column: str, value: str) -> Column:
+    """1 where the column has the value, else 0; null is 0."""
+    return F.coalesce(_c(column) == value, F.lit(False)).cast("int")
+
+
 def one_hot(df: DataFrame, column: str, values: Sequence[str]) -> DataFrame:
     """Replace a text column by one 0/1 column per known value."""
-    flags = [(F.coalesce(_c(column) == v, F.lit(False))).cast("int").alias(f"{column}_{v}") for v in values]
+    flags = [_flag(column, v).alias(f"{column}_{v}") for v in values]
     return df.select(*[_c(c) for c in df.columns if c != column], *flags)
 
 
@@ -152,17 +157,6 @@ def _dictionary(df: DataFrame, columns: Sequence[str]) -> dict[str, list[str]]:
     return {c: list(row[c]) for c in columns}
 
 
-def _encode(df: DataFrame, state_categories: dict, territory_codes: Sequence[str], settings: Settings) -> DataFrame:
-    out = encode_club(df, settings)
-    for c in ONE_HOT:
-        if c in out.columns:
-            out = one_hot(out, c, state_categories[c])
-    if "territory_code" in out.columns:
-        out = out.withColumn("territory_code_encoded", _code_of("territory_code", territory_codes, settings))
-        out = out.drop("territory_code")
-    return out
-
-
 def _code_of(column: str, codes: Sequence[str], settings: Settings) -> Column:
     """Dictionary position as a literal map lookup: no join, no shuffle."""
     table = F.create_map(*[x for i, v in enumerate(codes) for x in (F.lit(v), F.lit(i))])
@@ -173,29 +167,66 @@ def _code_of(column: str, codes: Sequence[str], settings: Settings) -> Column:
     return F.coalesce(found, F.raise_error(unseen).cast("int"))
 
 
+def _encoded(
+    df: DataFrame,
+    categories: Mapping[str, Sequence[str]],
+    territory_codes: Sequence[str],
+    settings: Settings,
+) -> dict[str, Column]:
+    """Name -> expression of every model feature a frame yields, in column order.
+
+    All encodings land in one projection, however many columns there are.
+    """
+    out: dict[str, Column] = {}
+    later: dict[str, Column] = {}
+    for field in df.schema.fields:
+        name = field.name
+        if name in (KEY, TARGET, *NOT_FEATURES):
+            continue
+        if name == "dealer_club_category":
+            out[name] = level_of(_c(name), settings.model_levels, fold_case=True)
+        elif name in ONE_HOT:
+            later.update({f"{name}_{v}": _flag(name, v) for v in categories[name]})
+        elif name == "territory_code":
+            later["territory_code_encoded"] = _code_of(name, territory_codes, settings)
+        elif isinstance(field.dataType, T.StringType):
+            out[name] = number_or_null(_c(name))
+        else:
+            out[name] = _c(name)
+    return {**out, **later}
+
+
 def fit_preparation(features: DataFrame, settings: Settings) -> PrepState:
     """Read the category dictionaries of the recent accounts."""
-    recent = recent_accounts(features, settings)
-    found = _dictionary(recent, [*ONE_HOT, "territory_code"])
+    found = _dictionary(recent_accounts(features, settings), [*ONE_HOT, "territory_code"])
     codes = found.pop("territory_code")
-    shape = _encode(recent, found, codes, settings)
-    names = [c for c in shape.columns if c not in (KEY, TARGET, *NOT_FEATURES)]
-    return PrepState(found, codes, names)
+    return PrepState(found, codes, list(_encoded(features, found, codes, settings)))
 
 
 def prepare_training(features: DataFrame, state: PrepState, settings: Settings) -> DataFrame:
-    """Recent accounts, encoded, numeric, without gaps, with a 0/1 target."""
-    df = with_severity(recent_accounts(features, settings), settings)
-    df = encode_target(_encode(df, state.categories, state.territory_codes, settings))
-    df = drop_present(fill_zero(coerce_text(df)), NOT_FEATURES)
-    return df.select(KEY, *[_c(f) for f in state.features], TARGET)
+    """Recent accounts, encoded, numeric, without gaps, with a 0/1 target.
+
+    The days since the last invoice and the severity derived from them tell
+    the label, so neither is a feature.
+    """
+    columns = _encoded(features, state.categories, state.territory_codes, settings)
+    return recent_accounts(features, settings).select(
+        KEY,
+        *[finite_or_zero(columns[f]).alias(f) for f in state.features],
+        class_code(F.col(TARGET)).alias(TARGET),
+    )
 
 
 def prepare_scoring(features: DataFrame, state: PrepState, settings: Settings) -> DataFrame:
-    """Same encodings for scoring, aligned to the fitted feature list."""
-    df = _encode(recent_accounts(features, settings), state.categories, state.territory_codes, settings)
-    df = fill_zero(drop_present(df, [*NOT_FEATURES, TARGET]))
-    return align_schema(df, state.features)
+    """Same encodings for scoring: the fitted feature list, absent features as 0."""
+    columns = _encoded(features, state.categories, state.territory_codes, settings)
+    return recent_accounts(features, settings).select(
+        KEY,
+        *[
+            (finite_or_zero(columns[f]) if f in columns else F.lit(0.0)).alias(f)
+            for f in state.features
+        ],
+    )
 
 
 # -- split -----------------------------------------------------------------------------

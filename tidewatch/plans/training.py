@@ -52,7 +52,6 @@ def classifier(settings: Settings, params: Params | None = None) -> GBTClassifie
     values = spark_values({**TREE_DEFAULTS, **(params or {})})
     return GBTClassifier(
         featuresCol=VECTOR, labelCol=TARGET, weightCol=WEIGHT, seed=settings.seed,
-        cacheNodeIds=False, maxMemoryInMB=512, **values,
     )
 
 

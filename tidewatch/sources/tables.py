@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from typing import Mapping, Sequence
+from typing import Iterator, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -104,25 +104,47 @@ def load_sales(sales: DataFrame, accounts: DataFrame, settings: Settings) -> Dat
     return restrict_to_accounts(valid_sales(sales, settings), accounts)
 
 
-def load_catalog(raw: Mapping[str, DataFrame], settings: Settings) -> dict[str, DataFrame]:
-    """All source tables, lazily restricted; nothing is read until used.
+class Catalog(Mapping[str, DataFrame]):
+    """All source tables by name, restricted to the accounts in scope.
 
-    Dimensions (territories, products) pass through unfiltered.
+    A table's plan is made when it is first asked for, so tables that no
+    operator uses are never opened.  Dimensions pass through unfiltered.
     """
-    accounts = load_accounts(raw["customer_master"], settings)
-    loaded = {name: df for name, df in raw.items()}
-    loaded["customer_master"] = accounts
-    loaded["sales_data"] = load_sales(raw["sales_data"], accounts, settings)
-    for name, key in ACCOUNT_KEYS.items():
-        if name in raw:
-            loaded[name] = restrict_to_accounts(raw[name], accounts, key)
-    if "orders_online" in loaded:
-        loaded["orders_online"] = loaded["orders_online"].select(
-            "dealer_code", "products_invoiceNumber"
-        )
-    return loaded
+
+    def __init__(self, raw: Mapping[str, DataFrame], settings: Settings):
+        self._raw = raw
+        self._settings = settings
+        self._made: dict[str, DataFrame] = {}
+
+    def _make(self, name: str) -> DataFrame:
+        table = self._raw[name]
+        if name == "customer_master":
+            return load_accounts(table, self._settings)
+        if name == "sales_data":
+            return load_sales(table, self["customer_master"], self._settings)
+        if name in ACCOUNT_KEYS:
+            table = restrict_to_accounts(table, self["customer_master"], ACCOUNT_KEYS[name])
+        if name == "orders_online":
+            table = table.select("dealer_code", "products_invoiceNumber")
+        return table
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._made:
+            self._made[name] = self._make(name)
+        return self._made[name]
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self._raw)
+
+    def __len__(self) -> int:
+        return len(self._raw)
+
+
+def load_catalog(raw: Mapping[str, DataFrame], settings: Settings) -> Catalog:
+    """Catalog over given frames."""
+    return Catalog(raw, settings)
 
 
-def read_catalog(spark: SparkSession, names: Mapping[str, str], settings: Settings) -> dict[str, DataFrame]:
+def read_catalog(spark: SparkSession, names: Mapping[str, str], settings: Settings) -> Catalog:
     """:func:`load_catalog` over named tables: ``{logical name: table name}``."""
     return load_catalog({k: read_table(spark, v) for k, v in names.items()}, settings)
