@@ -264,7 +264,7 @@ def closed_month_sales(x: Inputs):
 
 @query("dealer_code:s month:m ndp_value:d no_sales_flag:i")
 def activity_grid(x: Inputs):
-    return lc.activity_grid(x.closed)
+    return lc.activity_grid(lc.account_months(x.closed))
 
 
 @query("dealer_code:s last_invoice_date:t last_billed_days:i churn_status:s")
@@ -274,7 +274,7 @@ def churn_label(x: Inputs):
 
 @query("dealer_code:s max_no_sales_streak:i max_streak_start_period:m")
 def no_sales_streak(x: Inputs):
-    return lc.no_sales_streak(x.closed)
+    return lc.no_sales_streak(lc.account_months(x.closed))
 
 
 WINDOW_SHAPE = (
@@ -296,7 +296,7 @@ def account_window_sales(x: Inputs):
 
 @query("dealer_code:s avg_days_between_purchase:d")
 def purchase_interval(x: Inputs):
-    return lc.purchase_interval(x.life.window_sales)
+    return lc.purchase_interval(x.life.window_days)
 
 
 @query("dealer_code:s dealership_age:i")

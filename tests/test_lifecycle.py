@@ -11,7 +11,7 @@ SETTINGS = Settings(min_window_end=dt.date(2022, 12, 1))
 
 
 def streaks(spark, rows):
-    out = lc.no_sales_streak(sales_frame(spark, rows))
+    out = lc.no_sales_streak(lc.account_months(sales_frame(spark, rows)))
     return {r[0]: (r[1], r[2]) for r in rows_of(out)}
 
 
@@ -56,7 +56,7 @@ def test_null_values_still_count_as_a_sale(spark):
 
 def test_grid_matches_streak_axis(spark):
     sales = sales_frame(spark, [("a", month_day(1), 2.0), ("b", month_day(2), None), ("b", month_day(2), 3.0)])
-    got = rows_of(lc.activity_grid(sales), "dealer_code", "month")
+    got = rows_of(lc.activity_grid(lc.account_months(sales)), "dealer_code", "month")
     jan, feb = dt.date(2023, 1, 1), dt.date(2023, 2, 1)
     assert got == [("a", jan, 2.0, 0), ("a", feb, 0.0, 1), ("b", jan, 0.0, 1), ("b", feb, 3.0, 0)]
 
@@ -130,5 +130,21 @@ def test_purchase_interval_equals_line_by_line_mean(spark):
     sales = sales_frame(spark, [("a", m, 1.0) for m in moments] + [("b", moments[0], 1.0)])
     ordered = sorted(day(m) for m in moments)
     gaps = [(y - x).days for x, y in zip(ordered, ordered[1:])]
-    got = dict(rows_of(lc.purchase_interval(sales)))
+    got = dict(rows_of(lc.purchase_interval(lc.day_lines(sales))))
     assert got == {"a": sum(gaps) / len(gaps), "b": None}
+
+
+def test_day_rows_may_be_cut_by_windows(spark):
+    """Reducing to days before the window join gives the mean of the lines inside."""
+    moments = ["2023-04-30 23:00:00", "2023-05-01 00:00:00", "2023-05-01 06:00:00", "2023-05-09 05:00:00",
+               "2024-05-01 00:00:00", "2024-05-01 00:00:00", "2024-05-01 00:00:01", "2024-05-02 00:00:00"]
+    sales = sales_frame(spark, [("a", m, 1.0) for m in moments])
+    windows = spark.createDataFrame(
+        [("a", dt.date(2023, 5, 31), dt.date(2024, 5, 31))],
+        "dealer_code string, threshold_start_date date, threshold_end_date date",
+    )
+    inside = [day(m) for m in moments[1:6]]
+    gaps = [(y - x).days for x, y in zip(inside, inside[1:])]
+    early = lc.purchase_interval(lc.within_windows(lc.day_lines(sales), windows, "first_at"))
+    late = lc.purchase_interval(lc.day_lines(lc.account_window_sales(sales, windows)))
+    assert rows_of(early) == rows_of(late) == [("a", sum(gaps) / len(gaps))]

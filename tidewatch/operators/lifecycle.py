@@ -34,12 +34,11 @@ def as_of_date(reference: Column, settings: Settings) -> Column:
     return F.lit(settings.as_of) if settings.as_of else F.to_date(reference)
 
 
-def month_axis(closed: DataFrame) -> Column:
+def month_axis(months: DataFrame) -> Column:
     """Sorted array of the months in which anyone bought.
 
     Its length is bounded by the number of calendar months in the data.
     """
-    months = closed.select(month_from_text(F.col("period")).alias("month"))
     return months.agg(F.array_sort(F.collect_set("month")).alias("axis")).scalar()
 
 
@@ -50,8 +49,20 @@ def closed_month_sales(sales: DataFrame, reference: Column) -> DataFrame:
     return sales.filter(F.col("invoice_date") <= reference)
 
 
+def latest_invoices(sales: DataFrame) -> DataFrame:
+    """Latest invoice moment per account."""
+    return (
+        sales.filter(F.col("dealer_code").isNotNull())
+        .groupBy("dealer_code")
+        .agg(F.max("invoice_date").alias("invoice_date"))
+    )
+
+
 def account_months(closed: DataFrame) -> DataFrame:
-    """One row per account and month with sales: value and latest invoice."""
+    """One row per account and month with sales: value and latest invoice.
+
+    This is what the grid, the inactive run and the label are computed from.
+    """
     return (
         closed.filter(F.col("dealer_code").isNotNull())
         .groupBy("dealer_code", month_from_text(F.col("period")).alias("month"))
@@ -62,7 +73,7 @@ def account_months(closed: DataFrame) -> DataFrame:
     )
 
 
-def activity_grid(closed: DataFrame) -> DataFrame:
+def activity_grid(months: DataFrame) -> DataFrame:
     """Every account for every month, with value 0 and flag 1 where absent.
 
     Each account gathers its own months in a map (at most one entry per
@@ -70,13 +81,12 @@ def activity_grid(closed: DataFrame) -> DataFrame:
     join of grid and facts.
     """
     per_account = (
-        account_months(closed)
-        .filter(F.col("month").isNotNull())
+        months.filter(F.col("month").isNotNull())
         .groupBy("dealer_code")
         .agg(F.map_from_entries(F.collect_list(F.struct("month", "ndp_value"))).alias("by_month"))
     )
     return (
-        per_account.withColumn("month", F.explode(month_axis(closed)))
+        per_account.withColumn("month", F.explode(month_axis(months)))
         .withColumn("value", F.try_element_at(F.col("by_month"), F.col("month")))
         .select(
             "dealer_code",
@@ -89,9 +99,7 @@ def activity_grid(closed: DataFrame) -> DataFrame:
 
 def churn_label(closed: DataFrame, reference: Column, settings: Settings) -> DataFrame:
     """Latest invoice, whole days since, and the at-risk label per account."""
-    last = closed.filter(F.col("dealer_code").isNotNull()).groupBy("dealer_code").agg(
-        F.max("invoice_date").alias("last_invoice_date")
-    )
+    last = latest_invoices(closed).withColumnRenamed("invoice_date", "last_invoice_date")
     return _label(last, reference, settings)
 
 
@@ -101,18 +109,15 @@ def _label(last: DataFrame, reference: Column, settings: Settings) -> DataFrame:
     return last.withColumn("last_billed_days", days).withColumn("churn_status", status)
 
 
-def _activity(closed: DataFrame) -> DataFrame:
+def _activity(months: DataFrame) -> DataFrame:
     """Latest invoice and longest inactive run per account, from account months.
 
     A run of missing months shows as a jump between the axis positions of two
     consecutive active months; the runs before the first and after the last
     active month are jumps too.  Of equally long runs the earliest wins.
     """
-    axis = month_axis(closed)
-    indexed = (
-        account_months(closed)
-        .withColumn("axis", axis)
-        .withColumn("idx", F.array_position("axis", F.col("month")))
+    indexed = months.withColumn("axis", month_axis(months)).withColumn(
+        "idx", F.array_position("axis", F.col("month"))
     )
     # Months that are null carry a latest invoice but no axis position.
     by_account = Window.partitionBy("dealer_code").orderBy(F.col("idx").asc_nulls_first())
@@ -140,14 +145,14 @@ def _activity(closed: DataFrame) -> DataFrame:
     )
 
 
-def no_sales_streak(closed: DataFrame) -> DataFrame:
+def no_sales_streak(months: DataFrame) -> DataFrame:
     """Longest run of months without sales and the month it starts in."""
-    return _activity(closed).select("dealer_code", "max_no_sales_streak", "max_streak_start_period")
+    return _activity(months).select("dealer_code", "max_no_sales_streak", "max_streak_start_period")
 
 
-def account_lifecycle(closed: DataFrame, reference: Column, settings: Settings) -> DataFrame:
+def account_lifecycle(months: DataFrame, reference: Column, settings: Settings) -> DataFrame:
     """Label, inactive run and analysis window of every account."""
-    labelled = _label(_activity(closed), reference, settings)
+    labelled = _label(_activity(months), reference, settings)
     return with_windows(labelled, reference, settings)
 
 
@@ -173,40 +178,56 @@ def with_windows(labelled: DataFrame, reference: Column, settings: Settings) ->
 
 # -- window sales ------------------------------------------------------------------
 
-def account_window_sales(closed: DataFrame, windows: DataFrame) -> DataFrame:
-    """Sales lines inside the account's window.
+def within_windows(df: DataFrame, windows: DataFrame, moment: str) -> DataFrame:
+    """Rows whose moment lies inside their account's window.
 
     Both window ends are cut to the first of their month before the
-    comparison, and both are inclusive.
+    comparison, and both are inclusive.  ``windows`` has one row per account;
+    a hot account's partition of ``df`` is split by AQE.
     """
-    joined = closed.join(windows, "dealer_code")
     lower = month_of(F.col("threshold_start_date")).cast("timestamp_ntz")
     upper = month_of(F.col("threshold_end_date")).cast("timestamp_ntz")
-    return joined.filter(F.col("invoice_date").cast("timestamp_ntz").between(lower, upper))
+    return df.join(windows, "dealer_code").filter(
+        F.col(moment).cast("timestamp_ntz").between(lower, upper)
+    )
 
 
-def purchase_interval(window_sales: DataFrame) -> DataFrame:
-    """Mean whole days between consecutive sales lines of an account.
+def account_window_sales(closed: DataFrame, windows: DataFrame) -> DataFrame:
+    """Sales lines inside the account's window, with the account's lifecycle columns."""
+    return within_windows(closed, windows, "invoice_date")
+
+
+def day_lines(sales: DataFrame) -> DataFrame:
+    """Lines of one account and day as one row: first and last moment, and count.
 
-    Lines of one day are under 24 hours apart and count as zero-day gaps, so
-    one row per account and day (first, last, lines) is enough.  The ordered
-    group is then bounded by the days in a window, however many lines there are.
+    Lines at midnight form a row of their own.  As windows begin and end at a
+    midnight, every row lies completely inside or outside of a window, so this
+    reduction may come before the window join.
     """
-    days = window_sales.groupBy("dealer_code", F.to_date("invoice_date").alias("day")).agg(
+    day = F.to_date("invoice_date")
+    midnight = F.col("invoice_date").cast("timestamp_ntz") == day.cast("timestamp_ntz")
+    return sales.groupBy("dealer_code", day.alias("day"), midnight.alias("at_midnight")).agg(
         F.min("invoice_date").alias("first_at"),
         F.max("invoice_date").alias("last_at"),
         F.count(F.lit(1)).alias("lines"),
     )
-    by_account = Window.partitionBy("dealer_code").orderBy("day")
+
+
+def purchase_interval(days: DataFrame) -> DataFrame:
+    """Mean whole days between consecutive sales lines of an account.
+
+    Input are day rows (see :func:`day_lines`): lines of one day are under 24
+    hours apart and count as zero-day gaps.  The ordered group is bounded by
+    twice the days in a window, however many lines an account has.
+    """
+    by_account = Window.partitionBy("dealer_code").orderBy("first_at")
     gaps = days.withColumn(
         "gap_days", whole_days(F.col("first_at"), F.lag("last_at").over(by_account))
     )
     rolled = gaps.groupBy("dealer_code").agg(
-        F.sum("gap_days").alias("total"), (F.sum("lines") - 1).alias("pairs")
+        F.coalesce(F.sum("gap_days"), F.lit(0)).cast("double").alias("total"),
+        (F.sum("lines") - 1).alias("pairs"),
     )
     return rolled.select(
-        "dealer_code",
-        F.try_divide(F.coalesce("total", F.lit(0)).cast("double"), F.nullif("pairs", F.lit(0))).alias(
-            "avg_days_between_purchase"
-        ),
+        "dealer_code", F.try_divide("total", "pairs").alias("avg_days_between_purchase")
     )

@@ -25,6 +25,7 @@ from tidewatch.functions.columns import (
 )
 from tidewatch.operators.joins import salted_lookup
 from tidewatch.settings import Settings
+from tidewatch.sources.tables import in_scope
 
 # Group column -> {measure: name of its mean over the group's accounts}
 PEER_MEANS = {
@@ -223,19 +224,26 @@ def credit_notes(notes: DataFrame) -> DataFrame:
 
 # -- orders, claims, visits ---------------------------------------------------------
 
-def order_channel(sales: DataFrame, online_orders: DataFrame) -> DataFrame:
+def order_channel(
+    sales: DataFrame, online_orders: DataFrame, accounts: DataFrame | None = None
+) -> DataFrame:
     """Online and offline invoices by account and month.
 
     Each invoice number counts once, in its earliest month (then lowest
     account); it is online when the order system knows it for that account.
-    Input are all loaded sales, not only the windows.
+    Input are all loaded sales, not only the windows.  When the sales still
+    hold accounts out of scope, pass ``accounts``: they are left out after the
+    lines have been reduced to invoices.
     """
     # Lines are first hashed down to one row per invoice and account (a date is
     # a fixed-width buffer); only that smaller set is sorted for the struct.
+    per_account = sales.groupBy(
+        invoice_key(F.col("invoice_number")).alias("invoice_number"), "dealer_code"
+    ).agg(F.min(month_from_text(F.col("period"))).alias("month"))
+    if accounts is not None:
+        per_account = in_scope(per_account, accounts)
     invoices = (
-        sales.groupBy(invoice_key(F.col("invoice_number")).alias("invoice_number"), "dealer_code")
-        .agg(F.min(month_from_text(F.col("period"))).alias("month"))
-        .groupBy("invoice_number")
+        per_account.groupBy("invoice_number")
         .agg(F.min(F.struct("month", "dealer_code")).alias("first"))
         .select("invoice_number", "first.month", "first.dealer_code")
         .filter(F.col("dealer_code").isNotNull() & F.col("month").isNotNull())
@@ -258,24 +266,32 @@ def order_channel(sales: DataFrame, online_orders: DataFrame) -> DataFrame:
     )
 
 
-def claim_counts(claims: DataFrame, settings: Settings) -> DataFrame:
+def claim_counts(
+    claims: DataFrame, settings: Settings, accounts: DataFrame | None = None
+) -> DataFrame:
     """Distinct, settled and still active claims by account and month.
 
     A settled claim number counts once overall, at its earliest claim date
     (then lowest account).  Months without a settled claim keep a null for
-    both the settled and the active count.
+    both the settled and the active count.  ``accounts`` as in
+    :func:`order_channel`.
     """
-    keyed = claims.withColumn("month", month_of(F.col("ClaimDate"))).filter(
-        F.col("dealer_code").isNotNull() & F.col("month").isNotNull()
-    )
-    totals = keyed.groupBy("dealer_code", "month").agg(
+    known = claims.filter(F.col("dealer_code").isNotNull() & F.col("ClaimDate").isNotNull())
+    totals = known.groupBy("dealer_code", month_of(F.col("ClaimDate")).alias("month")).agg(
         F.countDistinct("ClaimNo").alias("unique_claims")
     )
+    state = claim_state(F.col("ClaimStatus"), settings.settled_statuses)
+    per_account = (
+        known.filter(state == "Settled")
+        .groupBy("ClaimNo", "dealer_code")
+        .agg(F.min("ClaimDate").alias("ClaimDate"))
+    )
+    if accounts is not None:
+        per_account = in_scope(per_account, accounts)
     settled = (
-        keyed.filter(claim_state(F.col("ClaimStatus"), settings.settled_statuses) == "Settled")
-        .groupBy("ClaimNo")
-        .agg(F.min(F.struct("ClaimDate", "dealer_code", "month")).alias("first"))
-        .groupBy("first.dealer_code", "first.month")
+        per_account.groupBy("ClaimNo")
+        .agg(F.min(F.struct("ClaimDate", "dealer_code")).alias("first"))
+        .groupBy("first.dealer_code", month_of(F.col("first.ClaimDate")).alias("month"))
         .agg(F.count("ClaimNo").alias("settled_claims"))
     )
     return totals.join(settled, ["dealer_code", "month"], "left").withColumn(

@@ -1,16 +1,21 @@
 """The feature build: source tables to one wide row per account.
 
-Three small results are read by many later steps: the reference date (one
-row), the account windows (one row per account) and the monthly sales (at most
-13 rows per account).  ``build_*`` writes each of them once through ``stage``
-so that the sales lines are scanned a fixed number of times; pass ``keep_lazy``
-to get a single lazy plan instead.
+Raw fact rows are reduced by account before they are restricted to the accounts
+in scope, because the account list of a large master cannot be sent to every
+task.  The only join that meets raw rows is the one of sales lines and account
+windows.
+
+A few small results are read by several later steps: the reference date (one
+row), the account months, the account windows (one row per account) and the
+monthly totals (at most 13 rows per account).  ``build_*`` writes each of them
+once through ``stage`` so that the sales lines are scanned a fixed number of
+times; pass ``keep_lazy`` to get a single lazy plan instead.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
-from typing import Callable, Mapping
+from typing import Callable
 
 from pyspark.sql import Column, DataFrame
 
@@ -19,6 +24,7 @@ from tidewatch.operators import measures as ms
 from tidewatch.operators import widen as wd
 from tidewatch.session import stage as write_and_reread
 from tidewatch.settings import Settings
+from tidewatch.sources.tables import Catalog, in_scope
 
 Stage = Callable[[DataFrame, str], DataFrame]
 
@@ -33,48 +39,60 @@ class Lifecycle:
     """The frames of the lifecycle step."""
 
     reference: Column
-    closed: DataFrame
-    windows: DataFrame
-    window_sales: DataFrame
+    closed: DataFrame  # valid lines of all accounts up to the reference
+    windows: DataFrame  # accounts in scope with a complete window
 
+    @property
+    def window_sales(self) -> DataFrame:
+        return lc.account_window_sales(self.closed, self.windows)
 
-def build_lifecycle(
-    catalog: Mapping[str, DataFrame], settings: Settings, stage: Stage = keep_lazy
-) -> Lifecycle:
+    @property
+    def window_days(self) -> DataFrame:
+        return lc.within_windows(lc.day_lines(self.closed), self.windows, "first_at")
+
+
+def build_lifecycle(catalog: Catalog, settings: Settings, stage: Stage = keep_lazy) -> Lifecycle:
     """Reference date, account windows and window sales."""
-    sales = catalog["sales_data"]
-    point = stage(lc.reference_point(sales), "reference")
-    reference = point.select("reference_date").scalar()
+    sales, accounts = catalog.unrestricted("sales_data"), catalog["customer_master"]
+    point = lc.reference_point(in_scope(lc.latest_invoices(sales), accounts))
+    reference = stage(point, "reference").select("reference_date").scalar()
     closed = lc.closed_month_sales(sales, reference)
-    windows = stage(lc.account_lifecycle(closed, reference, settings), "windows")
-    return Lifecycle(reference, closed, windows, lc.account_window_sales(closed, windows))
+    months = stage(in_scope(lc.account_months(closed), accounts), "months")
+    windows = stage(lc.account_lifecycle(months, reference, settings), "windows")
+    return Lifecycle(reference, closed, windows)
 
 
-def build_monthly(
-    catalog: Mapping[str, DataFrame], life: Lifecycle, stage: Stage = keep_lazy
-) -> DataFrame:
+def build_monthly(catalog: Catalog, life: Lifecycle, stage: Stage = keep_lazy) -> DataFrame:
     """Monthly sales of the windows with the account's territory and club."""
     totals = stage(ms.monthly_totals(life.window_sales), "monthly")
     return ms.monthly_sales(totals, catalog["customer_master"])
 
 
 def build_monthly_wide(
-    catalog: Mapping[str, DataFrame], monthly: DataFrame, life: Lifecycle, settings: Settings
+    catalog: Catalog, monthly: DataFrame, life: Lifecycle, settings: Settings
 ) -> DataFrame:
-    """All monthly features on (account, month)."""
-    clubs = ms.club_month_shift(catalog["monthly_club_mapping"], life.reference)
+    """All monthly features on (account, month).
+
+    ``monthly`` has the accounts in scope only, so the left joins restrict the
+    other facts; only the two that count something once over all accounts need
+    the account list itself.
+    """
+    accounts = catalog["customer_master"]
+    clubs = ms.club_month_shift(catalog.unrestricted("monthly_club_mapping"), life.reference)
     return wd.monthly_wide(
         ms.with_peers_and_rotation(monthly, clubs),
-        ms.financial_month(catalog["customer_financial"]),
-        ms.credit_notes(catalog["credit_note"]),
-        ms.order_channel(catalog["sales_data"], catalog["orders_online"]),
-        ms.claim_counts(catalog["claims_data"], settings),
-        ms.visit_counts(catalog["visits_flat"]),
+        ms.financial_month(catalog.unrestricted("customer_financial")),
+        ms.credit_notes(catalog.unrestricted("credit_note")),
+        ms.order_channel(
+            catalog.unrestricted("sales_data"), catalog.unrestricted("orders_online"), accounts
+        ),
+        ms.claim_counts(catalog.unrestricted("claims_data"), settings, accounts),
+        ms.visit_counts(catalog.unrestricted("visits_flat")),
     )
 
 
 def build_features(
-    catalog: Mapping[str, DataFrame], settings: Settings, stage: Stage = write_and_reread
+    catalog: Catalog, settings: Settings, stage: Stage = write_and_reread
 ) -> DataFrame:
     """The wide feature table of every account with sales in its window."""
     life = build_lifecycle(catalog, settings, stage)
@@ -82,11 +100,11 @@ def build_features(
     wide = build_monthly_wide(catalog, monthly, life, settings)
     maps = wd.month_maps(wd.with_relative_month(wide, settings))
     as_of = lc.as_of_date(life.reference, settings)
-    clubs = ms.club_month_shift(catalog["monthly_club_mapping"], life.reference)
+    clubs = ms.club_month_shift(catalog.unrestricted("monthly_club_mapping"), life.reference)
     return wd.account_features(
         maps,
         ms.account_age(catalog["customer_master"], as_of),
-        lc.purchase_interval(life.window_sales),
+        lc.purchase_interval(life.window_days),
         ms.club_movement(clubs, settings),
         catalog["territory_master"],
         life.windows,

@@ -19,6 +19,7 @@ from tidewatch.plans.features import build_features
 from tidewatch.session import stage
 from tidewatch.settings import Settings
 from tidewatch.sources import sinks
+from tidewatch.sources.tables import Catalog
 
 
 @dataclass(frozen=True)
@@ -116,7 +117,7 @@ def explain_all(
 
 def daily_job(
     spark: SparkSession,
-    catalog: Mapping[str, DataFrame],
+    catalog: Catalog,
     settings: Settings,
     out: str,
     as_of: Column,

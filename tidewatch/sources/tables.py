@@ -69,16 +69,25 @@ def load_accounts(master: DataFrame, settings: Settings) -> DataFrame:
     )
 
 
-def restrict_to_accounts(df: DataFrame, accounts: DataFrame, key: str = "dealer_code") -> DataFrame:
-    """Rows whose account is in scope, with the key named ``dealer_code``.
+def keyed(df: DataFrame, key: str = "dealer_code") -> DataFrame:
+    """Rows with the account key named ``dealer_code`` and typed as text."""
+    return df.withColumnRenamed(key, "dealer_code").withColumn(
+        "dealer_code", F.col("dealer_code").cast("string")
+    )
+
+
+def in_scope(df: DataFrame, accounts: DataFrame) -> DataFrame:
+    """Rows whose account is in scope.
 
     A semi join: Spark sends the key list to every task when it measures it to
     be small, and otherwise shuffles, splitting a hot account's partition.
     """
-    keyed = df.withColumnRenamed(key, "dealer_code").withColumn(
-        "dealer_code", F.col("dealer_code").cast("string")
-    )
-    return keyed.join(accounts.select("dealer_code"), "dealer_code", "left_semi")
+    return df.join(accounts.select("dealer_code"), "dealer_code", "left_semi")
+
+
+def restrict_to_accounts(df: DataFrame, accounts: DataFrame, key: str = "dealer_code") -> DataFrame:
+    """Fact rows of the accounts in scope, with the key named ``dealer_code``."""
+    return in_scope(keyed(df, key), accounts)
 
 
 def valid_sales(sales: DataFrame, settings: Settings) -> DataFrame:
@@ -133,6 +142,17 @@ class Catalog(Mapping[str, DataFrame]):
             self._made[name] = self._make(name)
         return self._made[name]
 
+    def unrestricted(self, name: str) -> DataFrame:
+        """A fact table of all accounts, for operators that reduce it first.
+
+        At scale the account list is too long to send to every task.  Then it
+        is cheaper to aggregate by account and restrict the result, because
+        the raw rows never have to be shuffled for the restriction.
+        """
+        if name == "sales_data":
+            return valid_sales(keyed(self._raw[name]), self._settings)
+        return keyed(self._raw[name], ACCOUNT_KEYS[name])
+
     def __iter__(self) -> Iterator[str]:
         return iter(self._raw)
 
