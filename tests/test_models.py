@@ -34,7 +34,7 @@ def model(data):
     return tr.fit_model(train, SETTINGS, {"n_estimators": 5, "max_depth": 4})
 
 
-def test_parameters_reach_the_estimator():
+def test_parameters_reach_the_estimator(spark):
     gbt = tr.classifier(Settings(), {"gamma": 0.1, "min_child_weight": 3, "colsample": 1.0})
     assert (gbt.getMaxIter(), gbt.getMaxDepth(), gbt.getStepSize(), gbt.getSubsamplingRate()) == (100, 6, 0.1, 0.8)
     assert (gbt.getMinInfoGain(), gbt.getMinInstancesPerNode(), gbt.getFeatureSubsetStrategy()) == (0.1, 3, "all")
@@ -112,3 +112,27 @@ def test_model_and_state_persist(spark, data, model, tmp_path):
     assert back == state
     a = rows_of(tr.score(model, data, NAMES), "dealer_code")
     assert a == rows_of(tr.score(loaded, data, NAMES), "dealer_code")
+
+
+def test_training_and_scoring_jobs(spark, tmp_path):
+    """Quick training on the smallest data set, saved, loaded again and used."""
+    import dataclasses
+
+    from checks.queries import Inputs
+    from tests.conftest import SF_SMALL
+
+    x = Inputs(spark, SF_SMALL)
+    settings = dataclasses.replace(x.settings, cv_folds=2, search_draws=1)
+    spaces = ({"n_estimators": [2], "max_depth": [2]}, {"n_estimators": [2], "max_depth": [3]})
+    trained, paths = jobs.run_training(spark, x.stored_features, settings, str(tmp_path), spaces=spaces)
+    metrics = spark.read.option("header", "true").csv(paths["metrics"])
+    assert {r["metric"] for r in metrics.collect()} == {"accuracy", "precision", "recall", "f1_score", "roc_auc"}
+    assert spark.read.option("header", "true").csv(paths["importances"]).count() == len(trained.state.features)
+    as_of = ref("2001-06-30")
+    saved, summary = jobs.run_scoring(spark, x.stored_features, paths["model"], settings, str(tmp_path / "p"), as_of)
+    recent = x.stored_features.filter("last_billed_days <= 365").count()
+    assert saved.count() == recent == summary.first()["n_accounts"]
+    one = saved.first()["dealer_code"]
+    listed, _ = jobs.run_scoring(spark, x.stored_features, paths["model"], settings, str(tmp_path / "q"), as_of, [one, "none"])
+    assert [r["dealer_code"] for r in listed.collect()] == [one]
+    assert set(trained.state.features) <= set(listed.columns)

@@ -55,6 +55,14 @@ def test_scoring_aligns_and_rejects_unseen_codes(spark):
     assert {r["territory_code_encoded"] for r in pp.prepare_scoring(unseen, state, lenient).collect()} == {0.0}
 
 
+def test_long_dictionary_is_joined_with_the_same_result(spark, monkeypatch):
+    df = features(spark)
+    state = pp.fit_preparation(df, SETTINGS)
+    inline = rows_of(pp.prepare_training(df, state, SETTINGS), "dealer_code")
+    monkeypatch.setattr(pp, "INLINE_CODES", 1)
+    assert rows_of(pp.prepare_training(df, state, SETTINGS), "dealer_code") == inline
+
+
 def test_state_survives_saving(spark, tmp_path):
     state = pp.fit_preparation(features(spark), SETTINGS)
     state.save(spark, str(tmp_path / "state"))

@@ -53,6 +53,13 @@ def test_csv_with_and_without_contract(spark, tmp_path):
     assert contracts.load_csv(spark, path).columns == frame.columns
 
 
+def test_dataset_with_table(spark, frame, tmp_path):
+    out = contracts.save_dataset(frame, str(tmp_path / "set"), "default.t_set")
+    assert rows_of(contracts.load_csv(spark, out["csv"], out["contract"]), "k") == rows_of(frame, "k")
+    text = contracts.load_table(spark, "default.t_set", out["contract"])
+    assert contracts.matches(text, frame.schema) and text.count() == 2
+
+
 def test_contract_demo_frame(spark, tmp_path):
     demo = spark.createDataFrame(
         [("D001", "NS", 30, "Active", 1.5, 10), ("D002", "STARTER", 60, "Churned", 2.7, 20), ("D003", "BLUE CLUB", 90, "Active", 3.2, 15)],

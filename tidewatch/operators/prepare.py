@@ -23,6 +23,7 @@ KEY = "dealer_code"
 TARGET = "churn_status"
 ONE_HOT = ("zone", "region_name")
 NOT_FEATURES = ("last_billed_days", "severity")
+INLINE_CODES = 2_000
 
 
 def _c(name: str) -> Column:
@@ -107,12 +108,17 @@ def label_encode(df: DataFrame, column: str, codes: DataFrame, settings: Setting
     A value outside the dictionary fails the job, or becomes null when the
     ``unseen_codes`` setting is ``null``.
     """
-    out = df.join(codes, column, "left")
     target = f"{column}_encoded"
-    if settings.unseen_codes == "error":
-        unseen = F.concat(F.lit(f"unseen {column}: "), F.coalesce(_c(column), F.lit("null")))
-        out = out.withColumn(target, F.coalesce(_c(target), F.raise_error(unseen).cast("int")))
-    return out.drop(column)
+    out = df.join(codes, column, "left")
+    return out.withColumn(target, _known(column, _c(target), settings)).drop(column)
+
+
+def _known(column: str, found: Column, settings: Settings) -> Column:
+    """The position found, with the configured reaction to a missing one."""
+    if settings.unseen_codes != "error":
+        return found
+    unseen = F.concat(F.lit(f"unseen {column}: "), F.coalesce(_c(column), F.lit("null")))
+    return F.coalesce(found, F.raise_error(unseen).cast("int"))
 
 
 def encode_target(df: DataFrame) -> DataFrame:
@@ -157,28 +163,32 @@ def _dictionary(df: DataFrame, columns: Sequence[str]) -> dict[str, list[str]]:
     return {c: list(row[c]) for c in columns}
 
 
-def _code_of(column: str, codes: Sequence[str], settings: Settings) -> Column:
-    """Dictionary position as a literal map lookup: no join, no shuffle."""
+def _with_code(df: DataFrame, codes: Sequence[str], settings: Settings) -> DataFrame:
+    """Add the dictionary position of the territory.
+
+    A short dictionary is a literal map in the projection: no join, no shuffle.
+    A long one is joined, and Spark picks the join by its size.
+    """
+    column, target = "territory_code", "territory_code_encoded"
+    if column not in df.columns:
+        return df
+    if len(codes) > INLINE_CODES:
+        table = df.sparkSession.createDataFrame(
+            [(v, i) for i, v in enumerate(codes)], f"{column} string, {target} int"
+        )
+        return label_encode(df, column, table, settings)
     table = F.create_map(*[x for i, v in enumerate(codes) for x in (F.lit(v), F.lit(i))])
-    found = F.try_element_at(table, _c(column))
-    if settings.unseen_codes != "error":
-        return found
-    unseen = F.concat(F.lit(f"unseen {column}: "), F.coalesce(_c(column), F.lit("null")))
-    return F.coalesce(found, F.raise_error(unseen).cast("int"))
+    return df.withColumn(target, _known(column, F.try_element_at(table, _c(column)), settings)).drop(column)
 
 
 def _encoded(
-    df: DataFrame,
-    categories: Mapping[str, Sequence[str]],
-    territory_codes: Sequence[str],
-    settings: Settings,
+    df: DataFrame, categories: Mapping[str, Sequence[str]], settings: Settings
 ) -> dict[str, Column]:
     """Name -> expression of every model feature a frame yields, in column order.
 
     All encodings land in one projection, however many columns there are.
     """
     out: dict[str, Column] = {}
-    later: dict[str, Column] = {}
     for field in df.schema.fields:
         name = field.name
         if name in (KEY, TARGET, *NOT_FEATURES):
@@ -186,21 +196,20 @@ def _encoded(
         if name == "dealer_club_category":
             out[name] = level_of(_c(name), settings.model_levels, fold_case=True)
         elif name in ONE_HOT:
-            later.update({f"{name}_{v}": _flag(name, v) for v in categories[name]})
-        elif name == "territory_code":
-            later["territory_code_encoded"] = _code_of(name, territory_codes, settings)
+            out.update({f"{name}_{v}": _flag(name, v) for v in categories[name]})
         elif isinstance(field.dataType, T.StringType):
             out[name] = number_or_null(_c(name))
         else:
             out[name] = _c(name)
-    return {**out, **later}
+    return out
 
 
 def fit_preparation(features: DataFrame, settings: Settings) -> PrepState:
     """Read the category dictionaries of the recent accounts."""
-    found = _dictionary(recent_accounts(features, settings), [*ONE_HOT, "territory_code"])
+    recent = recent_accounts(features, settings)
+    found = _dictionary(recent, [*ONE_HOT, "territory_code"])
     codes = found.pop("territory_code")
-    return PrepState(found, codes, list(_encoded(features, found, codes, settings)))
+    return PrepState(found, codes, list(_encoded(_with_code(recent, codes, settings), found, settings)))
 
 
 def prepare_training(features: DataFrame, state: PrepState, settings: Settings) -> DataFrame:
@@ -209,8 +218,9 @@ def prepare_training(features: DataFrame, state: PrepState, settings: Settings)
     The days since the last invoice and the severity derived from them tell
     the label, so neither is a feature.
     """
-    columns = _encoded(features, state.categories, state.territory_codes, settings)
-    return recent_accounts(features, settings).select(
+    rows = _with_code(recent_accounts(features, settings), state.territory_codes, settings)
+    columns = _encoded(rows, state.categories, settings)
+    return rows.select(
         KEY,
         *[finite_or_zero(columns[f]).alias(f) for f in state.features],
         class_code(F.col(TARGET)).alias(TARGET),
@@ -219,8 +229,9 @@ def prepare_training(features: DataFrame, state: PrepState, settings: Settings)
 
 def prepare_scoring(features: DataFrame, state: PrepState, settings: Settings) -> DataFrame:
     """Same encodings for scoring: the fitted feature list, absent features as 0."""
-    columns = _encoded(features, state.categories, state.territory_codes, settings)
-    return recent_accounts(features, settings).select(
+    rows = _with_code(recent_accounts(features, settings), state.territory_codes, settings)
+    columns = _encoded(rows, state.categories, settings)
+    return rows.select(
         KEY,
         *[
             (finite_or_zero(columns[f]) if f in columns else F.lit(0.0)).alias(f)

@@ -16,7 +16,7 @@ from typing import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-RANGES = 64
+RANGES = 128
 
 
 def running_totals(

@@ -115,6 +115,56 @@ def explain_all(
     return explained, at.churn_drivers(explained)
 
 
+def run_training(
+    spark: SparkSession,
+    features: DataFrame,
+    settings: Settings,
+    out: str,
+    *,
+    params: Mapping[str, float] | None = None,
+    spaces: tuple[Mapping[str, Sequence], Mapping[str, Sequence]] | None = None,
+) -> tuple[Trained, dict[str, str]]:
+    """Train (searching the two spaces when given), evaluate, explain and save everything."""
+    trained = (
+        train_tuned(features, settings, *spaces) if spaces else train_quick(features, settings, params)
+    )
+    explained, drivers = explain_all(spark, trained, settings)
+    paths = {
+        "model": tr.save_model(trained.model, trained.state, f"{out}/fitted"),
+        "metrics": sinks.save_metrics(evaluate(trained), f"{out}/metrics"),
+        "importances": sinks.save_importances(
+            tr.importances(spark, trained.model, trained.state.features), f"{out}/importances"
+        ),
+        "explanations": sinks.save_explanations(explained, f"{out}/explanations"),
+        "drivers": sinks.write_csv(drivers, f"{out}/drivers"),
+    }
+    return trained, paths
+
+
+def run_scoring(
+    spark: SparkSession,
+    features: DataFrame,
+    fitted: str,
+    settings: Settings,
+    out: str,
+    as_of: Column,
+    codes: Sequence[str] | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """Score with a saved model, write the predictions, and return them with their summary.
+
+    With ``codes`` only those accounts are scored, and their features kept.
+    """
+    model, state = tr.load_model(spark, fitted)
+    if codes is None:
+        results = score_all(features, model, state, as_of, settings)
+    else:
+        results = score_accounts(features, codes, model, state, as_of, settings)
+    saved = spark.read.schema(results.schema).option("header", "true").csv(
+        sinks.save_predictions(results, out)
+    )
+    return saved, sc.prediction_summary(saved)
+
+
 def daily_job(
     spark: SparkSession,
     catalog: Catalog,

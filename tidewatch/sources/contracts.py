@@ -88,6 +88,17 @@ def save_csv_with_contract(df: DataFrame, path: str, contract_path: str) -> tupl
     return path, save_contract(df, contract_path)
 
 
+def save_dataset(df: DataFrame, path: str, table: str | None = None) -> dict[str, str]:
+    """CSV at ``{path}.csv``, its schema at ``{path}_schema``, and optionally a table."""
+    from tidewatch.sources.sinks import write_table
+
+    csv, contract = save_csv_with_contract(df, f"{path}.csv", f"{path}_schema")
+    out = {"csv": csv, "contract": contract}
+    if table:
+        out["table"] = write_table(df, table)
+    return out
+
+
 def load_csv(spark: SparkSession, path: str, contract_path: str | None = None) -> DataFrame:
     """CSV with its saved schema; without one the types are inferred by a first pass."""
     reader = spark.read.option("header", "true")
