@@ -6,9 +6,8 @@ import json
 import os
 import time
 
-from pyspark.sql import SparkSession
-
 from checks.queries import QUERIES
+from tidewatch.session import builder
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
@@ -24,8 +23,7 @@ HEADLINE = (
 
 def main() -> None:
     spark = (
-        SparkSession.builder.master(f"local[{CPUS}]")
-        .appName("bench")
+        builder("bench").master(f"local[{CPUS}]")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", CPUS)

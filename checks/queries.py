@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks.fixtures import SETTINGS, raw_catalog, tables
-from checks.shapes import shaped
+from checks.shapes import shaped, shaped_by_name
 from tidewatch.functions import columns as fc
 from tidewatch.operators import joins, prepare as pp, profile as pf
 from tidewatch.operators import lifecycle as lc
@@ -471,7 +471,7 @@ def severity(x: Inputs):
 @query()
 def one_hot(x: Inputs):
     rows = pp.recent_accounts(x.profiles, x.settings).select("dealer_code", "zone", "region_name")
-    found = pp._dictionary(rows, ["zone", "region_name"])
+    found = pp.category_values(rows, ["zone", "region_name"])
     for c in ("zone", "region_name"):
         rows = pp.one_hot(rows, c, found[c])
     return rows.select("dealer_code", *[F.col(f"`{c}`").cast("bigint").alias(c) for c in rows.columns[1:]])
@@ -486,28 +486,13 @@ def label_encode(x: Inputs):
 @query()
 def encode_features(x: Inputs):
     state = pp.fit_preparation(x.stored_features, x.settings)
-    return _rounded(pp.prepare_training(x.stored_features, state, x.settings))
+    return shaped_by_name(pp.prepare_training(x.stored_features, state, x.settings))
 
 
 @query()
 def prepare_scoring(x: Inputs):
     state = pp.fit_preparation(x.stored_features, x.settings)
-    return _rounded(pp.prepare_scoring(x.stored_features, state, x.settings))
-
-
-def _rounded(df: DataFrame) -> DataFrame:
-    """Round the doubles of a frame whose columns depend on the data."""
-    def one(c: str):
-        col = F.col(f"`{c}`")
-        if c == "dealer_code":
-            return col
-        if c == "churn_status":
-            return col.cast("bigint").alias(c)
-        if "rotation" in c:
-            return F.round(col.cast("double") + F.lit(1e-9), 6).alias(c)
-        return F.round(col.cast("double") + F.lit(1e-7), 4).alias(c)
-
-    return df.select(*[one(c) for c in df.columns])
+    return shaped_by_name(pp.prepare_scoring(x.stored_features, state, x.settings))
 
 
 @query("dealer_code:s last_billed_days:d not_in_input:d max_no_sales_streak:d")

@@ -8,29 +8,26 @@ lying exactly between two roundings do not depend on the order of a sum.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
-from tidewatch.functions.columns import month_text
+from tidewatch.functions.columns import name_sql
 
 
 def parse(shape: str) -> list[tuple[str, str]]:
     return [tuple(part.rsplit(":", 1)) for part in shape.split()]
 
 
-def _spark(name: str, kind: str) -> Column:
-    c = F.col(f"`{name}`")
-    if kind == "i":
-        c = c.cast("bigint")
-    elif kind == "d":
-        c = F.round(c.cast("double") + F.lit(1e-7), 4)
-    elif kind == "r":
-        c = F.round(c.cast("double") + F.lit(1e-9), 6)
-    elif kind == "t":
-        c = F.date_format(c, "yyyy-MM-dd")
-    elif kind == "m":
-        c = month_text(c)
-    return c.alias(name)
+def _spark(name: str, kind: str) -> str:
+    c = name_sql(name)
+    text = {
+        "s": c,
+        "i": f"CAST({c} AS BIGINT)",
+        "d": f"round(CAST({c} AS DOUBLE) + 1e-7D, 4)",
+        "r": f"round(CAST({c} AS DOUBLE) + 1e-9D, 6)",
+        "t": f"date_format({c}, 'yyyy-MM-dd')",
+        "m": f"date_format({c}, 'yyyy-MM')",
+    }[kind]
+    return f"{text} AS {c}"
 
 
 def _duck(name: str, kind: str) -> str:
@@ -48,10 +45,18 @@ def _duck(name: str, kind: str) -> str:
 
 def shaped(df: DataFrame, shape: str) -> DataFrame:
     """Spark result in its checked shape."""
-    return df.select(*[_spark(n, k) for n, k in parse(shape)])
+    return df.selectExpr(*[_spark(n, k) for n, k in parse(shape)])
 
 
 def shaped_sql(body: str, shape: str) -> str:
     """The outer SELECT of the SQL counterpart (months are text there already)."""
     columns = ", ".join(_duck(n, k) for n, k in parse(shape))
     return f"SELECT {columns} FROM ({body}) _q"
+
+
+def shaped_by_name(df: DataFrame) -> DataFrame:
+    """Model input, whose columns depend on the data: all numbers are doubles."""
+    def kind(c: str) -> str:
+        return {"dealer_code": "s", "churn_status": "i"}.get(c, "r" if "rotation" in c else "d")
+
+    return df.selectExpr(*[_spark(c, kind(c)) for c in df.columns])

@@ -8,6 +8,32 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+# -- SQL text ------------------------------------------------------------------
+# Projections of several hundred columns are written as SQL text: one parser
+# call per column instead of a Python-to-JVM call per operator.
+
+def name_sql(name: str) -> str:
+    """Quoted column name."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def text_sql(value: str) -> str:
+    """Quoted text literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def finite_or_zero_sql(value: str) -> str:
+    """SQL text of :func:`finite_or_zero`."""
+    number = f"CAST({value} AS DOUBLE)"
+    return f"coalesce(CASE WHEN abs({number}) < DOUBLE('infinity') THEN {number} END, 0D)"
+
+
+def level_sql(value: str, levels: Mapping[str, int]) -> str:
+    """SQL text of :func:`level_of` with folded case."""
+    pairs = ", ".join(f"{text_sql(name)}, {level}" for name, level in levels.items())
+    return f"try_element_at(map({pairs}), upper(trim({value})))"
+
+
 # -- months and dates --------------------------------------------------------
 
 def month_of(moment: Column) -> Column:

@@ -13,9 +13,13 @@ from pyspark.sql import types as T
 from tidewatch.functions.columns import (
     class_code,
     finite_or_zero,
+    finite_or_zero_sql,
     hash_bucket,
     level_of,
+    level_sql,
+    name_sql,
     number_or_null,
+    text_sql,
 )
 from tidewatch.settings import Settings
 
@@ -146,14 +150,14 @@ def drop_present(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def align_schema(df: DataFrame, features: Sequence[str], key: str = KEY) -> DataFrame:
     """Exactly the given feature columns, in order; absent ones are 0, others dropped."""
     have = set(df.columns)
-    return df.select(
-        key, *[_c(f) if f in have else F.lit(0.0).alias(f) for f in features]
+    return df.selectExpr(
+        key, *[name_sql(f) if f in have else f"0D AS {name_sql(f)}" for f in features]
     )
 
 
 # -- fitted preparation ----------------------------------------------------------------
 
-def _dictionary(df: DataFrame, columns: Sequence[str]) -> dict[str, list[str]]:
+def category_values(df: DataFrame, columns: Sequence[str]) -> dict[str, list[str]]:
     """Sorted distinct values of the category columns, in one pass.
 
     These become column names and code positions of the model, so their number
@@ -183,31 +187,31 @@ def _with_code(df: DataFrame, codes: Sequence[str], settings: Settings) -> DataF
 
 def _encoded(
     df: DataFrame, categories: Mapping[str, Sequence[str]], settings: Settings
-) -> dict[str, Column]:
-    """Name -> expression of every model feature a frame yields, in column order.
+) -> dict[str, str]:
+    """Name -> SQL text of every model feature a frame yields, in column order.
 
     All encodings land in one projection, however many columns there are.
     """
-    out: dict[str, Column] = {}
+    out: dict[str, str] = {}
     for field in df.schema.fields:
-        name = field.name
+        name, column = field.name, name_sql(field.name)
         if name in (KEY, TARGET, *NOT_FEATURES):
             continue
         if name == "dealer_club_category":
-            out[name] = level_of(_c(name), settings.model_levels, fold_case=True)
+            out[name] = level_sql(column, settings.model_levels)
         elif name in ONE_HOT:
-            out.update({f"{name}_{v}": _flag(name, v) for v in categories[name]})
+            out.update({f"{name}_{v}": f"coalesce({column} = {text_sql(v)}, false)" for v in categories[name]})
         elif isinstance(field.dataType, T.StringType):
-            out[name] = number_or_null(_c(name))
+            out[name] = f"try_cast(trim({column}) AS DOUBLE)"
         else:
-            out[name] = _c(name)
-    return out
+            out[name] = column
+    return {n: f"{finite_or_zero_sql(text)} AS {name_sql(n)}" for n, text in out.items()}
 
 
 def fit_preparation(features: DataFrame, settings: Settings) -> PrepState:
     """Read the category dictionaries of the recent accounts."""
     recent = recent_accounts(features, settings)
-    found = _dictionary(recent, [*ONE_HOT, "territory_code"])
+    found = category_values(recent, [*ONE_HOT, "territory_code"])
     codes = found.pop("territory_code")
     return PrepState(found, codes, list(_encoded(_with_code(recent, codes, settings), found, settings)))
 
@@ -220,24 +224,15 @@ def prepare_training(features: DataFrame, state: PrepState, settings: Settings)
     """
     rows = _with_code(recent_accounts(features, settings), state.territory_codes, settings)
     columns = _encoded(rows, state.categories, settings)
-    return rows.select(
-        KEY,
-        *[finite_or_zero(columns[f]).alias(f) for f in state.features],
-        class_code(F.col(TARGET)).alias(TARGET),
-    )
+    target = f"CASE {TARGET} WHEN 'Active' THEN 0 WHEN 'Churned' THEN 1 END AS {TARGET}"
+    return rows.selectExpr(KEY, *[columns[f] for f in state.features], target)
 
 
 def prepare_scoring(features: DataFrame, state: PrepState, settings: Settings) -> DataFrame:
     """Same encodings for scoring: the fitted feature list, absent features as 0."""
     rows = _with_code(recent_accounts(features, settings), state.territory_codes, settings)
     columns = _encoded(rows, state.categories, settings)
-    return rows.select(
-        KEY,
-        *[
-            (finite_or_zero(columns[f]) if f in columns else F.lit(0.0)).alias(f)
-            for f in state.features
-        ],
-    )
+    return rows.selectExpr(KEY, *[columns.get(f, f"0D AS {name_sql(f)}") for f in state.features])
 
 
 # -- split -----------------------------------------------------------------------------

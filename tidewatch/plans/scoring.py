@@ -7,7 +7,7 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.functions.columns import clamp_score, class_label, risk_band
+from tidewatch.functions.columns import clamp_score, class_label, name_sql, risk_band
 from tidewatch.settings import Settings
 
 
@@ -23,7 +23,7 @@ def prediction_results(scored: DataFrame, as_of: Column, settings: Settings) ->
     further columns (the features, when asked for) follow unchanged.
     """
     main = ("dealer_code", "predicted_churn", "churn_probability")
-    rest = [F.col(f"`{c}`") for c in scored.columns if c not in main]
+    rest = [name_sql(c) for c in scored.columns if c not in main]
     p = clamp_score(F.col("churn_probability"), settings.confidence_floor)
     return scored.withColumn("churn_probability", p).select(
         *main,

@@ -15,7 +15,7 @@ from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.functions.columns import hash_bucket
+from tidewatch.functions.columns import hash_bucket, name_sql
 from tidewatch.operators.prepare import KEY, TARGET, PrepState
 from tidewatch.plans.evaluation import class_weight
 from tidewatch.settings import GRID_SPACE, RANDOM_SPACE, TREE_DEFAULTS, Settings
@@ -195,7 +195,7 @@ def score(
     vector = VectorAssembler(inputCols=list(features), outputCol=VECTOR).transform(prepared)
     return model.transform(vector).select(
         KEY,
-        *[F.col(f"`{c}`") for c in keep if c in prepared.columns],
+        *[name_sql(c) for c in keep if c in prepared.columns],
         F.col("prediction").cast("int").alias("predicted_churn"),
         vector_to_array("probability")[1].alias("churn_probability"),
     )

@@ -23,6 +23,21 @@ SQL_SETTINGS = {
 }
 
 
+# Settings that only a new session can take.  Recording the Python call site of
+# every column costs more than building the plans of a batch job.
+START_SETTINGS = {
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
+}
+
+
+def builder(app: str) -> SparkSession.Builder:
+    """Session builder with all settings of this module."""
+    out = SparkSession.builder.appName(app)
+    for key, value in {**SQL_SETTINGS, **START_SETTINGS}.items():
+        out = out.config(key, value)
+    return out
+
+
 def tune(spark: SparkSession) -> SparkSession:
     """Apply the runtime SQL settings to a session the caller owns."""
     for key, value in SQL_SETTINGS.items():
