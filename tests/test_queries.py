@@ -56,3 +56,24 @@ def test_scans_read_only_needed_columns(spark):
     text = plan(QUERIES["churn_label"](spark, SF_SMALL))
     assert "l_extendedprice" not in text and "l_quantity" not in text and "o_totalprice" not in text
     assert "PushedFilters: [IsNotNull(o_orderdate)" in text or "IsNotNull(o_orderdate)" in text
+
+
+def test_pinned_reference_gives_the_same_windows(spark):
+    import dataclasses
+    import datetime as dt
+
+    from tidewatch.plans import features as ft
+
+    x = Inputs(spark, SF_SMALL)
+    pinned = dataclasses.replace(x.settings, reference=dt.datetime(2001, 6, 30))
+    a, b = x.life.windows, ft.build_lifecycle(x.catalog, pinned).windows
+    assert a.count() == b.count() > 0 and a.exceptAll(b).count() == 0
+
+
+def test_staged_and_lazy_builds_agree(spark):
+    from tidewatch.plans import features as ft
+
+    x = Inputs(spark, SF_SMALL)
+    names = ["dealer_code", "`total_sales_cm-1`", "`online_cm-2`", "avg_days_between_purchase", "no_change", "churn_status"]
+    lazy = ft.build_features(x.catalog, x.settings, ft.keep_lazy).select(*names)
+    assert lazy.exceptAll(x.features.select(*names)).count() == 0 and lazy.count() > 0

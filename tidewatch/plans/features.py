@@ -18,6 +18,7 @@ from dataclasses import dataclass
 from typing import Callable
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from tidewatch.operators import lifecycle as lc
 from tidewatch.operators import measures as ms
@@ -54,8 +55,11 @@ class Lifecycle:
 def build_lifecycle(catalog: Catalog, settings: Settings, stage: Stage = keep_lazy) -> Lifecycle:
     """Reference date, account windows and window sales."""
     sales, accounts = catalog.unrestricted("sales_data"), catalog["customer_master"]
-    point = lc.reference_point(in_scope(lc.latest_invoices(sales), accounts))
-    reference = stage(point, "reference").select("reference_date").scalar()
+    if settings.reference:
+        reference = F.lit(settings.reference).cast("timestamp_ntz")
+    else:
+        point = lc.reference_point(in_scope(lc.latest_invoices(sales), accounts))
+        reference = stage(point, "reference").select("reference_date").scalar()
     closed = lc.closed_month_sales(sales, reference)
     months = stage(in_scope(lc.account_months(closed), accounts), "months")
     windows = stage(lc.account_lifecycle(months, reference, settings), "windows")

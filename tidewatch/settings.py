@@ -114,6 +114,7 @@ class Settings:
 
     ``as_of`` replaces the wall clock; when it is left empty the reference
     date found in the sales data is used, so a rerun gives the same rows.
+    ``reference`` pins the reference moment and saves the scan that finds it.
     """
 
     group: str = "Z001"
@@ -122,6 +123,7 @@ class Settings:
     window_months: int = 12
     min_window_end: dt.date = dt.date(2022, 12, 1)
     as_of: dt.date | None = None
+    reference: dt.datetime | None = None
     settled_statuses: tuple[str, ...] = SETTLED_CLAIM_STATUSES
     movement_levels: Mapping[str, int] = field(default_factory=lambda: dict(MOVEMENT_LEVELS))
     model_levels: Mapping[str, int] = field(default_factory=lambda: dict(MODEL_LEVELS))
