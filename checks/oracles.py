@@ -12,7 +12,6 @@ import re
 from checks.fixtures import VIEWS, duck
 from checks.queries import (
     ASKED_FOR,
-    COUNT_MEASURES,
     SEGMENTS,
     SHAPES,
 )

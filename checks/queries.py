@@ -21,7 +21,6 @@ from tidewatch.plans import features as ft
 from tidewatch.plans import jobs
 from tidewatch.plans import scoring as sc
 from tidewatch.plans import training as tr
-from tidewatch.plans import trees
 from tidewatch.session import stage, tune, work_dir
 from tidewatch.settings import PIVOT_MEASURES
 from tidewatch.sources import contracts, sinks
@@ -105,9 +104,9 @@ class Inputs:
 
     @property
     def monthly(self):
-        return self._once(
-            "monthly", lambda: ft.build_monthly(self.catalog, self.staged_life, stage)
-        )
+        """Monthly sales, written once."""
+        return self._once("monthly", lambda: ms.monthly_sales(
+            stage(ms.monthly_totals(self.staged_life.window_sales), "totals"), self.accounts))
 
     @property
     def clubs(self):
@@ -115,7 +114,8 @@ class Inputs:
 
     @property
     def wide(self):
-        return ft.build_monthly_wide(self.catalog, self.monthly, self.staged_life, self.settings)
+        monthly = ft.build_monthly(self.catalog, self.staged_life, stage)
+        return ft.build_monthly_wide(self.catalog, monthly, self.settings)
 
     @property
     def features(self):

@@ -1,8 +1,6 @@
 import datetime as dt
 
 import pytest
-from pyspark.sql import functions as F
-
 from tests.helpers import day, ref, rows_of, sales_frame
 from tidewatch.operators import lifecycle as lc
 from tidewatch.settings import Settings

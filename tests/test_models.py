@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from tests.helpers import ref, rows_of
 from tidewatch.operators import prepare as pp
-from tidewatch.plans import attribution as at
 from tidewatch.plans import jobs
 from tidewatch.plans import training as tr
 from tidewatch.plans import trees

@@ -76,21 +76,29 @@ def month_count(totals: DataFrame) -> Column:
     return totals.agg(F.countDistinct("month").alias("n")).scalar()
 
 
-def monthly_sales(totals: DataFrame, accounts: DataFrame) -> DataFrame:
-    """Monthly totals, their share of the overall month count, and the account's groups."""
-    n = month_count(totals)
-    return totals.select(
-        "*",
-        (F.col("total_invoices") / n).alias("avg_invoices"),
-        (F.col("total_sales") / n).alias("avg_sales"),
-        (F.col("total_units") / n).alias("avg_units_purchased"),
-    ).join(
-        accounts.select("dealer_code", "territory_code", "dealer_club_category"),
-        "dealer_code",
-        "left",
+def with_groups(totals: DataFrame, accounts: DataFrame) -> DataFrame:
+    """Monthly totals with the account's territory and club."""
+    groups = accounts.select("dealer_code", "territory_code", "dealer_club_category")
+    return totals.join(groups, "dealer_code", "left")
+
+
+def with_month_averages(monthly: DataFrame) -> DataFrame:
+    """Each total over the number of months in which any account sold."""
+    n = month_count(monthly)
+    return monthly.withColumns(
+        {
+            "avg_invoices": F.col("total_invoices") / n,
+            "avg_sales": F.col("total_sales") / n,
+            "avg_units_purchased": F.col("total_units") / n,
+        }
     )
 
 
+def monthly_sales(totals: DataFrame, accounts: DataFrame) -> DataFrame:
+    """Monthly totals with both of the above."""
+    return with_groups(with_month_averages(totals), accounts)
+
+
 def group_means(monthly: DataFrame, group: str, means: Mapping[str, str]) -> DataFrame:
     """Mean of each measure per group and month; null groups are left out.
 
@@ -149,10 +157,10 @@ def with_rotation(monthly: DataFrame, shifted_clubs: DataFrame) -> DataFrame:
     return with_group_means(add_rotation(monthly, shifted_clubs), ROTATION_MEANS)
 
 
-def with_peers_and_rotation(monthly: DataFrame, shifted_clubs: DataFrame) -> DataFrame:
-    """Both of the above with one aggregate and one lookup per group."""
+def with_peers_and_rotation_means(monthly: DataFrame) -> DataFrame:
+    """All group means with one aggregate and one lookup per group."""
     both = {g: {**PEER_MEANS[g], **ROTATION_MEANS[g]} for g in PEER_MEANS}
-    return with_group_means(add_rotation(monthly, shifted_clubs), both)
+    return with_group_means(monthly, both)
 
 
 def club_moves(shifted_clubs: DataFrame, settings: Settings) -> DataFrame:

@@ -7,7 +7,7 @@ windows.
 
 A few small results are read by several later steps: the reference date (one
 row), the account months, the account windows (one row per account) and the
-monthly totals (at most 13 rows per account).  ``build_*`` writes each of them
+monthly sales (at most 13 rows per account).  ``build_*`` writes each of them
 once through ``stage`` so that the sales lines are scanned a fixed number of
 times; pass ``keep_lazy`` to get a single lazy plan instead.
 """
@@ -67,14 +67,17 @@ def build_lifecycle(catalog: Catalog, settings: Settings, stage: Stage = keep_la
 
 
 def build_monthly(catalog: Catalog, life: Lifecycle, stage: Stage = keep_lazy) -> DataFrame:
-    """Monthly sales of the windows with the account's territory and club."""
-    totals = stage(ms.monthly_totals(life.window_sales), "monthly")
-    return ms.monthly_sales(totals, catalog["customer_master"])
+    """Monthly sales and rotation of the windows, with averages and group means.
 
+    The rows are written before the means, which read them once per group.
+    """
+    clubs = ms.club_month_shift(catalog.unrestricted("monthly_club_mapping"), life.reference)
+    grouped = ms.with_groups(ms.monthly_totals(life.window_sales), catalog["customer_master"])
+    monthly = stage(ms.add_rotation(grouped, clubs), "monthly")
+    return ms.with_peers_and_rotation_means(ms.with_month_averages(monthly))
 
-def build_monthly_wide(
-    catalog: Catalog, monthly: DataFrame, life: Lifecycle, settings: Settings
-) -> DataFrame:
+
+def build_monthly_wide(catalog: Catalog, monthly: DataFrame, settings: Settings) -> DataFrame:
     """All monthly features on (account, month).
 
     ``monthly`` has the accounts in scope only, so the left joins restrict the
@@ -82,9 +85,8 @@ def build_monthly_wide(
     the account list itself.
     """
     accounts = catalog["customer_master"]
-    clubs = ms.club_month_shift(catalog.unrestricted("monthly_club_mapping"), life.reference)
     return wd.monthly_wide(
-        ms.with_peers_and_rotation(monthly, clubs),
+        monthly,
         ms.financial_month(catalog.unrestricted("customer_financial")),
         ms.credit_notes(catalog.unrestricted("credit_note")),
         ms.order_channel(
@@ -101,7 +103,7 @@ def build_features(
     """The wide feature table of every account with sales in its window."""
     life = build_lifecycle(catalog, settings, stage)
     monthly = build_monthly(catalog, life, stage)
-    wide = build_monthly_wide(catalog, monthly, life, settings)
+    wide = build_monthly_wide(catalog, monthly, settings)
     maps = wd.month_maps(wd.with_relative_month(wide, settings))
     as_of = lc.as_of_date(life.reference, settings)
     clubs = ms.club_month_shift(catalog.unrestricted("monthly_club_mapping"), life.reference)

@@ -51,7 +51,8 @@ def classifier(settings: Settings, params: Params | None = None) -> GBTClassifie
     """Weighted boosted-tree classifier with the defaults overridden by ``params``."""
     values = spark_values({**TREE_DEFAULTS, **(params or {})})
     return GBTClassifier(
-        featuresCol=VECTOR, labelCol=TARGET, weightCol=WEIGHT, seed=settings.seed, **values
+        featuresCol=VECTOR, labelCol=TARGET, weightCol=WEIGHT, seed=settings.seed,
+        maxMemoryInMB=512, **values,
     )
 
 
