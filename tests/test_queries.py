@@ -4,12 +4,13 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_points
+from checks import oracles, queries
 from checks.queries import Inputs
 from tests.conftest import SF_SMALL
 from tools.compare import TABLES, normal
 
-QUERIES = entry_points.queries()
-ORACLES = entry_points.oracle_sql()
+QUERIES = queries.QUERIES
+ORACLES = oracles.oracle_sql()
 # Their columns are the zones and regions found in the data; the SQL names all
 # 25 regions, which the smallest scale does not reach.
 ALL_REGIONS = {"one_hot", "encode_features", "prepare_scoring"}
@@ -25,6 +26,8 @@ def duck():
 
 def test_every_sql_key_is_a_query():
     assert set(ORACLES) <= set(QUERIES) and len(QUERIES) == 89
+    assert set(entry_points.oracle_sql()) <= set(entry_points.queries())
+    assert set(QUERIES) <= set(entry_points.queries())
 
 
 @pytest.mark.parametrize("key", sorted(set(ORACLES) - ALL_REGIONS))
