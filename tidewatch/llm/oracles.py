@@ -71,8 +71,45 @@ fits AS (
 SELECT page_id, coalesce(host, '') AS host, coalesce(path, '') AS path, rule, coalesce(verdict, 'allow') AS verdict
 FROM fits WHERE nth = 1"""
 
+QUALITY_RULES = rf"""
+WITH docs AS (
+  SELECT doc_id, source, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w, coalesce(text, '') AS text
+  FROM documents),
+windows AS (
+  SELECT doc_id, unnest(range(1, len(w) - 1)) AS i, w FROM docs WHERE len(w) > 3),
+marked AS (
+  SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, w[i], w[i + 1], w[i + 2]) AS times FROM windows),
+covered AS (
+  SELECT doc_id, count(DISTINCT p) AS n_repeat_words
+  FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS p FROM marked WHERE times > 1) GROUP BY doc_id),
+lines AS (
+  SELECT doc_id, count(*) - count(DISTINCT line) AS n_dup_lines
+  FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM docs)
+  WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY doc_id),
+base AS (
+  SELECT doc_id, source, CAST(len(w) AS BIGINT) AS n_words, length(array_to_string(w, '')) AS word_chars,
+         length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
+         coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words
+  FROM docs LEFT JOIN covered USING (doc_id) LEFT JOIN lines USING (doc_id)),
+judged AS (
+  SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM base),
+hosts AS (
+  SELECT source, count(*) AS n, sum(CASE WHEN base_failed THEN 1 ELSE 0 END) AS f FROM judged
+  WHERE source IS NOT NULL GROUP BY source),
+moments AS (
+  SELECT avg(f / n) AS m, var_pop(f / n) AS v FROM hosts),
+prior AS (
+  SELECT m, CASE WHEN v > 0 AND m * (1 - m) / v - 1 < 1e6 THEN greatest(m * (1 - m) / v - 1, 1.0) ELSE 1e6 END AS s
+  FROM moments),
+bad AS (
+  SELECT source FROM hosts, prior WHERE (f + m * s) / (n + s) > 0.5)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND b.source IS NULL AS kept
+FROM judged j LEFT JOIN bad b ON j.source = b.source"""
+
 ORACLES = {
     "op2_line_dedup": LINE_DEDUP,
+    "op4_quality_rules": QUALITY_RULES,
     "op7_decontamination": DECONTAMINATION,
     "op9_url_filter": URL_FILTER,
 }

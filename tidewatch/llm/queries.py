@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm import decontaminate, line_dedup, url_filter
+from tidewatch.llm import decontaminate, line_dedup, packing, quality_rules, secrets, url_filter
 from tidewatch.llm.common import table, tuned
+from tidewatch.session import stage
 
 # The rules of the URL query.
 URL_RULES = (
@@ -40,8 +42,39 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(pages, rules).drop("url")
 
 
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(tuned(spark), sf_dir, "documents").select("doc_id", "source", "text")
+    measured = stage(quality_rules.measure(docs).drop("text"), "measures")
+    return quality_rules.judge(measured).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(tuned(spark), sf_dir, "documents").select("doc_id", "text")
+    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(tuned(spark), sf_dir, "documents").select("doc_id", "text")
+    found = secrets.scan(docs)
+
+    def written(kinds):
+        some = F.filter("spans", lambda s: s.kind.isin(*kinds))
+        return F.array_join(F.transform(some, lambda s: F.concat_ws(":", s.kind, s.start, s.stop)), ",")
+
+    def count(kind):
+        return F.size(F.filter("spans", lambda s: s.kind == kind)).cast("long")
+
+    return found.select("doc_id", *[count(k).alias(f"n_{k}") for k in secrets.KINDS[:3]],
+                        F.sha2(written(secrets.KINDS[:3]), 256).alias("base_sha256"),
+                        written(secrets.KINDS).alias("spans"))
+
+
 QUERIES = {
     "op2_line_dedup": op2_line_dedup,
+    "op4_quality_rules": op4_quality_rules,
+    "op6_packing": op6_packing,
     "op7_decontamination": op7_decontamination,
+    "op8_secrets": op8_secrets,
     "op9_url_filter": op9_url_filter,
 }
