@@ -6,8 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm import decontaminate, line_dedup, packing, quality_rules, secrets, url_filter
-from tidewatch.llm.common import table, tuned
+from tidewatch.llm import (decontaminate, language_id, line_dedup, packing, quality_crf, quality_rules, secrets,
+                           url_filter)
+from tidewatch.llm.common import crc_mod, table, tuned
 from tidewatch.session import stage
 
 # The rules of the URL query.
@@ -70,11 +71,28 @@ def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
                         written(secrets.KINDS).alias("spans"))
 
 
+def op5_quality_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(tuned(spark), sf_dir, "documents").select("doc_id", "text")
+    held_out = crc_mod(F.col("doc_id"), 3) == 1
+    labels = table(spark, sf_dir, "labels").select("doc_id", "quality").where(~held_out)
+    out = quality_crf.score(docs, quality_crf.train(docs, labels))
+    return out.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(tuned(spark), sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = crc_mod(F.col("doc_id"), 4) == 2
+    out = language_id.identify(docs, language_id.train(docs.where(~held_out)))
+    return out.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 QUERIES = {
     "op2_line_dedup": op2_line_dedup,
     "op4_quality_rules": op4_quality_rules,
+    "op5_quality_crf": op5_quality_crf,
     "op6_packing": op6_packing,
     "op7_decontamination": op7_decontamination,
     "op8_secrets": op8_secrets,
     "op9_url_filter": op9_url_filter,
+    "op10_language_id": op10_language_id,
 }
