@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -39,20 +39,24 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def map_batches(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], dict]],
+def map_batches(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], dict | Iterable[dict]]],
                 schema: str | StructType) -> DataFrame:
-    """``mapInArrow`` whose worker is made once per task and returns one column list per output field."""
+    """``mapInArrow`` whose worker is made once per task and returns one column list per output field.
+
+    A worker may return several such dictionaries, to keep what it hands over small.
+    """
     schema = StructType.fromDDL(schema) if isinstance(schema, str) else schema
     arrow = to_arrow_schema(schema)
 
     def run(batches):
         work = make()
         for batch in batches:
-            out = work(batch)
-            columns = [out[f.name] for f in arrow]
-            yield pa.RecordBatch.from_arrays(
-                [c.cast(f.type) if isinstance(c, pa.Array) else pa.array(c, type=f.type)
-                 for c, f in zip(columns, arrow)], schema=arrow)
+            made = work(batch)
+            for out in [made] if isinstance(made, dict) else made:
+                columns = [out[f.name] for f in arrow]
+                yield pa.RecordBatch.from_arrays(
+                    [c.cast(f.type) if isinstance(c, pa.Array) else pa.array(c, type=f.type)
+                     for c, f in zip(columns, arrow)], schema=arrow)
 
     return df.mapInArrow(run, schema)
 

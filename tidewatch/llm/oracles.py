@@ -21,6 +21,25 @@ repeated AS (
 judged AS (
   SELECT l.*, (r.key IS NOT NULL AND l.doc_id <> r.holder) AS lost FROM lines l LEFT JOIN repeated r USING (key))"""
 
+NEAR_DUP = rf"""
+WITH RECURSIVE docs AS (
+  SELECT doc_id, regexp_extract_all({_low("coalesce(text, '')")}, '[^\x20\x09-\x0D]+') AS w FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM docs WHERE len(w) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+shared AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n
+  FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY a.doc_id, b.doc_id),
+links AS (
+  SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+  WHERE 100 * shared.n >= 75 * (x.n + y.n - shared.n)),
+reach(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM docs
+  UNION SELECT r.doc_id, l.b FROM reach r JOIN links l ON l.a = r.other)
+SELECT d.doc_id, coalesce(any_value(z.n), 0) AS n_shingles, min(r.other) AS component_id, d.doc_id = min(r.other) AS kept
+FROM docs d JOIN reach r ON r.doc_id = d.doc_id LEFT JOIN sizes z ON z.doc_id = d.doc_id GROUP BY d.doc_id"""
+
 LINE_DEDUP = f"""
 WITH {LINES}
 SELECT doc_id, count(*) AS n_lines, CAST(sum(CASE WHEN lost THEN 1 ELSE 0 END) AS BIGINT) AS n_dropped,
@@ -107,8 +126,27 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
        NOT base_failed AND b.source IS NULL AS kept
 FROM judged j LEFT JOIN bad b ON j.source = b.source"""
 
+SUBSTRING_DEDUP = r"""
+WITH docs AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+windows AS (
+  SELECT doc_id, i, count(*) OVER (PARTITION BY sha256(array_to_string(w[i:i + 34], ' '))) AS times
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 33)) AS i FROM docs WHERE len(w) >= 35)),
+lost AS (
+  SELECT DISTINCT doc_id, unnest(range(i, i + 35)) AS p FROM windows WHERE times > 1),
+words AS (
+  SELECT doc_id, unnest(range(1, len(w) + 1)) AS p, unnest(w) AS word FROM docs),
+kept AS (
+  SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY p) AS text
+  FROM words ANTI JOIN lost USING (doc_id, p) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, len(w) - coalesce(n, 0) AS n_removed,
+       sha256(coalesce(text, '')) AS kept_sha256
+FROM docs LEFT JOIN kept USING (doc_id)"""
+
 ORACLES = {
+    "op1_near_dup": NEAR_DUP,
     "op2_line_dedup": LINE_DEDUP,
+    "op3_substring_dedup": SUBSTRING_DEDUP,
     "op4_quality_rules": QUALITY_RULES,
     "op7_decontamination": DECONTAMINATION,
     "op9_url_filter": URL_FILTER,

@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm import (decontaminate, language_id, line_dedup, packing, quality_crf, quality_rules, secrets,
-                           url_filter)
+from tidewatch.llm import (decontaminate, language_id, line_dedup, near_dup, packing, quality_crf, quality_rules,
+                           secrets, substring_dedup, url_filter)
 from tidewatch.llm.common import crc_mod, table, tuned
 from tidewatch.session import stage
 
@@ -21,6 +21,10 @@ URL_RULES = (
 )
 
 
+def op1_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.near_duplicates(table(tuned(spark), sf_dir, "documents").select("doc_id", "text"))
+
+
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(tuned(spark), sf_dir, "documents").select("doc_id", "text")
     out = line_dedup.dedup_lines(docs)
@@ -43,6 +47,12 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(pages, rules).drop("url")
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(tuned(spark), sf_dir, "documents").select("doc_id", "text")
+    out = substring_dedup.dedup_substrings(docs)
+    return out.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(tuned(spark), sf_dir, "documents").select("doc_id", "source", "text")
     measured = stage(quality_rules.measure(docs).drop("text"), "measures")
@@ -87,7 +97,9 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_near_dup": op1_near_dup,
     "op2_line_dedup": op2_line_dedup,
+    "op3_substring_dedup": op3_substring_dedup,
     "op4_quality_rules": op4_quality_rules,
     "op5_quality_crf": op5_quality_crf,
     "op6_packing": op6_packing,
