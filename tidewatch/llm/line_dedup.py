@@ -92,13 +92,13 @@ def dedup_lines(docs: DataFrame, batches: int = BATCHES, fan_in: int = FAN_IN, m
     repeated = _merged(runs).where(F.col("n_docs") >= min_docs)
     lost = (keys.join(repeated, KEY).where("doc_id <> holder")
             .groupBy(F.col("doc_id").alias("lost_id")).agg(F.collect_set(F.struct(*KEY)).alias("lost")))
-    out = docs.drop("n_lines", "n_dropped").alias("d").join(
-        lost, F.col("d.doc_id") == F.col("lost_id"), "left")
-    lines = _lines(F.col("d.text"))
-    kept = F.filter(lines, lambda x: (F.length(_key(x)) < min_chars) | ~F.array_contains("lost", _hash(_key(x))))
-    kept = F.when(F.col("lost").isNull(), lines).otherwise(kept)
-    others = [F.col(f"d.`{c}`") for c in docs.columns if c not in ("text", "n_lines", "n_dropped")]
-    out = out.select(*others, F.size(lines).cast("long").alias("n_lines"), kept.alias("_kept"))
-    rest = [F.col(f"`{c}`") for c in docs.columns if c not in ("text", "n_lines", "n_dropped")]
-    return out.select(*rest, F.array_join("_kept", "\n").alias("text"), "n_lines",
-                      (F.col("n_lines") - F.size("_kept")).alias("n_dropped"))
+    rest = [c for c in docs.columns if c not in ("text", "n_lines", "n_dropped")]
+    out = docs.alias("d").join(lost.alias("l"), F.col("d.doc_id") == F.col("l.lost_id"), "left")
+    lines, keys_lost = _lines(F.col("d.text")), F.col("l.lost")
+    kept = F.filter(lines, lambda x: (F.length(_key(x)) < min_chars) | ~F.array_contains(keys_lost, _hash(_key(x))))
+    kept = F.when(keys_lost.isNull(), lines).otherwise(kept)
+    # The other columns travel in a struct, so none of them can clash with a name used here.
+    out = out.select(F.struct(*[F.col(f"d.`{c}`") for c in rest]).alias("d"),
+                     F.size(lines).cast("bigint").alias("n_lines"), kept.alias("lines"))
+    return out.select(*[F.col("d")[c].alias(c) for c in rest], F.array_join("lines", "\n").alias("text"), "n_lines",
+                      (F.col("n_lines") - F.size("lines")).alias("n_dropped"))

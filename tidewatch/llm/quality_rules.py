@@ -67,12 +67,13 @@ def measure(docs: DataFrame) -> DataFrame:
         F.size(w).cast("bigint").alias("n_words"), F.length(F.array_join(w, "")).cast("bigint").alias("word_chars"),
         _repeat_words(w).alias("n_repeat_words")))
     dup = let(lines, lambda x: (F.size(x) - F.size(F.array_distinct(x))).cast("bigint"))
-    out = docs.drop(*MEASURES).select("*", found.alias("_w"), dup.alias("n_dup_lines"),
-                                      F.regexp_count(text, F.lit(SYMBOLS)).cast("bigint").alias("n_symbols"))
-    for name in ("n_words", "word_chars", "n_repeat_words"):
-        out = out.withColumn(name, F.col("_w")[name])
-    failed = (F.col("n_words") < MIN_WORDS) | (F.col("n_repeat_words") > F.lit(MAX_REPEAT) * F.col("n_words"))
-    return out.drop("_w").withColumn("base_failed", failed)
+    rest = [c for c in docs.columns if c not in MEASURES]
+    out = docs.select(F.struct(*[F.col(f"`{c}`") for c in rest]).alias("d"), found.alias("w"), dup.alias("n_dup_lines"),
+                      F.regexp_count(text, F.lit(SYMBOLS)).cast("bigint").alias("n_symbols"))
+    n_words, repeat = F.col("w.n_words"), F.col("w.n_repeat_words")
+    failed = (n_words < MIN_WORDS) | (repeat > F.lit(MAX_REPEAT) * n_words)
+    return out.select(*[F.col("d")[c].alias(c) for c in rest], n_words, "w.word_chars", "n_symbols", "n_dup_lines",
+                      repeat, failed.alias("base_failed"))
 
 
 def host_rates(measured: DataFrame, host: str = "source") -> DataFrame:
@@ -90,6 +91,6 @@ def host_rates(measured: DataFrame, host: str = "source") -> DataFrame:
 
 def judge(measured: DataFrame, host: str = "source", host_limit: float = HOST_LIMIT) -> DataFrame:
     """Adds ``kept``.  ``measured`` is read twice: store it before (it need not hold the texts)."""
-    bad = host_rates(measured, host).where(F.col("shrunk") > host_limit).select(F.col("host").alias("_bad"))
-    out = measured.drop("kept").join(bad, F.col(host) == F.col("_bad"), "left")
-    return out.withColumn("kept", ~F.col("base_failed") & F.col("_bad").isNull()).drop("_bad")
+    bad = host_rates(measured, host).where(F.col("shrunk") > host_limit).select("host").alias("bad")
+    out = measured.drop("kept").alias("m").join(bad, F.col(f"m.`{host}`") == F.col("bad.host"), "left")
+    return out.select("m.*", (~F.col("m.base_failed") & F.col("bad.host").isNull()).alias("kept"))

@@ -64,7 +64,7 @@ def judge_urls(pages: DataFrame, rules: DataFrame, url: str = "url", default: st
     won = fitting.groupBy("u").agg(best.alias("w")).select("u", "w.rule", "w.verdict")
 
     kept = pages.drop("host", "path", "rule", "verdict").alias("k")
-    out = kept.join(won, F.col(f"k.{url}") == F.col("u"), "left")
-    host, path = host_and_path(F.coalesce(F.col(f"k.{url}"), F.lit("")))
-    return out.select("k.*", host.alias("host"), path.alias("path"), "rule",
-                      F.coalesce("verdict", F.lit(default)).alias("verdict"))
+    out = kept.join(won.alias("w"), F.col(f"k.`{url}`") == F.col("w.u"), "left")
+    host, path = host_and_path(F.coalesce(F.col(f"k.`{url}`"), F.lit("")))
+    return out.select("k.*", host.alias("host"), path.alias("path"), F.col("w.rule").alias("rule"),
+                      F.coalesce("w.verdict", F.lit(default)).alias("verdict"))
