@@ -32,7 +32,8 @@ KEYWORDS = ("password", "passwd", "secret", "token", "api_key", "apikey")
 
 SIGNS = b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 TOKEN = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % MIN_RANDOM)
-ORDINARY = re.compile(r"[A-Za-z0-9+/_=-]{6,}")
+# Ordinary samples are too short to be reported themselves, so an unknown secret cannot pass for one.
+ORDINARY = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{4,%d}(?![A-Za-z0-9+/_=-])" % (MIN_RANDOM - 1))
 _CODE = bytes(SIGNS.find(bytes([c])) if bytes([c]) in SIGNS else 255 for c in range(256))
 
 
@@ -54,14 +55,15 @@ def _codes(token: str) -> np.ndarray:
     return np.frombuffer(token.encode().translate(_CODE), dtype=np.uint8)
 
 
-def _log_model(tokens: list[str], smoothing: float = 0.5) -> np.ndarray:
-    """log P(next | previous) with additive smoothing; uniform without tokens."""
+def _log_model(tokens: list[str], backing: float = 10.0) -> np.ndarray:
+    """log P(next | previous), backed by the smoothed shares of single characters; uniform without tokens."""
     n = len(SIGNS)
-    counts = np.full((n, n), smoothing)
+    counts, single = np.zeros((n, n)), np.full(n, 0.5)
     for t in tokens:
         c = _codes(t)
         np.add.at(counts, (c[:-1], c[1:]), 1)
-    return np.log(counts / counts.sum(axis=1, keepdims=True))
+        np.add.at(single, c, 1)
+    return np.log((counts + backing * single / single.sum()) / (counts.sum(axis=1, keepdims=True) + backing))
 
 
 def train(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> np.ndarray:
