@@ -50,8 +50,9 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: in
 
         def work(batch):
             out = {k: [] for k in ("doc_id", "piece", "start", "length", "ids_crc32", "salt")}
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
-                ids = tok.ids(text or "") + end
+            texts = [t or "" for t in batch.column("text").to_pylist()]
+            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), tok.ids(texts)):
+                ids += end
                 for k, at in enumerate(range(0, len(ids), 4 * capacity)):
                     part = ids[at:at + 4 * capacity]
                     for name, value in zip(out, (doc_id, k, at // 4, len(part) // 4, zlib.crc32(part), next(salt))):

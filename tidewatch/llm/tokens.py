@@ -28,11 +28,17 @@ def _byte_signs() -> dict[int, str]:
     """Byte-level alphabet: printable bytes stand for themselves, the others follow from 256 on."""
     plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
     others = [b for b in range(256) if b not in plain]
-    return {b: chr(256 + i) for i, b in enumerate(others)}
+    signs = {b: chr(256 + i) for i, b in enumerate(others)}
+    del signs[32]  # no word has a space; it separates words here
+    return signs
 
 
 class WordTokenizer:
-    """ids(text): little-endian unsigned 32-bit ids as bytes."""
+    """ids(texts): little-endian unsigned 32-bit ids of each text, as bytes.
+
+    The cache has two generations: when the young one is full it becomes the old one, and words met again are
+    taken over from there, so frequent words stay.
+    """
 
     def __init__(self, path: str, cache_words: int = CACHE_WORDS):
         self.full = Tokenizer.from_file(path)
@@ -45,7 +51,8 @@ class WordTokenizer:
         self.ends = np.zeros(max(model["vocab"].values()) + 1, dtype=bool)
         self.ends[[i for token, i in model["vocab"].items() if token.endswith(suffix)]] = True
         self.signs = _byte_signs()
-        self.words: dict[str, bytes] = {}
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
         self.cache_words = cache_words
 
     def _whole(self, text: str) -> bytes:
@@ -55,8 +62,10 @@ class WordTokenizer:
         """ids of runs of letters or signs."""
         if not parts:
             return {}
-        spelled = [p.lower().encode().decode("latin-1").translate(self.signs) for p in parts]
-        ids = np.asarray(self.plain.encode_batch_fast([" ".join(spelled)], add_special_tokens=False)[0].ids, dtype="<u4")
+        spelled = " ".join(parts).lower()
+        if not spelled.isascii():
+            spelled = spelled.encode().decode("latin-1").translate(self.signs)
+        ids = np.asarray(self.plain.encode_batch_fast([spelled], add_special_tokens=False)[0].ids, dtype="<u4")
         stops = np.flatnonzero(self.ends[ids]) + 1
         if len(stops) != len(parts):
             return {p: self._whole(p) for p in parts}
@@ -64,25 +73,25 @@ class WordTokenizer:
         return {p: raw[a:b] for p, a, b in zip(parts, at, at[1:])}
 
     def _learn(self, words: set[str]) -> None:
-        fresh = [w for w in words if w not in self.words]
-        if len(self.words) + len(fresh) > self.cache_words:
-            self.words.clear()
-            fresh = list(words)
-        simple = {w: m.groups() for w in fresh if (m := _SIMPLE.fullmatch(w))}
-        ids = self._parts(list({p for pair in simple.values() for p in pair if p}))
-        ids[""] = b""
-        for w in fresh:
-            self.words[w] = ids[simple[w][0]] + ids[simple[w][1]] if w in simple else self._whole(w)
-
-    def ids(self, text: str) -> bytes:
-        if _RARE.search(text):
-            return self._whole(text)
-        words = text.split()
-        try:
-            return b"".join(map(self.words.__getitem__, words))
-        except KeyError:
-            self._learn(set(words))
-            return b"".join(map(self.words.__getitem__, words))
+        """Puts all words into the young generation."""
+        if len(self.young) > self.cache_words:
+            self.young, self.old = {}, self.young
+        fresh = words.difference(self.young)
+        self.young.update((w, self.old[w]) for w in fresh.intersection(self.old))
+        fresh.difference_update(self.old)
+        simple = [(w, m[1], m[2]) for w, m in zip(fresh, map(_SIMPLE.fullmatch, fresh)) if m]
+        parts = {p for _, a, b in simple for p in (a, b) if p}
+        plain = set(filter(str.isascii, parts))  # these need no byte signs
+        ids = {"": b""} | self._parts(list(plain)) | self._parts(list(parts - plain))
+        self.young.update((w, ids[a] + ids[b]) for w, a, b in simple)
+        if len(simple) < len(fresh):
+            self.young.update((w, self._whole(w)) for w in fresh if w not in self.young)
+
+    def ids(self, texts: list[str]) -> list[bytes]:
+        split = [None if _RARE.search(t) else t.split() for t in texts]
+        self._learn(set().union(*(w for w in split if w)))
+        known = self.young.__getitem__
+        return [self._whole(t) if w is None else b"".join(map(known, w)) for t, w in zip(texts, split)]
 
 
 _LOADED: dict[str, WordTokenizer] = {}
