@@ -16,12 +16,15 @@ MONTH_KEY = ("dealer_code", "month")
 def with_relative_month(monthly: DataFrame, settings: Settings) -> DataFrame:
     """Months back from the account's own latest month (1 = latest).
 
-    Only the configured number of months is kept.
+    Windows reach at most one month beyond the configured number; that month is left out.  An older one
+    means that the window rule was not applied, and fails the job.
     """
     latest = F.max("month").over(Window.partitionBy("dealer_code"))
     back = F.months_between(latest, F.col("month")).cast("int") + 1
+    limit = settings.relative_months
+    too_old = F.raise_error(F.concat(F.lit("month outside the window: "), F.col("month").cast("string")))
     return monthly.withColumn("rel_month", back).filter(
-        F.col("rel_month").between(1, settings.relative_months)
+        F.when(F.col("rel_month") > limit + 1, too_old.cast("boolean")).otherwise(F.col("rel_month") <= limit)
     )
 
 

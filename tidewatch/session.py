@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -45,17 +47,50 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def work_dir(spark: SparkSession, label: str) -> str:
-    """A fresh folder below the cluster's shared checkpoint folder.
+# Application -> folder of sessions on one machine that name none; application -> folder of the running job.
+_LOCAL_ROOTS: dict[str, str] = {}
+_JOB_ROOTS: dict[str, str] = {}
+
+
+def work_root(spark: SparkSession) -> str:
+    """The shared folder for intermediate results.
 
-    The folder named by ``spark.checkpoint.dir`` is used when the session has
-    one; only a session without it (tests on one machine) gets a temporary one.
+    It is the one that ``spark.checkpoint.dir`` names.  Only a session whose tasks run in the driver's own
+    process may do without; on a cluster a missing setting is an error, because a folder of the driver's
+    machine would be another folder on every executor.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = tempfile.mkdtemp(prefix="tidewatch-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    if root:
+        return root.rstrip("/")
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    app = spark.sparkContext.applicationId
+    if app not in _LOCAL_ROOTS:
+        _LOCAL_ROOTS[app] = tempfile.mkdtemp(prefix="tidewatch-")
+    return _LOCAL_ROOTS[app]
+
+
+def work_dir(spark: SparkSession, label: str) -> str:
+    """A fresh folder below the work root, or below that of the running job."""
+    root = _JOB_ROOTS.get(spark.sparkContext.applicationId) or work_root(spark)
+    return f"{root}/{label}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def job_folder(spark: SparkSession, label: str) -> Iterator[str]:
+    """What is staged inside is removed at the end, so the job's results must be written by then."""
+    app, path = spark.sparkContext.applicationId, work_dir(spark, label)
+    outer, _JOB_ROOTS[app] = _JOB_ROOTS.get(app), path
+    try:
+        yield path
+    finally:
+        if outer:
+            _JOB_ROOTS[app] = outer
+        else:
+            del _JOB_ROOTS[app]
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:

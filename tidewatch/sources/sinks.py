@@ -15,13 +15,13 @@ from tidewatch.sources.tables import quoted
 MODES = ("overwrite", "append", "error", "errorifexists", "ignore")
 
 
-def _writer(df: DataFrame, fmt: str, mode: str, partition_by: Sequence[str], merge_schema: bool):
+def _writer(df: DataFrame, fmt: str, mode: str, partition_by: Sequence[str]):
     if mode not in MODES:
         raise ValueError(f"unknown write mode {mode!r}; use one of {MODES}")
     writer = df.write.format(fmt).mode(mode)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    return writer.option("mergeSchema", str(merge_schema).lower())
+    return writer
 
 
 def write_table(
@@ -33,8 +33,23 @@ def write_table(
     partition_by: Sequence[str] = (),
     merge_schema: bool = True,
 ) -> str:
-    """Write a catalog table and return its name."""
-    _writer(df, fmt, mode, partition_by, merge_schema).saveAsTable(quoted(name))
+    """Write a catalog table and return its name.
+
+    Appending with ``merge_schema`` goes by column name: columns that the table lacks are added to it first,
+    and columns that the rows lack are null.
+    """
+    spark = df.sparkSession
+    if mode == "append" and merge_schema and spark.catalog.tableExists(quoted(name)):
+        have = spark.table(quoted(name)).schema
+        new = [f for f in df.schema if f.name not in have.names]
+        if new:
+            added = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in new)
+            spark.sql(f"ALTER TABLE {quoted(name)} ADD COLUMNS ({added})")
+        fields = spark.table(quoted(name)).schema
+        df = df.select(*[
+            (F.col(f"`{f.name}`") if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in fields
+        ])
+    _writer(df, fmt, mode, partition_by).saveAsTable(quoted(name))
     return name
 
 
@@ -45,10 +60,9 @@ def write_path(
     fmt: str = "parquet",
     mode: str = "overwrite",
     partition_by: Sequence[str] = (),
-    merge_schema: bool = True,
 ) -> str:
     """Write files below a path and return the path."""
-    _writer(df, fmt, mode, partition_by, merge_schema).save(path)
+    _writer(df, fmt, mode, partition_by).save(path)
     return path
 
 
@@ -116,8 +130,3 @@ def save_bundle(frames: dict[str, DataFrame], folder: str, now: dt.datetime | No
     return {
         name: write_csv(df, f"{folder.rstrip('/')}/{name}_{suffix}") for name, df in frames.items()
     }
-
-
-def with_created_at(df: DataFrame, moment, zone: str) -> DataFrame:
-    """Stamp rows with the run's calendar date in a zone."""
-    return df.withColumn("created_at", F.to_date(F.from_utc_timestamp(moment, zone)))
