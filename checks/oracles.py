@@ -439,13 +439,29 @@ BODIES: dict[str, str] = {
         FROM linear""",
     "global_attribution": "SELECT feature, avg(abs(contribution)) AS mean_abs_contribution FROM linear GROUP BY 1",
     "top_contributions": """
-        SELECT dealer_code, 1 AS rank, feature, value, contribution, abs(contribution) AS abs_contribution
+        SELECT dealer_code, k AS rank, feature, value, contribution, abs(contribution) AS abs_contribution
         FROM (SELECT *, row_number() OVER (PARTITION BY dealer_code ORDER BY abs(contribution) DESC, feature) AS k FROM linear)
-        WHERE k = 1""",
+        WHERE k <= 10""",
     "churn_drivers": """
         SELECT feature, count(*) AS count, avg(contribution) AS mean_impact, max(contribution) AS max_impact,
                sum(contribution) AS total_impact
         FROM linear WHERE contribution > 0 GROUP BY 1 ORDER BY total_impact DESC LIMIT 10""",
+    "append_evolve_table": """
+        SELECT dealer_code, churn_status, NULL AS severity FROM windows
+        UNION ALL SELECT dealer_code, churn_status, round(last_billed_days / 120.0, 4) FROM recent""",
+    # Properties of the trained model's results: which rows there must be, and that each one is right.
+    "train_gbt_check": """
+        SELECT dataset, unnest(['accuracy', 'precision', 'recall', 'f1_score', 'roc_auc']) AS metric, 1 AS in_range
+        FROM (SELECT DISTINCT dataset FROM formula)""",
+    "train_quick_check": "SELECT 1 AS n_rows, 1 AS in_range",
+    "feature_importance_check": "SELECT 1.0 AS total, 0 AS negative, 0 AS repeated",
+    "score_accounts_check": "SELECT dealer_code, 1 AS class_follows FROM features WHERE last_billed_days <= 365",
+    "score_all_check": "SELECT dealer_code, 'right' AS label, 'right' AS band FROM features WHERE last_billed_days <= 365",
+    "tree_contributions_check": "SELECT dealer_code, 1 AS adds_up FROM features WHERE last_billed_days <= 365",
+    "explain_all_check": """
+        SELECT dealer_code, 1 AS n_top, 1 AS has_base FROM formula
+        WHERE dataset = 'test' AND dealer_code IN (SELECT dealer_code FROM features)""",
+    "daily_job_check": "SELECT dealer_code, 1 AS explained FROM features WHERE last_billed_days <= 365",
 }
 
 SALES_TYPES = {

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from functools import cache
+import uuid
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -740,7 +740,7 @@ def global_attribution(x: Inputs):
 
 @query("dealer_code:s rank:i feature:s value:r contribution:r abs_contribution:r")
 def top_contributions(x: Inputs):
-    return at.top_contributions(x.linear, 1)
+    return at.top_contributions(x.linear, x.settings.top_features)
 
 
 @query("feature:s count:i mean_impact:r max_impact:r total_impact:d")
@@ -748,55 +748,29 @@ def churn_drivers(x: Inputs):
     return at.churn_drivers(at.explanations(x.linear, x.settings), 10)
 
 
-# -- models (rows only) ----------------------------------------------------------------
+# -- models ------------------------------------------------------------------------------
 
-SMALL = {"n_estimators": 10, "max_depth": 4}
-
-
-@cache
-def _trained(session_id: str, sf_dir: str) -> jobs.Trained:
-    """One model per session and data folder, for the queries that take a model as input."""
-    x = Inputs(SparkSession.active(), sf_dir)
-    return jobs.train_quick(x.stored_features, x.settings, SMALL)
+_TRAINED: dict[tuple[str, str], jobs.Trained] = {}
 
 
 def trained(x: Inputs) -> jobs.Trained:
-    return _trained(x.spark.sparkContext.applicationId, x.sf_dir)
+    """The default model of a session and data folder, fitted once; its rows and state are stored tables."""
+    key = (x.spark.sparkContext.applicationId, x.sf_dir)
+    if key not in _TRAINED:
+        _TRAINED[key] = jobs.train_quick(x.stored_features, x.settings)
+    return _TRAINED[key]
 
 
 @query()
 def train_gbt(x: Inputs):
-    """A fit with the class weight, evaluated on train and test rows."""
-    return jobs.evaluate(jobs.train_quick(x.stored_features, x.settings, {"n_estimators": 20, "max_depth": 4}))
+    """The default fit, evaluated on train and test rows."""
+    return jobs.evaluate(trained(x))
 
 
 @query()
 def train_quick(x: Inputs):
-    """The shortest fit, as test metrics in one row."""
-    t = jobs.train_quick(x.stored_features, x.settings, SMALL)
-    return ev.test_summary(tr.with_truth(tr.score(t.model, t.prepared, t.state.features)))
-
-
-def _search_input(x: Inputs):
-    import dataclasses
-
-    settings = dataclasses.replace(x.settings, cv_folds=2, search_draws=2)
-    prepared, state = jobs.prepare(x.stored_features, settings)
-    return tr.assemble(prepared.filter(F.col("dataset") == "train"), state.features), settings
-
-
-@query()
-def random_search(x: Inputs):
-    train, settings = _search_input(x)
-    space = {**tr.RANDOM_SPACE, "n_estimators": [3, 5], "max_depth": [3, 4]}
-    return tr.random_search(train, settings, space).frame(x.spark)
-
-
-@query()
-def grid_search(x: Inputs):
-    train, settings = _search_input(x)
-    space = {"n_estimators": [3, 5], "max_depth": [3]}
-    return tr.grid_search(train, settings, space, base={"gamma": 0.1}).frame(x.spark)
+    """The default fit, as test metrics in one row."""
+    return ev.test_summary(jobs.scored_truth(trained(x)))
 
 
 @query()
@@ -829,10 +803,93 @@ def explain_all(x: Inputs):
     return at.maps_to_json(jobs.explain_all(x.spark, trained(x), x.settings)[0])
 
 
-@query()
-def daily_job(x: Inputs):
+def _daily(x: Inputs) -> DataFrame:
     out = work_dir(x.spark, "daily")
-    paths = jobs.daily_job(x.spark, x.catalog, x.settings, out, x.reference, SMALL)
+    paths = jobs.daily_job(x.spark, x.catalog, x.settings, out, x.reference)
     predictions = sinks.read_evolving(x.spark, paths["predictions"])
     explained = sinks.read_evolving(x.spark, paths["explanations"]).drop("predicted_churn")
     return predictions.join(explained, "dealer_code", "left")
+
+
+@query()
+def daily_job(x: Inputs):
+    return _daily(x)
+
+
+# -- properties of the model queries, checked over their whole results ----------------------
+
+def _class_of(p):
+    return (F.col(p) >= 0.5).cast("int")
+
+
+@query("dataset:s metric:s in_range:i")
+def train_gbt_check(x: Inputs):
+    metrics = jobs.evaluate(trained(x))
+    return metrics.select("dataset", "metric", F.col("value").between(0, 1).cast("int").alias("in_range"))
+
+
+@query("n_rows:i in_range:i")
+def train_quick_check(x: Inputs):
+    row = ev.test_summary(jobs.scored_truth(trained(x)))
+    inside = F.forall(F.array(*row.columns), lambda v: v.between(0, 1))
+    return row.agg(F.count(F.lit(1)).alias("n_rows"), F.min(inside.cast("int")).alias("in_range"))
+
+
+@query("total:r negative:i repeated:i")
+def feature_importance_check(x: Inputs):
+    t = trained(x)
+    imp = tr.importances(x.spark, t.model, t.state.features)
+    return imp.agg(F.sum("importance").alias("total"), F.count_if(F.col("importance") < 0).alias("negative"),
+                   (F.count(F.lit(1)) - F.count_distinct("feature")).alias("repeated"))
+
+
+@query("dealer_code:s class_follows:i")
+def score_accounts_check(x: Inputs):
+    t = trained(x)
+    ready = pp.prepare_scoring(x.stored_features, t.state, x.settings)
+    scored = tr.score(t.model, ready, t.state.features)
+    return scored.select("dealer_code", (F.col("predicted_churn") == _class_of("churn_probability")).cast("int").alias("class_follows"))
+
+
+@query("dealer_code:s label:s band:s")
+def score_all_check(x: Inputs):
+    """Label and band against plain CASE expressions over the returned probability."""
+    t = trained(x)
+    out = jobs.score_all(x.stored_features, t.model, t.state, x.reference, x.settings)
+    label = F.expr("CASE predicted_churn WHEN 1 THEN 'Churned' ELSE 'Active' END")
+    band = F.expr("""CASE WHEN churn_probability <= 0.3 THEN 'Low Risk' WHEN churn_probability <= 0.7 THEN 'Medium Risk'
+                          ELSE 'High Risk' END""")
+    return out.select("dealer_code", F.when(F.col("prediction_label") == label, "right").otherwise("wrong").alias("label"),
+                      F.when(F.col("risk_category") == band, "right").otherwise("wrong").alias("band"))
+
+
+@query("dealer_code:s adds_up:i")
+def tree_contributions_check(x: Inputs):
+    t = trained(x)
+    parts, base = jobs.contributions(x.spark, t, t.prepared)
+    total = F.aggregate("contributions", F.lit(base), lambda a, e: a + e["contribution"])
+    odds = F.log(F.col("churn_probability") / (1 - F.col("churn_probability")))
+    return parts.select("dealer_code", (F.abs(total - odds) < 1e-6).cast("int").alias("adds_up"))
+
+
+@query("dealer_code:s n_top:i has_base:i")
+def explain_all_check(x: Inputs):
+    explained, _ = jobs.explain_all(x.spark, trained(x), x.settings)
+    return explained.select("dealer_code", F.size("top_features").between(1, x.settings.top_features).cast("int").alias("n_top"),
+                            F.col("base_value").isNotNull().cast("int").alias("has_base"))
+
+
+@query("dealer_code:s explained:i")
+def daily_job_check(x: Inputs):
+    return _daily(x).select("dealer_code", F.col("base_value").isNotNull().cast("int").alias("explained"))
+
+
+@query("dealer_code:s churn_status:s severity:r")
+def append_evolve_table(x: Inputs):
+    """A catalog table that gains a column with its second append, in a folder of its own."""
+    name = f"evolve_{uuid.uuid4().hex}"
+    first = x.life.windows.select("dealer_code", "churn_status")
+    sinks.write_table(first, name)
+    second = pp.with_severity(x.recent, x.settings).select("severity", "churn_status", "dealer_code")
+    sinks.write_table(second, name, mode="append")
+    return x.spark.table(name)

@@ -105,10 +105,13 @@ def test_search_keeps_base_parameters(spark, data):
 
 
 def test_model_and_state_persist(spark, data, model, tmp_path):
-    state = pp.PrepState({"zone": []}, ["a"], NAMES)
+    codes = spark.createDataFrame([("a", 0), (None, 1)], "territory_code string, territory_code_encoded int")
+    codes.write.parquet(str(tmp_path / "codes"))
+    state = pp.PrepState({"zone": []}, str(tmp_path / "codes"), NAMES)
     path = tr.save_model(model, state, str(tmp_path / "m"))
     loaded, back = tr.load_model(spark, path)
-    assert back == state
+    assert (back.categories, back.features) == (state.categories, state.features)
+    assert sorted(rows_of(back.codes(spark)), key=str) == sorted(rows_of(codes), key=str)
     a = rows_of(tr.score(model, data, NAMES), "dealer_code")
     assert a == rows_of(tr.score(loaded, data, NAMES), "dealer_code")
 
@@ -127,6 +130,10 @@ def test_training_and_scoring_jobs(spark, tmp_path):
     metrics = spark.read.option("header", "true").csv(paths["metrics"])
     assert {r["metric"] for r in metrics.collect()} == {"accuracy", "precision", "recall", "f1_score", "roc_auc"}
     assert spark.read.option("header", "true").csv(paths["importances"]).count() == len(trained.state.features)
+    for name in ("class_report", "confusion_matrix", "class_distribution", "roc_curve"):
+        assert spark.read.option("header", "true").csv(paths[name]).count() > 0
+    explained = spark.read.option("header", "true").csv(paths["explanations"])
+    assert explained.where("base_value IS NULL").count() == 0 and explained.count() > 0
     as_of = ref("2001-06-30")
     saved, summary = jobs.run_scoring(spark, x.stored_features, paths["model"], settings, str(tmp_path / "p"), as_of)
     recent = x.stored_features.filter("last_billed_days <= 365").count()

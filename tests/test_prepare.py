@@ -29,7 +29,7 @@ def test_model_levels_fold_case_and_blank(spark):
 def test_training_preparation(spark):
     df = features(spark)
     state = pp.fit_preparation(df, SETTINGS)
-    assert state.territory_codes == ["T10", "T2"]
+    assert rows_of(state.codes(spark), "territory_code_encoded") == [("T10", 0), ("T2", 1)]
     assert state.categories == {"zone": ["N", "S"], "region_name": ["r1", "r2"]}
     got = {r["dealer_code"]: r.asDict() for r in pp.prepare_training(df, state, SETTINGS).collect()}
     assert set(got) == {"a", "c", "d"}
@@ -49,29 +49,38 @@ def test_scoring_aligns_and_rejects_unseen_codes(spark):
     unseen = df.withColumn("territory_code", F.lit("T99"))
     with pytest.raises(Exception, match="unseen territory_code: T99"):
         pp.prepare_scoring(unseen, state, SETTINGS).collect()
-    lenient = Settings(unseen_codes="null")
-    assert {r["territory_code_encoded"] for r in pp.prepare_scoring(unseen, state, lenient).collect()} == {0.0}
+    lenient = Settings(unseen_codes="outside")
+    assert {r["territory_code_encoded"] for r in pp.prepare_scoring(unseen, state, lenient).collect()} == {-1.0}
 
 
-def test_long_dictionary_is_joined_with_the_same_result(spark, monkeypatch):
+def test_missing_territory_gets_the_last_code(spark):
     df = features(spark)
-    state = pp.fit_preparation(df, SETTINGS)
-    inline = rows_of(pp.prepare_training(df, state, SETTINGS), "dealer_code")
-    monkeypatch.setattr(pp, "INLINE_CODES", 1)
-    assert rows_of(pp.prepare_training(df, state, SETTINGS), "dealer_code") == inline
+    some = df.withColumn("territory_code", F.when(F.col("dealer_code") != "a", F.col("territory_code")))
+    state = pp.fit_preparation(some, SETTINGS)
+    known = state.codes(spark).count() - 1
+    for ready in (pp.prepare_training(some, state, SETTINGS), pp.prepare_scoring(some, state, SETTINGS)):
+        got = {r["dealer_code"]: r["territory_code_encoded"] for r in ready.collect()}
+        assert got["a"] == known and all(v < known for k, v in got.items() if k != "a")
+    full = pp.fit_preparation(df, SETTINGS)
+    with pytest.raises(Exception, match="unseen territory_code: null"):
+        pp.prepare_scoring(some, full, SETTINGS).collect()
+    lenient = Settings(unseen_codes="outside")
+    assert -1.0 in {r["territory_code_encoded"] for r in pp.prepare_scoring(some, full, lenient).collect()}
 
 
 def test_state_survives_saving(spark, tmp_path):
     state = pp.fit_preparation(features(spark), SETTINGS)
     state.save(spark, str(tmp_path / "state"))
-    assert pp.PrepState.load(spark, str(tmp_path / "state")) == state
+    loaded = pp.PrepState.load(spark, str(tmp_path / "state"))
+    assert (loaded.categories, loaded.features) == (state.categories, state.features)
+    assert rows_of(loaded.codes(spark), "territory_code") == rows_of(state.codes(spark), "territory_code")
 
 
 def test_label_codes_are_sorted_positions(spark):
     values = ["b", "aa", "ab", "a", "zz", "z", "10", "9", "é"]
     df = spark.createDataFrame([(v,) for v in values * 3] + [(None,)], "c string")
     got = dict(rows_of(pp.label_codes(df, "c")))
-    assert got == {v: i for i, v in enumerate(sorted(values))}
+    assert got == {v: i for i, v in enumerate(sorted(values))} | {None: len(values)}
 
 
 def test_label_encode_policy(spark):
@@ -79,7 +88,7 @@ def test_label_encode_policy(spark):
     codes = pp.label_codes(df.filter("c = 'x'"), "c")
     with pytest.raises(Exception, match="unseen c: y"):
         pp.label_encode(df, "c", codes, SETTINGS).collect()
-    assert sorted(r[0] is None for r in pp.label_encode(df, "c", codes, Settings(unseen_codes="null")).collect()) == [False, True]
+    assert sorted(r[0] for r in pp.label_encode(df, "c", codes, Settings(unseen_codes="outside")).collect()) == [-1, 0]
 
 
 def test_split_is_disjoint_complete_and_stable(spark):

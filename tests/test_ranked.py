@@ -26,7 +26,8 @@ def test_running_totals_are_exact(spark, kind, descending):
     data = values(kind)
     df = spark.createDataFrame([(v,) for v in data], "v double").repartition(3)
     got = running_totals(df, [], "v", {"n": F.count(F.lit(1))}, descending=descending)
-    for v, n, before in rows_of(got):
+    assert {r["all_n"] for r in got.collect()} == {df.where("v IS NOT NULL").count()}
+    for v, n, before, _ in rows_of(got):
         assert n == data.count(v)
         assert before == sum(1 for x in data if (x > v if descending else x < v))
 

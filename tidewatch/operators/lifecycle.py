@@ -192,6 +192,13 @@ def within_windows(df: DataFrame, windows: DataFrame, moment: str) -> DataFrame:
     )
 
 
+def window_ends(windows: DataFrame) -> tuple | None:
+    """First and last moment that any window of a stored table reaches: two values for the scan's filter."""
+    lower, upper = month_of(F.col("threshold_start_date")), month_of(F.col("threshold_end_date"))
+    row = windows.agg(F.min(lower.cast("date")).alias("low"), F.max(upper.cast("date")).alias("high")).first()
+    return None if row.low is None else (row.low, row.high)
+
+
 def account_window_sales(closed: DataFrame, windows: DataFrame) -> DataFrame:
     """Sales lines inside the account's window, with the account's lifecycle columns."""
     return within_windows(closed, windows, "invoice_date")

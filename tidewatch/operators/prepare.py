@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import json
-from dataclasses import asdict, dataclass
+from dataclasses import dataclass, replace
 from typing import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -11,23 +11,21 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewatch.functions.columns import (
-    class_code,
-    finite_or_zero,
     finite_or_zero_sql,
     hash_bucket,
-    level_of,
     level_sql,
     name_sql,
-    number_or_null,
     text_sql,
 )
+from tidewatch.session import stage, work_dir
 from tidewatch.settings import Settings
 
 KEY = "dealer_code"
 TARGET = "churn_status"
 ONE_HOT = ("zone", "region_name")
 NOT_FEATURES = ("last_billed_days", "severity")
-INLINE_CODES = 2_000
+# Code of a value outside the dictionary where the settings allow one.
+OUTSIDE = -1
 
 
 def _c(name: str) -> Column:
@@ -36,20 +34,26 @@ def _c(name: str) -> Column:
 
 @dataclass(frozen=True)
 class PrepState:
-    """What fitting remembers; small, and saved as one JSON row."""
+    """What fitting remembers: columns as one JSON row, and the territory dictionary as a stored table."""
 
     categories: dict[str, list[str]]
-    territory_codes: list[str]
+    codes_path: str
     features: list[str]
 
+    def codes(self, spark: SparkSession) -> DataFrame:
+        return spark.read.schema("territory_code string, territory_code_encoded int").parquet(self.codes_path)
+
     def save(self, spark: SparkSession, path: str) -> str:
-        text = json.dumps(asdict(self))
-        spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(path)
+        """Writes the state below a path, with its own copy of the dictionary."""
+        self.codes(spark).write.mode("overwrite").parquet(f"{path}/codes")
+        text = json.dumps({"categories": self.categories, "features": self.features})
+        spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/columns")
         return path
 
     @staticmethod
     def load(spark: SparkSession, path: str) -> "PrepState":
-        return PrepState(**json.loads(spark.read.text(path, wholetext=True).first()[0]))
+        columns = json.loads(spark.read.text(f"{path}/columns", wholetext=True).first()[0])
+        return PrepState(columns["categories"], f"{path}/codes", columns["features"])
 
 
 # -- single steps --------------------------------------------------------------------
@@ -66,14 +70,6 @@ def with_severity(df: DataFrame, settings: Settings) -> DataFrame:
     )
 
 
-def encode_club(df: DataFrame, settings: Settings) -> DataFrame:
-    """Club name to its level; unknown names become null."""
-    return df.withColumn(
-        "dealer_club_category",
-        level_of(F.col("dealer_club_category"), settings.model_levels, fold_case=True),
-    )
-
-
 def _flag(column: str, value: str) -> Column:
     """1 where the column has the value, else 0; null is 0."""
     return F.coalesce(_c(column) == value, F.lit(False)).cast("int")
@@ -85,66 +81,38 @@ def one_hot(df: DataFrame, column: str, values: Sequence[str]) -> DataFrame:
     return df.select(*[_c(c) for c in df.columns if c != column], *flags)
 
 
-def label_codes(df: DataFrame, column: str, prefix: int = 2) -> DataFrame:
-    """Dictionary of a text column: each distinct value with its sorted position.
+def label_codes(df: DataFrame, column: str) -> DataFrame:
+    """Dictionary of a text column: each distinct value with its sorted position; null, if there is one, comes last.
 
-    Values are ranked inside their leading characters and shifted by the
-    number of values with smaller leading characters, so no task sorts them all.
+    The values are dealt by range and stored; a position is a value's rank inside its part plus the sizes of
+    the parts before, so no task sorts all values.
     """
-    values = (
-        df.select(_c(column).alias(column)).filter(_c(column).isNotNull()).distinct()
-        .withColumn("_prefix", F.substring(column, 1, prefix))
-    )
-    sizes = values.groupBy("_prefix").agg(F.count(F.lit(1)).alias("n"))
-    smaller = Window.orderBy("_prefix").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("_prefix", F.coalesce(F.sum("n").over(smaller), F.lit(0)).alias("_offset"))
-    inside = F.row_number().over(Window.partitionBy("_prefix").orderBy(column)) - 1
-    return (
-        values.withColumn("_rank", inside)
-        .join(offsets, "_prefix")
-        .select(column, (F.col("_rank") + F.col("_offset")).cast("int").alias(f"{column}_encoded"))
+    values = df.select(_c(column).alias("value")).distinct()
+    parts = stage(
+        values.filter("value IS NOT NULL").repartitionByRange("value").select("value", F.spark_partition_id().alias("part")),
+        f"{column}-values",
     )
+    sizes = parts.groupBy("part").agg(F.count(F.lit(1)).alias("n"))
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row per part
+    offsets = sizes.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
+    inside = F.row_number().over(Window.partitionBy("part").orderBy("value")) - 1
+    known = parts.withColumn("rank", inside).join(offsets, "part").select(
+        F.col("value").alias(column), (F.col("rank") + F.col("offset")).cast("int").alias(f"{column}_encoded"))
+    total = parts.agg(F.count(F.lit(1)).cast("int").alias("n")).scalar()
+    return known.union(values.filter("value IS NULL").select("value", total))
 
 
 def label_encode(df: DataFrame, column: str, codes: DataFrame, settings: Settings) -> DataFrame:
     """Replace a text column by its dictionary position.
 
-    A value outside the dictionary fails the job, or becomes null when the
-    ``unseen_codes`` setting is ``null``.
+    A value outside the dictionary fails the job, or gets :data:`OUTSIDE` unless ``unseen_codes`` is ``error``.
     """
     target = f"{column}_encoded"
-    out = df.join(codes, column, "left")
-    return out.withColumn(target, _known(column, _c(target), settings)).drop(column)
-
-
-def _known(column: str, found: Column, settings: Settings) -> Column:
-    """The position found, with the configured reaction to a missing one."""
-    if settings.unseen_codes != "error":
-        return found
     unseen = F.concat(F.lit(f"unseen {column}: "), F.coalesce(_c(column), F.lit("null")))
-    return F.coalesce(found, F.raise_error(unseen).cast("int"))
-
-
-def encode_target(df: DataFrame) -> DataFrame:
-    """Class name to 0/1."""
-    return df.withColumn(TARGET, class_code(F.col(TARGET)))
-
-
-def coerce_text(df: DataFrame, skip: Sequence[str] = (KEY, TARGET)) -> DataFrame:
-    """Every remaining text column becomes a number; bad text becomes null."""
-    texts = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType) and f.name not in skip]
-    return df.select(*[number_or_null(_c(c)).alias(c) if c in texts else _c(c) for c in df.columns])
-
-
-def fill_zero(df: DataFrame, skip: Sequence[str] = (KEY, TARGET)) -> DataFrame:
-    """Null, NaN and infinite numbers become 0."""
-    numeric = {f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)} - set(skip)
-    return df.select(*[finite_or_zero(_c(c)).alias(c) if c in numeric else _c(c) for c in df.columns])
-
-
-def drop_present(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Drop columns; absent ones are ignored."""
-    return df.drop(*columns)
+    missing = F.raise_error(unseen).cast("int") if settings.unseen_codes == "error" else F.lit(OUTSIDE)
+    found = codes.select(_c(column).alias("_value"), _c(target).alias("_code"))
+    out = df.join(found, _c(column).eqNullSafe(F.col("_value")), "left")
+    return out.withColumn(target, F.coalesce("_code", missing)).drop(column, "_value", "_code")
 
 
 def align_schema(df: DataFrame, features: Sequence[str], key: str = KEY) -> DataFrame:
@@ -167,22 +135,11 @@ def category_values(df: DataFrame, columns: Sequence[str]) -> dict[str, list[str
     return {c: list(row[c]) for c in columns}
 
 
-def _with_code(df: DataFrame, codes: Sequence[str], settings: Settings) -> DataFrame:
-    """Add the dictionary position of the territory.
-
-    A short dictionary is a literal map in the projection: no join, no shuffle.
-    A long one is joined, and Spark picks the join by its size.
-    """
-    column, target = "territory_code", "territory_code_encoded"
-    if column not in df.columns:
+def _with_code(df: DataFrame, codes: DataFrame, settings: Settings) -> DataFrame:
+    """The territory as its dictionary position; Spark picks the join by the dictionary's size."""
+    if "territory_code" not in df.columns:
         return df
-    if len(codes) > INLINE_CODES:
-        table = df.sparkSession.createDataFrame(
-            [(v, i) for i, v in enumerate(codes)], f"{column} string, {target} int"
-        )
-        return label_encode(df, column, table, settings)
-    table = F.create_map(*[x for i, v in enumerate(codes) for x in (F.lit(v), F.lit(i))])
-    return df.withColumn(target, _known(column, F.try_element_at(table, _c(column)), settings)).drop(column)
+    return label_encode(df, "territory_code", codes, settings)
 
 
 def _encoded(
@@ -209,11 +166,14 @@ def _encoded(
 
 
 def fit_preparation(features: DataFrame, settings: Settings) -> PrepState:
-    """Read the category dictionaries of the recent accounts."""
+    """Read the category values and store the territory dictionary of the recent accounts."""
     recent = recent_accounts(features, settings)
-    found = category_values(recent, [*ONE_HOT, "territory_code"])
-    codes = found.pop("territory_code")
-    return PrepState(found, codes, list(_encoded(_with_code(recent, codes, settings), found, settings)))
+    path = work_dir(features.sparkSession, "codes")
+    if "territory_code" in features.columns:
+        label_codes(recent, "territory_code").write.parquet(path)
+    state = PrepState(category_values(recent, list(ONE_HOT)), path, [])
+    rows = _with_code(recent, state.codes(features.sparkSession), settings)
+    return replace(state, features=list(_encoded(rows, state.categories, settings)))
 
 
 def prepare_training(features: DataFrame, state: PrepState, settings: Settings) -> DataFrame:
@@ -222,7 +182,7 @@ def prepare_training(features: DataFrame, state: PrepState, settings: Settings)
     The days since the last invoice and the severity derived from them tell
     the label, so neither is a feature.
     """
-    rows = _with_code(recent_accounts(features, settings), state.territory_codes, settings)
+    rows = _with_code(recent_accounts(features, settings), state.codes(features.sparkSession), settings)
     columns = _encoded(rows, state.categories, settings)
     target = f"CASE {TARGET} WHEN 'Active' THEN 0 WHEN 'Churned' THEN 1 END AS {TARGET}"
     return rows.selectExpr(KEY, *[columns[f] for f in state.features], target)
@@ -230,7 +190,7 @@ def prepare_training(features: DataFrame, state: PrepState, settings: Settings)
 
 def prepare_scoring(features: DataFrame, state: PrepState, settings: Settings) -> DataFrame:
     """Same encodings for scoring: the fitted feature list, absent features as 0."""
-    rows = _with_code(recent_accounts(features, settings), state.territory_codes, settings)
+    rows = _with_code(recent_accounts(features, settings), state.codes(features.sparkSession), settings)
     columns = _encoded(rows, state.categories, settings)
     return rows.selectExpr(KEY, *[columns.get(f, f"0D AS {name_sql(f)}") for f in state.features])
 

@@ -16,7 +16,9 @@ from typing import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-RANGES = 128
+from tidewatch.session import stage
+
+STEPS_KEPT = 1000
 
 
 def running_totals(
@@ -26,21 +28,24 @@ def running_totals(
     sums: Mapping[str, Column],
     *,
     descending: bool = False,
-    ranges: int = RANGES,
+    ranges: int | None = None,
 ) -> DataFrame:
-    """Per distinct value: the sums, and the sums over all values before it.
+    """Per distinct value: the sums, the sums over all values before it, and those over all values.
 
     ``sums`` maps a name to an aggregate.  The result has ``by``, ``value``, the
-    names, and ``before_<name>`` for each.  ``by`` has few groups, such as data
-    sets or column names; null values are left out.
+    names, and ``before_<name>`` and ``all_<name>`` for each.  ``by`` has few groups, such as data
+    sets or column names; null values are left out.  The counted values are written once, so the input is
+    read once; there are as many ranges as shuffle partitions unless given.
     """
-    counted = (
+    counted = stage(
         df.filter(F.col(value).isNotNull())
         .groupBy(*by, value)
-        .agg(*[c.alias(n) for n, c in sums.items()])
+        .agg(*[c.alias(n) for n, c in sums.items()]),
+        "counted",
     )
+    ranges = ranges or max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     steps = F.array(*[F.lit(i / ranges) for i in range(1, ranges)])
-    cuts = counted.groupBy(*by).agg(F.percentile_approx(value, steps, 1000).alias("_cuts"))
+    cuts = counted.groupBy(*by).agg(F.percentile_approx(value, steps, max(STEPS_KEPT, 4 * ranges)).alias("_cuts"))
     placed = _join_by(counted, cuts, by).withColumn(
         "_range", F.size(F.filter("_cuts", lambda c: c < F.col(value)))
     ).drop("_cuts")
@@ -52,8 +57,11 @@ def running_totals(
     earlier = Window.partitionBy(*by).orderBy(order("_range")).rowsBetween(
         Window.unboundedPreceding, -1
     )
+    group = Window.partitionBy(*by)
     offsets = totals.select(
-        *by, "_range", *[F.coalesce(F.sum(n).over(earlier), F.lit(0)).alias(f"_off_{n}") for n in sums]
+        *by, "_range",
+        *[F.coalesce(F.sum(n).over(earlier), F.lit(0)).alias(f"_off_{n}") for n in sums],
+        *[F.sum(n).over(group).alias(f"all_{n}") for n in sums],
     )
     inside = Window.partitionBy(*by, "_range").orderBy(order(value)).rowsBetween(
         Window.unboundedPreceding, -1
@@ -66,6 +74,7 @@ def running_totals(
             (F.col(f"_off_{n}") + F.coalesce(F.sum(n).over(inside), F.lit(0))).alias(f"before_{n}")
             for n in sums
         ],
+        *[f"all_{n}" for n in sums],
     )
 
 
@@ -81,18 +90,13 @@ def quantiles(
 ) -> DataFrame:
     """Exact quantiles per group with linear interpolation between neighbours."""
     ranked = running_totals(df, by, value, {"n": F.count(F.lit(1))})
-    size = df.filter(F.col(value).isNotNull()).groupBy(*by).agg(F.count(F.lit(1)).alias("_size"))
-    if by:
-        ranked = ranked.join(size, list(by))
-    else:
-        ranked = ranked.withColumn("_size", size.select("_size").scalar())
 
     def at(position: Column) -> Column:
         covered = (F.col("before_n") <= position) & (position < F.col("before_n") + F.col("n"))
         return F.max(F.when(covered, F.col(value)))
 
     def position(share: float) -> Column:
-        return (F.col("_size") - 1) * F.lit(share)
+        return (F.col("all_n") - 1) * F.lit(share)
 
     parts = []
     for name, share in shares.items():

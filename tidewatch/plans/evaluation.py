@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.functions.columns import clamp_score
 from tidewatch.operators.ranked import running_totals
+from tidewatch.session import stage
 from tidewatch.settings import Settings
 
 
@@ -123,26 +124,21 @@ def _score_totals(df: DataFrame, by: Sequence[str], descending: bool) -> DataFra
     return running_totals(df, by, "churn_probability", sums, descending=descending)
 
 
-def _class_sizes(df: DataFrame, by: Sequence[str]) -> DataFrame:
-    return df.filter(F.col("churn_probability").isNotNull()).groupBy(*by).agg(
-        F.count_if(F.col("true_label") == 1).alias("n_pos"),
-        F.count_if(F.col("true_label") == 0).alias("n_neg"),
-    )
-
-
 def roc_curve(df: DataFrame, by: Sequence[str] = ("dataset",)) -> DataFrame:
     """True and false positive rate at every distinct score, plus the origin.
 
     The origin has a null threshold.
     """
-    sizes = _class_sizes(df, by)
-    points = _score_totals(df, by, descending=True).join(sizes, list(by)).select(
-        *by,
-        F.col("churn_probability").alias("threshold"),
-        F.try_divide(F.col("before_neg") + F.col("neg"), "n_neg").alias("fpr"),
-        F.try_divide(F.col("before_pos") + F.col("pos"), "n_pos").alias("tpr"),
+    points = stage(
+        _score_totals(df, by, descending=True).select(
+            *by,
+            F.col("churn_probability").alias("threshold"),
+            F.try_divide(F.col("before_neg") + F.col("neg"), "all_neg").alias("fpr"),
+            F.try_divide(F.col("before_pos") + F.col("pos"), "all_pos").alias("tpr"),
+        ),
+        "curve",
     )
-    origin = sizes.select(
+    origin = points.select(*by).distinct().select(
         *by, F.lit(None).cast("double").alias("threshold"), F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr")
     )
     return points.unionByName(origin)

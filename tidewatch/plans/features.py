@@ -42,14 +42,22 @@ class Lifecycle:
     reference: Column
     closed: DataFrame  # valid lines of all accounts up to the reference
     windows: DataFrame  # accounts in scope with a complete window
+    ends: tuple | None = None  # first and last moment of all windows, where these are stored
+
+    @property
+    def in_range(self) -> DataFrame:
+        """Lines that some window may hold; stored windows bound the scan by date."""
+        if self.ends is None:
+            return self.closed
+        return self.closed.filter(F.col("invoice_date").between(*[F.lit(e).cast("timestamp_ntz") for e in self.ends]))
 
     @property
     def window_sales(self) -> DataFrame:
-        return lc.account_window_sales(self.closed, self.windows)
+        return lc.account_window_sales(self.in_range, self.windows)
 
     @property
     def window_days(self) -> DataFrame:
-        return lc.within_windows(lc.day_lines(self.closed), self.windows, "first_at")
+        return lc.within_windows(lc.day_lines(self.in_range), self.windows, "first_at")
 
 
 def build_lifecycle(catalog: Catalog, settings: Settings, stage: Stage = keep_lazy) -> Lifecycle:
@@ -63,7 +71,7 @@ def build_lifecycle(catalog: Catalog, settings: Settings, stage: Stage = keep_la
     closed = lc.closed_month_sales(sales, reference)
     months = stage(in_scope(lc.account_months(closed), accounts), "months")
     windows = stage(lc.account_lifecycle(months, reference, settings), "windows")
-    return Lifecycle(reference, closed, windows)
+    return Lifecycle(reference, closed, windows, None if stage is keep_lazy else lc.window_ends(windows))
 
 
 def build_monthly(catalog: Catalog, life: Lifecycle, stage: Stage = keep_lazy) -> DataFrame:

@@ -16,7 +16,7 @@ from tidewatch.plans import scoring as sc
 from tidewatch.plans import training as tr
 from tidewatch.plans import trees
 from tidewatch.plans.features import build_features
-from tidewatch.session import stage
+from tidewatch.session import job_folder, stage
 from tidewatch.settings import Settings
 from tidewatch.sources import sinks
 from tidewatch.sources.tables import Catalog
@@ -62,10 +62,26 @@ def train_tuned(
     return Trained(model, state, chosen, prepared)
 
 
+def scored_truth(trained: Trained) -> DataFrame:
+    """Train and test rows with label and prediction."""
+    return tr.with_truth(tr.score(trained.model, trained.prepared, trained.state.features))
+
+
 def evaluate(trained: Trained) -> DataFrame:
     """Long metrics table of the train and test rows."""
-    scored = tr.score(trained.model, trained.prepared, trained.state.features)
-    return ev.metrics_long(tr.with_truth(scored))
+    return ev.metrics_long(scored_truth(trained))
+
+
+def evaluation_tables(trained: Trained) -> dict[str, DataFrame]:
+    """Everything a trained model is judged by; rows are scored once."""
+    truth = stage(scored_truth(trained), "truth")
+    return {
+        "metrics": ev.metrics_long(truth),
+        "class_report": ev.class_report(truth),
+        "confusion_matrix": ev.confusion_matrix(truth),
+        "class_distribution": ev.class_distribution(truth, "true_label"),
+        "roc_curve": ev.roc_curve(truth),
+    }
 
 
 def score_all(
@@ -106,12 +122,16 @@ def contributions(spark: SparkSession, trained: Trained, rows: DataFrame) -> tup
 def explain_all(
     spark: SparkSession, trained: Trained, settings: Settings, dataset: str | None = "test"
 ) -> tuple[DataFrame, DataFrame]:
-    """Explanations and churn drivers of the test rows, or of all rows."""
+    """Explanations and churn drivers of the test rows, or of all rows.
+
+    ``base_value`` is the log-odds that an account's contributions start from.  The explanations are written
+    once, because attribution is the dearest step and both results read it.
+    """
     rows = trained.prepared
     if dataset:
         rows = rows.filter(F.col("dataset") == dataset)
-    parts, _ = contributions(spark, trained, rows)
-    explained = at.explanations(parts, settings)
+    parts, base = contributions(spark, trained, rows)
+    explained = stage(at.explanations(parts, settings).withColumn("base_value", F.lit(base)), "explained")
     return explained, at.churn_drivers(explained)
 
 
@@ -125,13 +145,14 @@ def run_training(
     spaces: tuple[Mapping[str, Sequence], Mapping[str, Sequence]] | None = None,
 ) -> tuple[Trained, dict[str, str]]:
     """Train (searching the two spaces when given), evaluate, explain and save everything."""
+    features = stage(features, "features")
     trained = (
         train_tuned(features, settings, *spaces) if spaces else train_quick(features, settings, params)
     )
     explained, drivers = explain_all(spark, trained, settings)
     paths = {
         "model": tr.save_model(trained.model, trained.state, f"{out}/fitted"),
-        "metrics": sinks.save_metrics(evaluate(trained), f"{out}/metrics"),
+        **{name: sinks.write_csv(df, f"{out}/{name}") for name, df in evaluation_tables(trained).items()},
         "importances": sinks.save_importances(
             tr.importances(spark, trained.model, trained.state.features), f"{out}/importances"
         ),
@@ -173,7 +194,17 @@ def daily_job(
     as_of: Column,
     params: Mapping[str, float] | None = None,
 ) -> dict[str, str]:
-    """Features, training, explanations and predictions, appended to two tables."""
+    """Features, training, explanations and predictions, appended to two tables.
+
+    Everything staged on the way is removed when both are written.
+    """
+    with job_folder(spark, "daily-job"):
+        return _daily_tables(spark, catalog, settings, out, as_of, params)
+
+
+def _daily_tables(
+    spark: SparkSession, catalog: Catalog, settings: Settings, out: str, as_of: Column, params: Mapping[str, float] | None
+) -> dict[str, str]:
     features = stage(build_features(catalog, settings), "features")
     trained = train_quick(features, settings, params)
     explained, _ = explain_all(spark, trained, settings, dataset=None)

@@ -3,15 +3,16 @@
 from __future__ import annotations
 
 import random
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from itertools import product
 from typing import Mapping, Sequence
 
+from pyspark import inheritable_thread_target
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -120,22 +121,25 @@ def search(
     """Cross-validated f1 of the positive class for every point.
 
     Folds come from a hash of the account, so they never change between runs.
-    The weight is carried by every fit.
+    The weight is carried by every fit.  Every point is fitted once per fold and
+    nothing else; the final fit is the caller's.
     """
-    estimator = classifier(settings, base)
-    maps = [
-        {estimator.getParam(k): v for k, v in spark_values({**(base or {}), **p}).items()} for p in points
-    ]
     fold = (hash_bucket(F.col(KEY), settings.seed + 1) % settings.cv_folds).cast("int")
+    rows = weighted(train).withColumn(FOLD, fold)
     evaluator = MulticlassClassificationEvaluator(
         labelCol=TARGET, metricName="fMeasureByLabel", metricLabel=1.0
     )
-    cv = CrossValidator(
-        estimator=estimator, estimatorParamMaps=maps, evaluator=evaluator,
-        numFolds=settings.cv_folds, foldCol=FOLD, parallelism=parallelism,
-    )
-    fitted = cv.fit(weighted(train).withColumn(FOLD, fold))
-    scores = [(dict(p), float(s)) for p, s in zip(points, fitted.avgMetrics)]
+
+    def held_out_score(task: tuple[Params, int]) -> float:
+        point, k = task
+        model = classifier(settings, {**(base or {}), **point}).fit(rows.filter(F.col(FOLD) != k))
+        return evaluator.evaluate(model.transform(rows.filter(F.col(FOLD) == k)))
+
+    tasks = [(p, k) for p in points for k in range(settings.cv_folds)]
+    with ThreadPoolExecutor(parallelism) as pool:
+        found = list(pool.map(inheritable_thread_target(rows.sparkSession)(held_out_score), tasks))
+    folds = settings.cv_folds
+    scores = [(dict(p), float(sum(found[i * folds:(i + 1) * folds]) / folds)) for i, p in enumerate(points)]
     best, score = max(scores, key=lambda x: x[1])
     return SearchResult(best, score, scores)
 
