@@ -200,11 +200,13 @@ NODES.update(
         FROM recent r LEFT JOIN accounts a ON a.dealer_code = r.dealer_code
         LEFT JOIN territory_master t ON t.territory_code = a.territory_code""",
     hashed="""
-        SELECT *, (CAST('0x' || substr(md5(dealer_code || '|42'), 1, 8) AS BIGINT) % 10000) AS bucket FROM recent""",
+        SELECT *, (CAST('0x' || substr(md5(dealer_code || '|42'), 1, 8) AS BIGINT) % 10000) AS bucket,
+               CAST('0x' || substr(md5(dealer_code || '|42'), 1, 15) AS BIGINT) AS place FROM recent""",
     formula="""
         SELECT *, CASE WHEN p >= 0.5 THEN 1 ELSE 0 END AS pred
         FROM (SELECT dealer_code, last_billed_days, bucket / 10000.0::DOUBLE AS h,
-                     CASE WHEN bucket < 2000 THEN 'test' ELSE 'train' END AS dataset,
+                     CASE WHEN row_number() OVER (PARTITION BY churn_status ORDER BY place)
+                               <= round(0.2 * count(*) OVER (PARTITION BY churn_status)) THEN 'test' ELSE 'train' END AS dataset,
                      CASE churn_status WHEN 'Churned' THEN 1 ELSE 0 END AS y,
                      1.0::DOUBLE / (1.0::DOUBLE + exp(-(0.02::DOUBLE * (last_billed_days - 90)
                        + 3.0::DOUBLE * (bucket / 10000.0::DOUBLE - 0.5::DOUBLE)))) AS p

@@ -141,6 +141,9 @@ class Inputs:
 
     @property
     def formula(self):
+        return self._once("formula", self._formula)
+
+    def _formula(self):
         """Recent accounts scored by a fixed formula, with label, split and h."""
         h = fc.hash_bucket(F.col("dealer_code"), self.settings.seed) / F.lit(10000)
         z = F.lit(0.02) * (F.col("last_billed_days") - 90) + F.lit(3.0) * (F.col("h") - F.lit(0.5))
@@ -153,7 +156,7 @@ class Inputs:
                 sc.classify(F.col("churn_probability")).alias("predicted_label"),
             )
         )
-        return pp.with_split(scored, self.settings)
+        return pp.with_split(scored, self.settings, target="true_label")
 
     @property
     def results(self):

@@ -93,6 +93,13 @@ def test_contributions_equal_shapley_values_by_enumeration(spark, data, model):
             assert phi[i] == pytest.approx(want, abs=1e-10)
 
 
+def test_folds_hold_every_class_evenly(spark, data):
+    rows = tr.with_folds(tr.assemble(data, NAMES), Settings(cv_folds=5)).groupBy("churn_status", "_fold").count().collect()
+    for label in (0, 1):
+        sizes = [r["count"] for r in rows if r["churn_status"] == label]
+        assert len(sizes) == 5 and max(sizes) - min(sizes) <= 1
+
+
 def test_search_keeps_base_parameters(spark, data):
     train = tr.assemble(data.filter("dataset = 'train'"), NAMES)
     found = tr.grid_search(train, SETTINGS, {"n_estimators": [1, 4], "max_depth": [3]})

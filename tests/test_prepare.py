@@ -92,10 +92,12 @@ def test_label_encode_policy(spark):
 
 
 def test_split_is_disjoint_complete_and_stable(spark):
-    df = spark.range(4000).select(F.col("id").cast("string").alias("dealer_code"))
+    df = spark.range(4000).selectExpr("cast(id as string) as dealer_code", "if(id < 13, 1, if(id < 20, null, 0)) as churn_status")
     split = pp.with_split(df, SETTINGS)
-    sides = dict(rows_of(split.groupBy("dataset").count()))
-    assert sum(sides.values()) == 4000 and abs(sides["test"] / 4000 - 0.2) < 0.03
+    sides = {(r[0], r[1]): r[2] for r in split.groupBy("churn_status", "dataset").count().collect()}
+    assert sum(sides.values()) == 4000
+    for label, n in ((1, 13), (None, 7), (0, 3980)):
+        assert sides[label, "test"] == round(0.2 * n) and sides[label, "train"] == n - round(0.2 * n)
     assert pp.split_union(split).exceptAll(split).count() == 0
     again = pp.with_split(df.repartition(3), SETTINGS)
     assert split.exceptAll(again).count() == 0

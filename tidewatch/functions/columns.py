@@ -159,3 +159,9 @@ def hash_bucket(key: Column, seed: int, buckets: int = 10_000) -> Column:
     """Stable bucket number of a key, the same in every run and engine."""
     digest = F.md5(F.concat_ws("|", key.cast("string"), F.lit(str(seed))))
     return F.conv(F.substring(digest, 1, 8), 16, 10).cast("long") % F.lit(buckets)
+
+
+def hash_place(key: Column, seed: int) -> Column:
+    """Stable 60-bit number of a key, the same in every run and engine."""
+    digest = F.md5(F.concat_ws("|", key.cast("string"), F.lit(str(seed))))
+    return F.conv(F.substring(digest, 1, 15), 16, 10).cast("long")

@@ -12,11 +12,12 @@ from pyspark.sql import types as T
 
 from tidewatch.functions.columns import (
     finite_or_zero_sql,
-    hash_bucket,
+    hash_place,
     level_sql,
     name_sql,
     text_sql,
 )
+from tidewatch.operators.ranked import running_totals
 from tidewatch.session import stage, work_dir
 from tidewatch.settings import Settings
 
@@ -197,14 +198,26 @@ def prepare_scoring(features: DataFrame, state: PrepState, settings: Settings) -
 
 # -- split -----------------------------------------------------------------------------
 
-def with_split(df: DataFrame, settings: Settings, key: str = KEY) -> DataFrame:
-    """Mark each row ``train`` or ``test`` by a hash of its key.
+def with_class_rank(df: DataFrame, seed: int, key: str = KEY, target: str = TARGET) -> DataFrame:
+    """Add ``_rank``, a row's place in its class by a hash of the key, and ``_size``, the class's rows.
 
-    No shuffle and no ordering; the share holds within every class because the
-    hash does not depend on it.
+    The rows are stored first, because they are read for ranking and again for the result; no task sees a whole class.
     """
-    test = hash_bucket(F.col(key), settings.seed) < int(round(settings.test_share * 10_000))
-    return df.withColumn("dataset", F.when(test, "test").otherwise("train"))
+    label = F.coalesce(_c(target).cast("string"), F.lit(""))  # rows without a label are a class of their own
+    rows = stage(df.withColumns({"_place": hash_place(_c(key), seed), "_class": label}), "to-rank")
+    ranked = running_totals(rows, ["_class"], "_place", {"n": F.count(F.lit(1))}).select(
+        "_class", "_place", F.col("before_n").alias("_rank"), F.col("all_n").alias("_size"))
+    return rows.join(ranked, ["_class", "_place"]).drop("_place", "_class")
+
+
+def with_split(df: DataFrame, settings: Settings, key: str = KEY, target: str = TARGET) -> DataFrame:
+    """Mark each row ``train`` or ``test``: the first rows of every class by the key's hash are the test rows.
+
+    Every class gives its share to within half a row, and a rerun gives the same rows.
+    """
+    test = F.col("_rank") < F.round(F.lit(settings.test_share) * F.col("_size"))
+    ranked = with_class_rank(df, settings.seed, key, target)
+    return ranked.withColumn("dataset", F.when(test, "test").otherwise("train")).drop("_rank", "_size")
 
 
 def split_counts(split: DataFrame, target: str = TARGET) -> DataFrame:

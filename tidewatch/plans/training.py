@@ -16,8 +16,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.functions.columns import hash_bucket, name_sql
-from tidewatch.operators.prepare import KEY, TARGET, PrepState
+from tidewatch.functions.columns import name_sql
+from tidewatch.operators.prepare import KEY, TARGET, PrepState, with_class_rank
 from tidewatch.plans.evaluation import class_weight
 from tidewatch.settings import GRID_SPACE, RANDOM_SPACE, TREE_DEFAULTS, Settings
 
@@ -111,6 +111,12 @@ class SearchResult:
         return spark.createDataFrame(rows, "params string, f1 double").orderBy(F.col("f1").desc(), "params")
 
 
+def with_folds(train: DataFrame, settings: Settings) -> DataFrame:
+    """Add the number of the fold that holds a row out."""
+    ranked = with_class_rank(train, settings.seed + 1)
+    return ranked.withColumn(FOLD, (F.col("_rank") % settings.cv_folds).cast("int")).drop("_rank", "_size")
+
+
 def search(
     train: DataFrame,
     points: Sequence[Params],
@@ -120,12 +126,11 @@ def search(
 ) -> SearchResult:
     """Cross-validated f1 of the positive class for every point.
 
-    Folds come from a hash of the account, so they never change between runs.
-    The weight is carried by every fit.  Every point is fitted once per fold and
+    Folds take turns within each class in the order of the account's hash: they never change between runs and
+    every class is spread over them to within one row.  The weight is carried by every fit.  Every point is fitted once per fold and
     nothing else; the final fit is the caller's.
     """
-    fold = (hash_bucket(F.col(KEY), settings.seed + 1) % settings.cv_folds).cast("int")
-    rows = weighted(train).withColumn(FOLD, fold)
+    rows = weighted(with_folds(train, settings))
     evaluator = MulticlassClassificationEvaluator(
         labelCol=TARGET, metricName="fMeasureByLabel", metricLabel=1.0
     )

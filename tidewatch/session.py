@@ -20,6 +20,8 @@ SQL_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Attribution works per batch and leaf, so its batches should be long.
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "10000",
     # Monthly rows are wide (32 measures); keep them inside generated code.
     "spark.sql.codegen.maxFields": "200",
 }
