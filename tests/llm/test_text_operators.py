@@ -15,7 +15,7 @@ from tests.llm import brute
 from tests.llm.helpers import crawl, frame, same, words
 from tidewatch.llm import (decontaminate, language_id, packing, quality_crf, quality_rules, queries, secrets, tokens,
                            url_filter)
-from tidewatch.llm.common import crc_mod
+from tidewatch.llm.common import crc_mod, sample_by_hash
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
@@ -274,3 +274,12 @@ def test_windows_cover_whole_texts_and_scores_do_not_depend_on_the_batch():
 def test_split_bits_equal_zlib(spark):
     got = spark.range(200).select("id", crc_mod(F.col("id"), 3).alias("m")).collect()
     assert all(r.m == zlib.crc32(str(r.id).encode()) % 3 for r in got)
+
+
+def test_samples_are_the_rows_with_the_smallest_hashes(spark):
+    df = spark.range(5000).select(F.col("id").alias("doc_id"), F.col("id").cast("string").alias("text"))
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 32))
+    for n in (50, 4999, 9000):
+        got = [r.doc_id for r in sample_by_hash(df, n).collect()]
+        assert got == [r.doc_id for r in df.orderBy(place, "doc_id").limit(n).collect()]
+    assert sample_by_hash(df.where("false"), 5).collect() == []

@@ -20,7 +20,7 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 def tuned(spark: SparkSession) -> SparkSession:
     """Library settings, and Arrow batches small enough for a worker of a few hundred MB."""
     tune(spark)
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "400")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "250")
     return spark
 
 
@@ -43,20 +43,24 @@ def map_batches(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], dic
                 schema: str | StructType) -> DataFrame:
     """``mapInArrow`` whose worker is made once per task and returns one column list per output field.
 
-    A worker may return several such dictionaries, to keep what it hands over small.
+    A worker may return several such dictionaries, to keep what it hands over small, and may have a ``close``
+    that is called at the end of its task.
     """
     schema = StructType.fromDDL(schema) if isinstance(schema, str) else schema
     arrow = to_arrow_schema(schema)
 
     def run(batches):
         work = make()
-        for batch in batches:
-            made = work(batch)
-            for out in [made] if isinstance(made, dict) else made:
-                columns = [out[f.name] for f in arrow]
-                yield pa.RecordBatch.from_arrays(
-                    [c.cast(f.type) if isinstance(c, pa.Array) else pa.array(c, type=f.type)
-                     for c, f in zip(columns, arrow)], schema=arrow)
+        try:
+            for batch in batches:
+                made = work(batch)
+                for out in [made] if isinstance(made, dict) else made:
+                    columns = [out[f.name] for f in arrow]
+                    yield pa.RecordBatch.from_arrays(
+                        [c.cast(f.type) if isinstance(c, pa.Array) else pa.array(c, type=f.type)
+                         for c, f in zip(columns, arrow)], schema=arrow)
+        finally:
+            getattr(work, "close", lambda: None)()
 
     return df.mapInArrow(run, schema)
 
@@ -64,3 +68,13 @@ def map_batches(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], dic
 def crc_mod(doc_id: Column, parts: int) -> Column:
     """crc32 of the id's decimal text, modulo parts (null: 0)."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % parts, F.lit(0))
+
+
+def sample_by_hash(df: DataFrame, n: int, key: str = "doc_id") -> DataFrame:
+    """At most n rows: those with the smallest hashes of their key (ties by all columns).
+
+    The rows are counted first, so that only hashes below a cut, some 2n rows of any table, are ordered.
+    """
+    cut = min(1.0, 2.0 * n / max(1, df.select(key).count()))
+    place = F.pmod(F.xxhash64(key), F.lit(1 << 32))
+    return df.where(place < F.lit(int(cut * (1 << 32)))).orderBy(place, *df.columns).limit(n)

@@ -17,7 +17,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.llm.common import map_batches
+from tidewatch.llm.common import map_batches, sample_by_hash
 
 SAMPLE_DOCS = 4000
 PRIOR = 1e-6
@@ -68,8 +68,7 @@ def _log_model(tokens: list[str], backing: float = 10.0) -> np.ndarray:
 
 def train(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> np.ndarray:
     """Log-likelihood ratio of every pair of characters, from a bounded sample of documents."""
-    sample = (docs.select("text", F.xxhash64(F.col("doc_id")).alias("h")).where("text IS NOT NULL")
-              .orderBy("h").limit(sample_docs))
+    sample = sample_by_hash(docs.select("doc_id", "text"), sample_docs).where("text IS NOT NULL")
     secret, ordinary = [], []
     for row in sample.toLocalIterator():
         text, at = row["text"], 0
