@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from typing import Mapping, Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -165,3 +165,13 @@ def hash_place(key: Column, seed: int) -> Column:
     """Stable 60-bit number of a key, the same in every run and engine."""
     digest = F.md5(F.concat_ws("|", key.cast("string"), F.lit(str(seed))))
     return F.conv(F.substring(digest, 1, 15), 16, 10).cast("long")
+
+
+# -- explanation maps ----------------------------------------------------------
+
+MAP_COLUMNS = ("positive_features", "negative_features", "top_features")
+
+
+def maps_to_json(explained: DataFrame) -> DataFrame:
+    """The three maps of an explanation as JSON text, for text-only sinks."""
+    return explained.withColumns({c: F.to_json(c) for c in MAP_COLUMNS})

@@ -52,17 +52,18 @@ def salted_lookup(
     dim: DataFrame,
     keys: Sequence[str],
     spread_by: Column,
-    copies: int = 8,
+    copies: int | None = None,
     how: str = "left",
 ) -> DataFrame:
     """Look up ``dim`` (one row per key) for facts whose keys are few and hot.
 
-    The facts of one key are spread over ``copies`` partitions by a hash of
-    ``spread_by`` and every row of ``dim`` is repeated that often.  Use it where
+    The facts of one key are spread over ``copies`` partitions (a quarter of the shuffle
+    partitions unless given) by a hash of ``spread_by`` and every row of ``dim`` is repeated that often.  Use it where
     the key has low cardinality, such as a category and a month: such a group
     can hold a large share of all rows, while ``dim`` is tiny.
     """
     salt = "_salt"
+    copies = copies or max(2, int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions")) // 4)
     salted = facts.withColumn(salt, F.pmod(F.xxhash64(spread_by), F.lit(copies)).cast("int"))
     repeated = dim.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(copies - 1))))
     return salted.join(repeated, [*keys, salt], how).drop(salt)

@@ -13,6 +13,7 @@ from typing import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidewatch.functions.columns import MAP_COLUMNS, maps_to_json  # noqa: F401  (part of this module's interface)
 from tidewatch.settings import Settings
 
 
@@ -79,14 +80,6 @@ def explanations(contributions: DataFrame, settings: Settings) -> DataFrame:
     )
 
 
-MAP_COLUMNS = ("positive_features", "negative_features", "top_features")
-
-
-def maps_to_json(explained: DataFrame) -> DataFrame:
-    """The three maps as JSON text, for text-only sinks."""
-    return explained.withColumns({c: F.to_json(c) for c in MAP_COLUMNS})
-
-
 def maps_from_json(stored: DataFrame) -> DataFrame:
     """The three maps read back from JSON text."""
     return stored.withColumns({c: F.from_json(c, "map<string,double>") for c in MAP_COLUMNS})

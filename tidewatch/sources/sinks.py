@@ -9,7 +9,7 @@ from typing import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.plans.attribution import MAP_COLUMNS, maps_to_json
+from tidewatch.functions.columns import MAP_COLUMNS, maps_to_json
 from tidewatch.sources.tables import quoted
 
 MODES = ("overwrite", "append", "error", "errorifexists", "ignore")
