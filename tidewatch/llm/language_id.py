@@ -21,7 +21,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.llm.common import map_batches
+from tidewatch.llm.common import map_batches, sample_by_hash
 
 WINDOW = 192
 WIDTHS = (2, 3, 4)
@@ -158,10 +158,8 @@ def fit(texts: list[str], labels: list[str], seed: int = 7, epochs: int = EPOCHS
 
 def train(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> Network | None:
     """Network from the labelled rows of ``docs`` with the smallest hashes of doc_id; at most ``sample_docs``."""
-    sample = (docs.where("lang IS NOT NULL AND text IS NOT NULL")
-              .select("lang", "text", F.xxhash64(F.col("doc_id")).alias("h"), "doc_id")
-              .orderBy("h", "doc_id", "text").limit(sample_docs))
-    rows = [(r["text"], r["lang"]) for r in sample.toLocalIterator() if any(map(str.isalpha, r["text"]))]
+    sample = sample_by_hash(docs.where("lang IS NOT NULL").select("doc_id", "text", "lang"), sample_docs)
+    rows = [(r["text"], r["lang"]) for r in sample.toLocalIterator() if r["text"] and any(map(str.isalpha, r["text"]))]
     return fit([t for t, _ in rows], [lang for _, lang in rows])
 
 
