@@ -69,7 +69,7 @@ def test_components_of_a_chain_and_a_star(spark):
 
 @pytest.mark.parametrize("batches, fan_in", [(4, 2), (7, 3), (1, 2)])
 def test_lines_equal_brute_force(spark, rows, batches, fan_in):
-    more = rows + [(None, rows[40][1]), (None, None)]
+    more = rows + [(None, rows[40][1]), (None, None), (-(1 << 63), rows[41][1]), ((1 << 63) - 1, rows[41][1])]
     out = line_dedup.dedup_lines(frame(spark, more), batches, fan_in)
     same(out.select("doc_id", "n_lines", "n_dropped", "text").collect(), brute.line_dedup(more))
     assert set(out.columns) == set(frame(spark, []).columns) | {"n_dropped"}

@@ -5,9 +5,9 @@ the items gets a code and a window of 13 words becomes a string of 13 codes; one
 these strings runs along the coded words of a document, so a match's end is a word index, which maps back to
 the characters of the original text.
 
-The automaton's size is checked before it is sent to the tasks: items are dealt into blocks of at most
-``block_chars`` characters (one item longer than that is its own block) and each block is one scan; findings
-of several blocks are merged per document row.
+Sizes are checked before anything is sent to the tasks: all items together have at most ``MAX_CHARS`` characters,
+else the call fails and wants them in parts; they are cut into blocks of at most ``block_chars`` (one longer item is its own
+block) and each block is one scan, whose findings are joined to those of the blocks before.
 
 Edge cases: null or wordless text has no words, no hits and is clean; items without words never match; an
 item of fewer than 13 words is one window; repeated items count once per item_id; items with a null id hit
@@ -26,6 +26,7 @@ from tidewatch.llm.common import map_batches
 
 WINDOW = 13
 BLOCK_CHARS = 1_000_000
+MAX_CHARS = 64_000_000
 
 # ASCII letters and digits stay (A-Z as a-z), other ASCII bytes become spaces, bytes beyond ASCII stay.
 _NORMAL = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c > 127 else 32
@@ -81,13 +82,19 @@ class Scanner:
 
 
 def _blocks(items: DataFrame, item_id: str, text: str, block_chars: int):
-    """Items in blocks of bounded size; one block is on the driver at a time."""
-    sized = items.select(F.col(item_id).cast("long").alias("i"), F.col(text).alias("t"))
-    total = sized.agg(F.sum(F.length("t"))).first()[0] or 0
-    count = max(1, -(-total // block_chars))
-    block = F.pmod(F.xxhash64("i", "t"), F.lit(count))
-    for k in range(count):
-        yield [tuple(r) for r in sized.where(block == k).toLocalIterator()]
+    """Items in blocks of bounded size; the whole is checked to be what a driver can hold."""
+    rows = items.select(F.col(item_id).cast("bigint").alias("i"), F.col(text).alias("t"))
+    total = rows.agg(F.sum(F.length("t"))).first()[0] or 0
+    if total > MAX_CHARS:
+        raise ValueError(f"{total} characters of test items; decontaminate against parts of at most {MAX_CHARS}")
+    block, size = [], 0
+    for i, t in rows.toLocalIterator():
+        if block and size + len(t or "") > block_chars:
+            yield block
+            block, size = [], 0
+        block.append((i, t))
+        size += len(t or "")
+    yield block
 
 
 def find_items(docs: DataFrame, items: DataFrame, text: str = "text", item_id: str = "item_id",

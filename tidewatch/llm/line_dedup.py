@@ -42,9 +42,9 @@ def _hash(key: Column) -> Column:
 
 def line_keys(docs: DataFrame, batches: int = BATCHES, min_chars: int = MIN_CHARS) -> DataFrame:
     """(doc_id, h1, h2, batch): the distinct long line keys of every row; batch 0 has the largest doc_ids."""
-    ends = docs.agg(F.struct(F.max("doc_id").alias("top"), F.min("doc_id").alias("low"))).scalar()
-    width = ends.top - ends.low + 1
-    batch = F.floor((ends.top - F.col("doc_id")) * F.lit(float(batches)) / width).cast("int")
+    ends = docs.agg(F.struct(*[f("doc_id").cast("double").alias(n) for n, f in (("top", F.max), ("low", F.min))])).scalar()
+    share = (ends.top - F.col("doc_id").cast("double")) / (ends.top - ends.low + 1)
+    batch = F.least(F.floor(share * batches).cast("int"), F.lit(batches - 1))
     keys = F.filter(F.transform(_lines(F.col("text")), _key), lambda k: F.length(k) >= min_chars)
     return (docs.where("doc_id IS NOT NULL")
             .select("doc_id", F.explode(F.array_distinct(F.transform(keys, _hash))).alias("k"))
