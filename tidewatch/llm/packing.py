@@ -59,6 +59,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: in
                         out[name].append(value)
             return out
 
+        work.close = tok.forget
         return work
 
     return map_batches(docs.select(F.col("doc_id").cast("bigint"), "text"), make, f"{PIECE}, salt bigint")
@@ -126,7 +127,7 @@ def _epoch(rows: DataFrame, epoch: int, capacity: int, islands: int) -> DataFram
     """Evolves every (block, island); ``rows`` has a ``bin`` for each chromosome that came in (null: none)."""
     columns = f"{PIECE}, salt bigint, block bigint, island int, origin int, bin bigint, fill bigint"
 
-    def run(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         identity = ["doc_id", "piece", "start", "length", "ids_crc32", "salt"]
         pdf = pdf.sort_values([*identity, "origin"], kind="stable")
         elites: list[Bins] = []

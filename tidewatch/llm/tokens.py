@@ -18,6 +18,7 @@ from tokenizers.models import BPE
 from tokenizers.pre_tokenizers import WhitespaceSplit
 
 CACHE_WORDS = 200_000
+PARTS_AT_ONCE = 5_000
 
 # Letters that normalisation leaves alone but for the case, then ASCII signs without apostrophe.
 _SIMPLE = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]*)([!-&(-/:-@\[-`{-~]*)")
@@ -82,11 +83,18 @@ class WordTokenizer:
         simple = [(w, m[1], m[2]) for w, m in zip(fresh, map(_SIMPLE.fullmatch, fresh)) if m]
         parts = {p for _, a, b in simple for p in (a, b) if p}
         plain = set(filter(str.isascii, parts))  # these need no byte signs
-        ids = {"": b""} | self._parts(list(plain)) | self._parts(list(parts - plain))
+        ids = {"": b""}
+        for some in (list(plain), list(parts - plain)):
+            for at in range(0, len(some), PARTS_AT_ONCE):
+                ids |= self._parts(some[at:at + PARTS_AT_ONCE])
         self.young.update((w, ids[a] + ids[b]) for w, a, b in simple)
         if len(simple) < len(fresh):
             self.young.update((w, self._whole(w)) for w in fresh if w not in self.young)
 
+    def forget(self) -> None:
+        """Empties the cache: a worker process outlives its task."""
+        self.young, self.old = {}, {}
+
     def ids(self, texts: list[str]) -> list[bytes]:
         split = [None if _RARE.search(t) else t.split() for t in texts]
         self._learn(set().union(*(w for w in split if w)))
