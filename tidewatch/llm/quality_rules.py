@@ -27,6 +27,7 @@ MAX_REPEAT = 0.5
 HOST_LIMIT = 0.5
 WINDOW = 3
 MAX_STRENGTH = 1e6
+SALTS = 64
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
 
 
@@ -90,7 +91,13 @@ def host_rates(measured: DataFrame, host: str = "source") -> DataFrame:
 
 
 def judge(measured: DataFrame, host: str = "source", host_limit: float = HOST_LIMIT) -> DataFrame:
-    """Adds ``kept``.  ``measured`` is read twice: store it before (it need not hold the texts)."""
-    bad = host_rates(measured, host).where(F.col("shrunk") > host_limit).select("host").alias("bad")
-    out = measured.drop("kept").alias("m").join(bad, F.col(f"m.`{host}`") == F.col("bad.host"), "left")
+    """Adds ``kept``.  ``measured`` is read twice: store it before (it need not hold the texts).
+
+    Rejected hosts are looked up with a salted key, so the rows of one host go to ``SALTS`` partitions.
+    """
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
+    bad = host_rates(measured, host).where(F.col("shrunk") > host_limit).select("host", salts).alias("bad")
+    out = measured.drop("kept").alias("m")
+    salt = F.pmod(F.xxhash64("m.doc_id", "m.n_words", "m.word_chars"), F.lit(SALTS)).cast("int")
+    out = out.join(bad, (F.col(f"m.`{host}`") == F.col("bad.host")) & (salt == F.col("bad.salt")), "left")
     return out.select("m.*", (~F.col("m.base_failed") & F.col("bad.host").isNull()).alias("kept"))
