@@ -21,7 +21,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.llm.common import map_batches
+from tidewatch.llm.common import map_batches, sample_by_hash
 
 SAMPLE_DOCS = 3000
 EPOCHS = 12
@@ -159,8 +159,9 @@ def score_texts(texts: list[str], field: Field) -> list[float]:
 
 def train(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS) -> Field:
     """Field from ``labels`` (doc_id, quality) of documents with the smallest hashes of doc_id."""
-    chosen = (labels.where("quality IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id")
-              .agg(F.min("quality").alias("quality")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_docs))
+    known = (labels.where("quality IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id")
+             .agg(F.min("quality").alias("quality")))
+    chosen = sample_by_hash(known, sample_docs)
     # At most sample_docs rows of two numbers: a bounded broadcast keeps the texts where they are.
     rows = (docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
             .join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "quality"))
