@@ -92,8 +92,8 @@ class WordTokenizer:
             self.young.update((w, self._whole(w)) for w in fresh if w not in self.young)
 
     def forget(self) -> None:
-        """Empties the cache: a worker process outlives its task."""
-        self.young, self.old = {}, {}
+        """Drops the old generation: a worker process outlives its task, but frequent words serve the next one."""
+        self.old = {}
 
     def ids(self, texts: list[str]) -> list[bytes]:
         split = [None if _RARE.search(t) else t.split() for t in texts]
