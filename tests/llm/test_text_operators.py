@@ -177,6 +177,23 @@ def test_contamination_equals_brute_force(spark, rows, block_chars):
             assert inside == brute.BENCH_WORD.findall(brute.low(r.text))[hit.start:hit.stop]
 
 
+@pytest.mark.parametrize("block_chars", [40, 200])
+def test_contamination_by_any_number_of_items(spark, rows, block_chars, monkeypatch):
+    monkeypatch.setattr(decontaminate, "MAX_CHARS", 300, raising=False)  # was the most that all items could have
+    rng = random.Random(11)
+    items = [(k, " ".join(words(rng, 8 + 2 * k))) for k in range(24)] + [(None, " ".join(words(rng, 50))), (7, "; " * 300)]
+    docs = rows + [(900 + k, f"Pre {items[k][1].upper()}, {items[23 - k][1][9:]} post") for k in range(24)]
+    docs += [(900, docs[-1][1]), (None, docs[-1][1]), (950, " ".join(t for _, t in items)), docs[-1], docs[-2]]
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    found = decontaminate.decontaminate(frame(spark, docs), bench, block_chars=block_chars).collect()
+    got = [(r.doc_id, r.found.n_words, r.n_hit, len(r.found["items"]),
+            brute.sha(",".join(sorted(map(str, r.found["items"])))), r.contaminated) for r in found]
+    same(got, brute.contamination(docs, items))
+    for r in found:
+        assert [brute.BENCH_WORD.findall(brute.low(r.text[s.start:s.stop])) for s in r.found.spans] == [
+            brute.BENCH_WORD.findall(brute.low(r.text))[h.start:h.stop] for h in r.found.hits]
+
+
 def test_contamination_of_and_by_nothing(spark, rows):
     bench = spark.createDataFrame([], "item_id bigint, text string")
     out = decontaminate.decontaminate(frame(spark, rows), bench)

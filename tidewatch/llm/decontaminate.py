@@ -5,9 +5,11 @@ the items gets a code and a window of 13 words becomes a string of 13 codes; one
 these strings runs along the coded words of a document, so a match's end is a word index, which maps back to
 the characters of the original text.
 
-Sizes are checked before anything is sent to the tasks: all items together have at most ``MAX_CHARS`` characters,
-else the call fails and wants them in parts; they are cut into blocks of at most ``block_chars`` (one longer item is its own
-block) and each block is one scan, whose findings are joined to those of the blocks before.
+The items are fetched in blocks of at most ``block_chars`` characters, one automaton each; a longer item is cut into parts
+that overlap by a window less one word, so its windows stay whole.  A task holds at most ``BLOCKS`` automata: that many blocks
+or fewer are one scan.  More are scanned ``BLOCKS`` at a time, any number of times; the findings of a scan are written, keyed
+by a hash of the text (findings depend on nothing else), and a last step joins and merges them.  The work grows with the
+number of scans.
 
 Edge cases: null or wordless text has no words, no hits and is clean; items without words never match; an
 item of fewer than 13 words is one window; repeated items count once per item_id; items with a null id hit
@@ -17,16 +19,19 @@ words but are not counted or listed; repeated document rows are judged each by i
 from __future__ import annotations
 
 import re
+from collections import deque
+from itertools import batched, chain
 
 import ahocorasick
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch.llm.common import map_batches
+from tidewatch.session import work_dir
 
 WINDOW = 13
 BLOCK_CHARS = 1_000_000
-MAX_CHARS = 64_000_000
+BLOCKS = 2
 
 # ASCII letters and digits stay (A-Z as a-z), other ASCII bytes become spaces, bytes beyond ASCII stay.
 _NORMAL = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c > 127 else 32
@@ -35,6 +40,7 @@ _ORIGINAL_WORD = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 
 FOUND = ("struct<n_words: bigint, hits: array<struct<start: int, stop: int>>, "
          "spans: array<struct<start: int, stop: int>>, items: array<bigint>>")
+PARTS = "_text1 bigint, _text2 bigint, hits array<struct<start: int, stop: int>>, items array<bigint>"
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -81,20 +87,79 @@ class Scanner:
                 "items": sorted(items)}
 
 
-def _blocks(items: DataFrame, item_id: str, text: str, block_chars: int):
-    """Items in blocks of bounded size; the whole is checked to be what a driver can hold."""
+def _pieces(text: str, size: int, window: int):
+    """The item, or parts of at most ``size`` characters (of ``window`` words at least) with all of its windows."""
+    if len(text) <= size:
+        yield text
+        return
+    held: deque[tuple[int, int]] = deque()
+    for m in _ORIGINAL_WORD.finditer(text):
+        if len(held) >= window and m.end() - held[0][0] > size:
+            yield text[held[0][0]:held[-1][1]]
+            while len(held) >= window:
+                held.popleft()
+        held.append(m.span())
+    if held:
+        yield text[held[0][0]:held[-1][1]]
+
+
+def _blocks(items: DataFrame, item_id: str, text: str, block_chars: int, window: int):
+    """Items in blocks of bounded size, fetched one partition at a time."""
     rows = items.select(F.col(item_id).cast("bigint").alias("i"), F.col(text).alias("t"))
-    total = rows.agg(F.sum(F.length("t"))).first()[0] or 0
-    if total > MAX_CHARS:
-        raise ValueError(f"{total} characters of test items; decontaminate against parts of at most {MAX_CHARS}")
     block, size = [], 0
     for i, t in rows.toLocalIterator():
-        if block and size + len(t or "") > block_chars:
-            yield block
-            block, size = [], 0
-        block.append((i, t))
-        size += len(t or "")
-    yield block
+        for piece in _pieces(t or "", block_chars, window):
+            if block and size + len(piece) > block_chars:
+                yield block
+                block, size = [], 0
+            block.append((i, piece))
+            size += len(piece)
+    if block:
+        yield block
+
+
+def _scan(docs: DataFrame, blocks: tuple, text: str, window: int) -> DataFrame:
+    """``docs`` with its column ``found`` joined with what the blocks' automata find."""
+
+    def make():
+        scanners = [Scanner(b, window) for b in blocks] or [Scanner([], window)]
+
+        def one(t, found):
+            for s in scanners:
+                found = s.scan(t, found)
+            return found
+
+        def work(batch):
+            texts, before = batch.column(text).to_pylist(), batch.column("found").to_pylist()
+            out = {f: batch.column(f) for f in batch.schema.names}
+            out["found"] = [one(t, b) for t, b in zip(texts, before)]
+            return out
+
+        return work
+
+    return map_batches(docs, make, docs.schema)
+
+
+def _part(keyed: DataFrame, blocks: tuple, window: int) -> DataFrame:
+    """Findings of the blocks in the texts that have any, one row per text.  ``keyed``: _text1, _text2, text."""
+
+    def make():
+        scanners = [Scanner(b, window) for b in blocks]
+
+        def work(batch):
+            out = {"_text1": [], "_text2": [], "hits": [], "items": []}
+            for k1, k2, t in zip(*(batch.column(c).to_pylist() for c in ("_text1", "_text2", "text"))):
+                found = None
+                for s in scanners:
+                    found = s.scan(t, found)
+                if found["hits"]:
+                    for name, value in zip(out, (k1, k2, found["hits"], found["items"])):
+                        out[name].append(value)
+            return out
+
+        return work
+
+    return map_batches(keyed, make, PARTS).dropDuplicates(["_text1", "_text2"])
 
 
 def find_items(docs: DataFrame, items: DataFrame, text: str = "text", item_id: str = "item_id",
@@ -103,22 +168,25 @@ def find_items(docs: DataFrame, items: DataFrame, text: str = "text", item_id: s
 
     ``hits`` are ranges of word numbers, ``spans`` the same in characters of the original text.
     """
-    docs = docs.drop("found").withColumn("found", F.lit(None).cast(FOUND))
-    for block in _blocks(items, item_id, item_text, block_chars):
-
-        def make(block=block):
-            scanner = Scanner(block, window)
-
-            def work(batch):
-                texts, before = batch.column(text).to_pylist(), batch.column("found").to_pylist()
-                out = {f: batch.column(f) for f in batch.schema.names}
-                out["found"] = [scanner.scan(t, b) for t, b in zip(texts, before)]
-                return out
-
-            return work
-
-        docs = map_batches(docs, make, docs.schema)
-    return docs
+    docs = docs.drop("found")
+    groups = batched(_blocks(items, item_id, item_text, block_chars, window), BLOCKS)
+    first, second = next(groups, ()), next(groups, None)
+    if second is None:
+        return _scan(docs.withColumn("found", F.lit(None).cast(FOUND)), first, text, window)
+
+    spark = docs.sparkSession
+    path = work_dir(spark, "found")
+    keys = {"_text1": F.xxhash64(text), "_text2": F.xxhash64(F.lit(3), text)}
+    keyed = docs.where(F.col(text).isNotNull()).select(*[c.alias(k) for k, c in keys.items()], F.col(text).alias("text"))
+    for blocks in chain((first, second), groups):
+        _part(keyed, blocks, window).write.mode("append").parquet(path)
+    # A text has one row per scan at most.
+    parts = spark.read.schema(PARTS).parquet(path).groupBy("_text1", "_text2").agg(
+        F.struct(F.lit(None).cast("bigint").alias("n_words"), F.flatten(F.collect_list("hits")).alias("hits"),
+                 F.lit(None).cast("array<struct<start: int, stop: int>>").alias("spans"),
+                 F.flatten(F.collect_list("items")).alias("items")).alias("found"))
+    joined = docs.withColumns(keys).join(parts, list(keys), "left").select(*docs.columns, F.col("found").cast(FOUND))
+    return _scan(joined, (), text, window)
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, share: float = 0.05, **options) -> DataFrame:
