@@ -274,6 +274,19 @@ def test_languages_of_odd_input(spark, rows):
     assert language_id.identify(frame(spark, []), net).collect() == []
 
 
+def test_rare_languages_are_learned(spark):
+    rng = random.Random(4)
+    letters = {"common": "abcdefg", "r1": "hijklm", "r2": "nopqrs", "r3": "tuvwxyz", "r4": "äöüßéèê"}
+    data = [(k, " ".join(words(rng, 30, letters["common"])), "common") for k in range(4000)]
+    data += [(4000 + 10 * j + k, " ".join(words(rng, 30, letters[f"r{j}"])), f"r{j}") for j in range(1, 5) for k in range(8)]
+    docs = spark.createDataFrame(data, "doc_id bigint, text string, lang string")
+    assert language_id.sample_languages(docs, 200, 5).count() == 199 + 4 * 5  # shares are rounded up
+    net = language_id.train(docs, sample_docs=200)
+    assert net.languages == sorted(letters)
+    got = {r.doc_id: r.lang_pred for r in language_id.identify(docs.where("lang <> 'common'"), net).collect()}
+    assert all(got[i] == lang for i, _, lang in data[4000:])
+
+
 def test_windows_cover_whole_texts_and_scores_do_not_depend_on_the_batch():
     rng = random.Random(1)
     texts = [" ".join(words(rng, n)) for n in (1, 5, 300, 9000, 2, 40)]

@@ -70,11 +70,16 @@ def crc_mod(doc_id: Column, parts: int) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % parts, F.lit(0))
 
 
+def hash_place(*keys: str) -> Column:
+    """32 bits of the keys' hash."""
+    return F.pmod(F.xxhash64(*keys), F.lit(1 << 32))
+
+
 def sample_by_hash(df: DataFrame, n: int, key: str = "doc_id") -> DataFrame:
     """At most n rows: those with the smallest hashes of their key (ties by all columns).
 
     The rows are counted first, so that only hashes below a cut, some 2n rows of any table, are ordered.
     """
     cut = min(1.0, 2.0 * n / max(1, df.select(key).count()))
-    place = F.pmod(F.xxhash64(key), F.lit(1 << 32))
+    place = hash_place(key)
     return df.where(place < F.lit(int(cut * (1 << 32)))).orderBy(place, *df.columns).limit(n)

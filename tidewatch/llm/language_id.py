@@ -5,8 +5,9 @@ one-hot bytes is a sum of table look-ups, so a window costs a few look-ups per b
 windows of ``WINDOW`` bytes (the last one is padded); all windows of the whole text are scored in batches and
 their log probabilities, weighted by the bytes they hold, are averaged.
 
-Training reads at most ``sample_docs`` labelled documents per run (smallest hash of doc_id), whole texts cut into windows of which each
-document gives at most ``sample_windows``; weights are small (a few hundred KB) and travel with the task.
+Every language of the labelled rows is learned.  Each gives its share of ``sample_docs`` documents, but at least ``least_docs`` or
+all it has (smallest hashes of doc_id); whole texts are cut into windows of which each document gives at most ``sample_windows``.
+Weights grow with the number of languages only (a few hundred KB for tens of them) and travel with the task.
 
 Edge cases: a null text or one without a letter is ``und`` with score 0; without any labelled document every
 text is ``und``; one language only gives that language with score 1; repeated rows are scored each; rows with
@@ -18,10 +19,10 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewatch.llm.common import map_batches, sample_by_hash
+from tidewatch.llm.common import hash_place, map_batches
 
 WINDOW = 192
 WIDTHS = (2, 3, 4)
@@ -30,6 +31,7 @@ EPOCHS = 6
 BATCH = 64
 RATE = 0.02
 SAMPLE_DOCS = 2000
+LEAST_DOCS = 50
 SAMPLE_WINDOWS = 3
 BLOCK_WINDOWS = 256
 UNKNOWN = "und"
@@ -156,9 +158,24 @@ def fit(texts: list[str], labels: list[str], seed: int = 7, epochs: int = EPOCHS
     return net
 
 
-def train(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> Network | None:
-    """Network from the labelled rows of ``docs`` with the smallest hashes of doc_id; at most ``sample_docs``."""
-    sample = sample_by_hash(docs.where("lang IS NOT NULL").select("doc_id", "text", "lang"), sample_docs)
+def sample_languages(docs: DataFrame, sample_docs: int, least_docs: int) -> DataFrame:
+    """Labelled rows of every language: its share of ``sample_docs``, at least ``least_docs`` or all it has."""
+    labelled = docs.where("lang IS NOT NULL").select("doc_id", "text", "lang")
+    counts = labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()
+    total = sum(r["n"] for r in counts)
+    wanted = [(r["lang"], max(least_docs, -(-sample_docs * r["n"] // total)), r["n"]) for r in counts]
+    # Only rows below their language's cut, some twice as many as wanted, are ordered.
+    limits = docs.sparkSession.createDataFrame(
+        [(lang, m, int(min(1.0, 2.0 * m / n) * (1 << 32))) for lang, m, n in wanted], "lang string, wanted long, cut long")
+    rows = labelled.withColumn("place", hash_place("doc_id")).join(F.broadcast(limits), "lang").where("place < cut")
+    order = Window.partitionBy("lang").orderBy("place", "doc_id", "text")
+    rows = rows.withColumn("rank", F.row_number().over(order)).where("rank <= wanted")
+    return rows.orderBy("place", "doc_id", "text", "lang").select("doc_id", "text", "lang")
+
+
+def train(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, least_docs: int = LEAST_DOCS) -> Network | None:
+    """Network from labelled rows of ``docs``, of every language."""
+    sample = sample_languages(docs, sample_docs, least_docs)
     rows = [(r["text"], r["lang"]) for r in sample.toLocalIterator() if r["text"] and any(map(str.isalpha, r["text"]))]
     return fit([t for t, _ in rows], [lang for _, lang in rows])
 
