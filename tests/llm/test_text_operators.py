@@ -313,3 +313,18 @@ def test_samples_are_the_rows_with_the_smallest_hashes(spark):
         got = [r.doc_id for r in sample_by_hash(df, n).collect()]
         assert got == [r.doc_id for r in df.orderBy(place, "doc_id").limit(n).collect()]
     assert sample_by_hash(df.where("false"), 5).collect() == []
+
+
+def test_rows_without_id_and_copies_do_not_fill_a_sample(spark):
+    rng = random.Random(6)
+    data = [(None, "", "en")] * 1500 + [(None, "!?", "fr")] * 500 + [(7, "token one copy", "en")] * 4000
+    data += [(k, " ".join(words(rng, 20, "abcdef")), "en") for k in range(1000, 1300)]
+    data += [(k if k % 3 else None, " ".join(words(rng, 20, "uvwxyz")), "fr") for k in range(2000, 2300)]
+    docs = spark.createDataFrame(data, "doc_id bigint, text string, lang string")
+    got = [(r.doc_id, r.text) for r in language_id.sample_languages(docs, 200, 50).collect()]
+    assert len(set(got)) == len(got) > 200 and all(t not in ("", "!?") for _, t in got)
+    net = language_id.train(docs, sample_docs=200)
+    assert net.languages == ["en", "fr"]
+    taken = sample_by_hash(docs.select("doc_id", "text"), 200, "doc_id", "text").collect()
+    assert len(set(taken)) == 200
+    assert len(secrets.train(docs, 200).nonzero()[0]) > 0

@@ -75,11 +75,13 @@ def hash_place(*keys: str) -> Column:
     return F.pmod(F.xxhash64(*keys), F.lit(1 << 32))
 
 
-def sample_by_hash(df: DataFrame, n: int, key: str = "doc_id") -> DataFrame:
-    """At most n rows: those with the smallest hashes of their key (ties by all columns).
+def sample_by_hash(df: DataFrame, n: int, *keys: str) -> DataFrame:
+    """At most n different rows: those with the smallest hashes of their keys (doc_id by default; ties by all columns).
 
-    The rows are counted first, so that only hashes below a cut, some 2n rows of any table, are ordered.
+    Different hashes are counted first, so that only those below a cut, some 2n of any table, are ordered.  Keys that many
+    different rows share would take a common place: a sample of rows whose ids may be null or repeated needs the text as well.
     """
-    cut = min(1.0, 2.0 * n / max(1, df.select(key).count()))
-    place = hash_place(key)
-    return df.where(place < F.lit(int(cut * (1 << 32)))).orderBy(place, *df.columns).limit(n)
+    place = hash_place(*keys or ["doc_id"])
+    several = df.select(F.approx_count_distinct(place)).first()[0]
+    cut = min(1.0, 2.0 * n / max(1, several))
+    return df.where(place < F.lit(int(cut * (1 << 32)))).dropDuplicates().orderBy(place, *df.columns).limit(n)

@@ -6,7 +6,8 @@ windows of ``WINDOW`` bytes (the last one is padded); all windows of the whole t
 their log probabilities, weighted by the bytes they hold, are averaged.
 
 Every language of the labelled rows is learned.  Each gives its share of ``sample_docs`` documents, but at least ``least_docs`` or
-all it has (smallest hashes of doc_id); whole texts are cut into windows of which each document gives at most ``sample_windows``.
+all it has (smallest hashes of doc_id and text; repeated rows
+count once, texts without a letter not at all); whole texts are cut into windows of which each document gives at most ``sample_windows``.
 Weights grow with the number of languages only (a few hundred KB for tens of them) and travel with the task.
 
 Edge cases: a null text or one without a letter is ``und`` with score 0; without any labelled document every
@@ -160,14 +161,15 @@ def fit(texts: list[str], labels: list[str], seed: int = 7, epochs: int = EPOCHS
 
 def sample_languages(docs: DataFrame, sample_docs: int, least_docs: int) -> DataFrame:
     """Labelled rows of every language: its share of ``sample_docs``, at least ``least_docs`` or all it has."""
-    labelled = docs.where("lang IS NOT NULL").select("doc_id", "text", "lang")
-    counts = labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()
+    labelled = (docs.where("lang IS NOT NULL").where(F.col("text").rlike(r"\p{L}")).select("doc_id", "text", "lang")
+                .withColumn("place", hash_place("doc_id", "text")))
+    counts = labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.approx_count_distinct("place").alias("several")).collect()
     total = sum(r["n"] for r in counts)
-    wanted = [(r["lang"], max(least_docs, -(-sample_docs * r["n"] // total)), r["n"]) for r in counts]
+    wanted = [(r["lang"], max(least_docs, -(-sample_docs * r["n"] // total)), r["several"]) for r in counts]
     # Only rows below their language's cut, some twice as many as wanted, are ordered.
     limits = docs.sparkSession.createDataFrame(
-        [(lang, m, int(min(1.0, 2.0 * m / n) * (1 << 32))) for lang, m, n in wanted], "lang string, wanted long, cut long")
-    rows = labelled.withColumn("place", hash_place("doc_id")).join(F.broadcast(limits), "lang").where("place < cut")
+        [(lang, m, int(min(1.0, 2.0 * m / several) * (1 << 32))) for lang, m, several in wanted], "lang string, wanted long, cut long")
+    rows = labelled.join(F.broadcast(limits), "lang").where("place < cut").dropDuplicates()
     order = Window.partitionBy("lang").orderBy("place", "doc_id", "text")
     rows = rows.withColumn("rank", F.row_number().over(order)).where("rank <= wanted")
     return rows.orderBy("place", "doc_id", "text", "lang").select("doc_id", "text", "lang")

@@ -68,7 +68,7 @@ def _log_model(tokens: list[str], backing: float = 10.0) -> np.ndarray:
 
 def train(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> np.ndarray:
     """Log-likelihood ratio of every pair of characters, from a bounded sample of documents."""
-    sample = sample_by_hash(docs.select("doc_id", "text"), sample_docs).where("text IS NOT NULL")
+    sample = sample_by_hash(docs.select("doc_id", "text").where("text <> ''"), sample_docs, "doc_id", "text")
     secret, ordinary = [], []
     for row in sample.toLocalIterator():
         text, at = row["text"], 0
