@@ -91,6 +91,16 @@ def test_substrings_equal_brute_force(spark, rows):
     assert substring_dedup.dedup_substrings(frame(spark, [])).collect() == []
 
 
+def test_substrings_of_rows_that_share_an_id(spark):
+    rng = random.Random(21)
+    passage = " ".join(words(rng, 60))
+    texts = [" ".join(words(rng, 70)) for _ in range(6)]  # unique at the places where others hold the passage
+    data = [(1, texts[0] + " " + texts[1]), (1, passage + " " + texts[2]), (2, passage), (2, texts[3] + " " + texts[4]),
+            (None, texts[5] + " " + passage), (None, texts[5][::-1]), (None, None), (1, None)]
+    got = substring_dedup.dedup_substrings(frame(spark, data))
+    same(got.select("doc_id", "n_words", "n_removed", "text").collect(), brute.substring_dedup(data))
+
+
 def test_matches_at_every_pair_of_offsets(spark):
     rng = random.Random(4)
     common = words(rng, 35, "klmnop")

@@ -13,9 +13,8 @@ equal sequences of ``MATCH`` words share an anchor at the same distance from the
 Per document only its lists of unique places travel, bounded by its own length.
 
 Edge cases: null, empty and short texts have no window and lose nothing; overlapping windows of one document
-count as occurrences; repeated rows are occurrences of each other and both lose all their windows; rows without
-doc_id are located by a hash of their text; rows of different text that share a doc_id share their lists of
-unique places, so they may keep words that they would otherwise lose.
+count as occurrences; repeated rows are occurrences of each other and both lose all their windows; rows are located
+by a hash of doc_id and text, so rows of different text that share a doc_id or have none are judged each by itself.
 """
 
 from __future__ import annotations
@@ -101,7 +100,7 @@ def candidate_windows(n_words: int, unique_anchors) -> np.ndarray:
 def _located(docs: DataFrame) -> DataFrame:
     """doc_id, text and the row's locator."""
     return docs.select(F.col("doc_id").cast("bigint"), "text",
-                       F.coalesce(F.col("doc_id").cast("bigint"), F.xxhash64("text")).alias("at"))
+                       F.xxhash64(F.col("doc_id").cast("bigint"), "text").alias("at"))
 
 
 def _chunks(rows):
