@@ -81,6 +81,17 @@ def test_field_on_odd_input(spark, rows):
     assert {r.score for r in quality_crf.score(frame(spark, rows), one).collect()} == {1.0}
 
 
+def test_field_learns_from_one_row_of_each_id(spark, monkeypatch):
+    data = [(1, f"row {k} of one id") for k in range(400)] + [(1, None), (2, "two"), (2, "two"), (3, None), (4, "no label"), (None, "x")]
+    labels = spark.createDataFrame([(1, 1), (2, 0), (3, 0)], "doc_id bigint, quality int")
+    seen = []
+    monkeypatch.setattr(quality_crf, "fit", lambda texts, good: seen.append(list(zip(texts, good))))
+    for part in (data, data[::-1]):
+        quality_crf.train(frame(spark, part), labels)
+    assert seen[0] == seen[1] and len(seen[0]) == 3
+    assert seen[0][0][0] in {t or "" for i, t in data if i == 1} and seen[0][1:] == [("two", 0), ("", 0)]
+
+
 def test_marginals_equal_enumeration():
     rng = np.random.default_rng(0)
     emission, transition = rng.normal(size=(1, 4, 2)), rng.normal(size=(2, 2))

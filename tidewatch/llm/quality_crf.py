@@ -5,8 +5,8 @@ earlier line) and those of its two neighbours.  The field labels each line good
 the probability that a line is good, and a document's score is their mean weighted by line length.  Labels are
 known per document only, so in training every line carries its document's label.
 
-Training reads at most ``sample_docs`` labelled documents (smallest hash of doc_id) and runs in numpy; the
-model is some fifty numbers.  Scoring runs in Arrow batches over whole texts.
+Training reads at most ``sample_docs`` labelled documents (smallest hash of doc_id; of rows that share a doc_id, the one
+with the smallest text hash) and runs in numpy; the model is some fifty numbers.  Scoring runs in Arrow batches over whole texts.
 
 Edge cases: null text is empty: one empty line, scored like any other; without labels, or with one class only,
 every score is the share of good labels (0.5 without any); a document labelled twice counts as bad if any label
@@ -163,8 +163,12 @@ def train(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS) ->
              .agg(F.min("quality").alias("quality")))
     chosen = sample_by_hash(known, sample_docs)
     # At most sample_docs rows of two numbers: a bounded broadcast keeps the texts where they are.
-    rows = (docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-            .join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "quality"))
+    rows = (docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+            .join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "quality")
+            .withColumn("h", F.xxhash64("text")))
+    # One row per doc_id, found map-side by numbers alone, so that texts of one doc_id are never gathered.
+    least = rows.groupBy("doc_id").agg(F.min("h").alias("h"))
+    rows = rows.join(F.broadcast(least), ["doc_id", "h"]).dropDuplicates(["doc_id", "h"])
     pairs = sorted((r["doc_id"], r["text"], int(r["quality"])) for r in rows.toLocalIterator())
     return fit([t for _, t, _ in pairs], [q for _, _, q in pairs])
 
