@@ -34,8 +34,8 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates stays; of repeated rows, one."""
     docs = docs.select(*COLUMNS)
-    gone = near_dup.near_duplicates(docs).where("NOT kept").select("doc_id")
-    out = docs.join(gone, "doc_id", "left_anti")
+    gone = near_dup.judged_rows(docs).where("NOT kept").select("doc_id", "row").distinct()
+    out = docs.withColumn("row", near_dup.row_hash()).join(gone, ["doc_id", "row"], "left_anti")
     return out.withColumn("_text", F.xxhash64("text")).dropDuplicates(["doc_id", "_text"]).select(*COLUMNS)
 
 

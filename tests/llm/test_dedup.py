@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from tests.llm import brute
 from tests.llm.helpers import crawl, frame, same, words
 from tidewatch.llm import line_dedup, near_dup, substring_dedup
@@ -28,6 +29,18 @@ def test_near_duplicates_without_ids_and_of_nothing(spark):
     assert near_dup.near_duplicates(frame(spark, [])).collect() == []
 
 
+def test_near_duplicates_that_share_ids(spark):
+    rng = random.Random(31)
+    base = [words(rng, 120) for _ in range(14)]
+    near = [w[:50] + ["other"] + w[51:] for w in base]
+    data = [(1, base[k]) for k in range(12)] + [(1, near[12]), (2, base[12]), (1, base[0])]
+    data += [(10 + k, near[k]) for k in range(12)] + [(3, base[13]), (3, near[13]), (0, near[5][1:])]
+    data = [(i, " ".join(w)) for i, w in data]
+    same(near_dup.near_duplicates(frame(spark, data)).collect(), brute.near_dup(data))
+    got = corpus_pipeline.drop_near_duplicates(spark, frame(spark, data), None).select("doc_id", "text").collect()
+    same(got, {row for row, verdict in zip(data, brute.near_dup(data)) if verdict[3]})
+
+
 def test_links_that_the_stars_miss_are_found(spark, monkeypatch):
     """A chain: neighbours are alike, the smallest document is like its neighbour only."""
     rng = random.Random(1)

@@ -16,7 +16,8 @@ At the threshold 0.75 a pair shares no bucket with probability (1 - 0.75^4)^40 =
 Edge cases: null, empty and blank texts have no shingles and are linked with nothing; with fewer than five words the whole
 sequence is the one shingle; repeated rows form one class and carry the same component; rows without doc_id
 get the component of their class, if another row of it has a doc_id, else null, and are kept; rows of different
-text that share a doc_id are judged each by its text.
+text that share a doc_id are judged each by its text: classes are named by a hash of doc_id and text of one of their rows,
+and a component by the least doc_id of its rows once it is complete.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch.llm.common import map_batches
@@ -89,8 +90,13 @@ def _set_hash(shingles: np.ndarray) -> tuple[int, int]:
     return int(digest[0]), int(digest[1])
 
 
+def row_hash() -> Column:
+    """What tells the rows of ``docs`` apart, but for copies."""
+    return F.xxhash64(F.col("doc_id").cast("bigint"), "text")
+
+
 def signatures(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, set hash (h1, h2) and band keys of every row."""
+    """doc_id, row hash, n_shingles, set hash (h1, h2) and band keys of every row."""
 
     def make():
         sketcher = Sketcher()
@@ -102,18 +108,19 @@ def signatures(docs: DataFrame) -> DataFrame:
                 a, b = _set_hash(s)
                 n.append(len(s)), h1.append(a), h2.append(b)
                 bands.append(sketcher.band_keys(s) if len(s) else [])
-            return {"doc_id": batch.column("doc_id"), "n_shingles": n, "h1": h1, "h2": h2, "bands": bands}
+            return {"doc_id": batch.column("doc_id"), "row": batch.column("row"), "n_shingles": n, "h1": h1, "h2": h2,
+                    "bands": bands}
 
         return work
 
-    return map_batches(docs.select(F.col("doc_id").cast("bigint"), "text"), make,
-                       "doc_id bigint, n_shingles bigint, h1 bigint, h2 bigint, bands array<bigint>")
+    return map_batches(docs.select(F.col("doc_id").cast("bigint"), "text", row_hash().alias("row")), make,
+                       "doc_id bigint, row bigint, n_shingles bigint, h1 bigint, h2 bigint, bands array<bigint>")
 
 
 def _sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     """node and its shingle set as bytes, for ``nodes`` (node, h1, h2); one row per node and set."""
-    rows = (docs.select(F.col("doc_id").cast("bigint").alias("node"), "text").join(nodes, "node")
-            .withColumn("t", F.xxhash64("text")).dropDuplicates(["node", "t"]))
+    rows = (docs.select(row_hash().alias("node"), "text").join(nodes, "node")
+            .withColumn("t", F.xxhash64("text")).dropDuplicates(["node", "h1", "h2", "t"]))
 
     def make():
         def work(batch):
@@ -196,9 +203,14 @@ def _rest(members: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id and kept of every row of ``docs`` (doc_id, text)."""
+    return judged_rows(docs).drop("row")
+
+
+def judged_rows(docs: DataFrame) -> DataFrame:
+    """``near_duplicates`` plus row, the ``row_hash`` by which rows that share a doc_id are told apart."""
     signed = stage(signatures(docs), "signatures")
     classes = (signed.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("h1", "h2")
-               .agg(F.min("doc_id").alias("node"), F.first("n_shingles").alias("n_shingles"), F.first("bands").alias("bands")))
+               .agg(F.min("row").alias("node"), F.min("doc_id").alias("least"), F.first("n_shingles").alias("n_shingles"), F.first("bands").alias("bands")))
     rows = classes.select("node", "h1", "h2", "n_shingles", F.explode("bands").alias("key"))
     stars = rows.groupBy("key").agg(F.min("node").alias("hub"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
     members = stage(rows.join(stars, "key"), "members")
@@ -213,9 +225,12 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     more = stage(_rest(members, labels, sets), "more-links")
     named = components(links.union(more))
 
-    found = (classes.select("h1", "h2", "node").join(named, "node", "left")
-             .select("h1", "h2", F.coalesce("component", "node").alias("component")))
+    leaders = (named.join(classes.select("node", "least"), "node").groupBy("component")
+               .agg(F.min("least").alias("leader")))
+    named = named.join(leaders, "component").select("node", "leader")
+    found = (classes.select("h1", "h2", "node", "least").join(named, "node", "left")
+             .select("h1", "h2", F.coalesce("leader", "least").alias("component")))
     out = signed.drop("bands").join(found, ["h1", "h2"], "left")
     component = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.coalesce("component", "doc_id"))
-    out = out.select("doc_id", "n_shingles", component.alias("component_id"))
+    out = out.select("doc_id", "row", "n_shingles", component.alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
