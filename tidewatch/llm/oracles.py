@@ -40,6 +40,8 @@ reach(doc_id, other) AS (
 SELECT d.doc_id, coalesce(any_value(z.n), 0) AS n_shingles, min(r.other) AS component_id, d.doc_id = min(r.other) AS kept
 FROM docs d JOIN reach r ON r.doc_id = d.doc_id LEFT JOIN sizes z ON z.doc_id = d.doc_id GROUP BY d.doc_id"""
 
+NGRAM_JOIN = (NEAR_DUP.replace("75 * (x.n", "80 * (x.n").replace(", d.doc_id = min(r.other) AS kept", ""))
+
 LINE_DEDUP = f"""
 WITH {LINES}
 SELECT doc_id, count(*) AS n_lines, CAST(sum(CASE WHEN lost THEN 1 ELSE 0 END) AS BIGINT) AS n_dropped,
@@ -150,4 +152,5 @@ ORACLES = {
     "op4_quality_rules": QUALITY_RULES,
     "op7_decontamination": DECONTAMINATION,
     "op9_url_filter": URL_FILTER,
+    "op11_ngram_join": NGRAM_JOIN,
 }

@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm import (decontaminate, language_id, line_dedup, near_dup, packing, quality_crf, quality_rules,
-                           secrets, substring_dedup, url_filter)
+from tidewatch.llm import (decontaminate, language_id, line_dedup, near_dup, ngram_join, packing, quality_crf,
+                           quality_rules, secrets, substring_dedup, url_filter)
 from tidewatch.llm.common import crc_mod, table, tuned
 from tidewatch.session import stage
 
@@ -96,6 +96,10 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op11_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join_documents(table(tuned(spark), sf_dir, "documents").select("doc_id", "text"))
+
+
 QUERIES = {
     "op1_near_dup": op1_near_dup,
     "op2_line_dedup": op2_line_dedup,
@@ -107,4 +111,5 @@ QUERIES = {
     "op8_secrets": op8_secrets,
     "op9_url_filter": op9_url_filter,
     "op10_language_id": op10_language_id,
+    "op11_ngram_join": op11_ngram_join,
 }
