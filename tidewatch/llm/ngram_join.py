@@ -13,9 +13,10 @@ H + 1 there is one with value v in which the pair differs in less than v places
    empty subsets, which most sets share, are skipped.  Of a pair, the set that stops first guarantees the common key.  A
    set that runs out of segments also emits its empty ones (and a last common key, if even these do not suffice), so two of
    these meet as well.
-4. Under each key the members are linked to the smallest one, and links are verified on full sets.  Keys whose members
-   still carry different labels are settled exactly: in blocks of bounded size, members meet that share one of their
-   rarest shingles (prefix filter), and are verified.  Links between equally labelled sets add nothing to a component.
+4. Under each key the members are linked to the smallest one.  Where sizes, and counts of shingles in 128 parts of the
+   universe, do not rule a link out, it is verified on full sets.  Keys whose members still carry different labels are
+   settled exactly: their differently labelled members meet as pairs, or in blocks of bounded size under a key of many, and
+   take the same way.  Links between equally labelled sets add nothing to a component.
 
 No key holds a third of all rows even if one group of copies does: copies in a task emit once, and near copies are
 spread over as many keys as they have segments.
@@ -47,7 +48,7 @@ from tidewatch.session import stage
 SIMILAR = 80  # per cent
 # Expected further candidates under a key of one shingle, and of two, in keys.
 LIST_COST = (8.0, 1.0)
-BLOCK_SHINGLES = 2_000_000
+FEW, BLOCK_MEMBERS = 64, 4096
 HUB_PART = 2_000
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -195,22 +196,23 @@ def signatures(docs: DataFrame) -> DataFrame:
 
 
 def _sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """node and its shingles as bytes, for ``nodes`` (node, row): row is one row's hash."""
+    """node, n, its shingles as bytes and their sketch, for ``nodes`` (node, row): row is one row's hash."""
     rows = docs.select(_row().alias("row"), "text").join(nodes, "row").withColumn("t", F.xxhash64("text"))
 
     def make():
         def work(batch):
-            out = {"node": [], "shingles": []}
+            out = {"node": [], "n": [], "shingles": [], "sketch": []}
             for node, text in zip(batch.column("node").to_pylist(), batch.column("text").to_pylist()):
                 s = shingle_set(text)
                 if _class_name(s) == node:
-                    out["node"].append(node), out["shingles"].append(s.tobytes())
+                    for name, value in zip(out, (node, len(s), s.tobytes(), sketch(s).tobytes())):
+                        out[name].append(value)
             return out
 
         return work
 
     rows = rows.dropDuplicates(["node", "t"]).select("node", "text")
-    return map_batches(rows, make, "node bigint, shingles binary").dropDuplicates(["node"])
+    return map_batches(rows, make, "node bigint, n bigint, shingles binary, sketch binary").dropDuplicates(["node"])
 
 
 def similar(x: np.ndarray, y: np.ndarray) -> bool:
@@ -224,6 +226,7 @@ def similar(x: np.ndarray, y: np.ndarray) -> bool:
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """Pairs (a, b) whose full sets are similar.  A hub with many members is dealt to several tasks, with copies of its set."""
     parts = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / HUB_PART).cast("int").alias("parts"))
+    sets = sets.select("node", "shingles")
     hubs = (sets.toDF("a", "set_a").join(parts, "a")
             .withColumn("part", F.explode(F.expr("sequence(0, parts - 1)"))).drop("parts"))
     several = parts.where("parts > 1")
@@ -245,55 +248,54 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return map_batches(rows.select("a", "b", "set_a", "set_b"), make, "a bigint, b bigint")
 
 
-def settle(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Links between differently labelled members of a block, found by their rarest shingles.
-
-    Similar sets share one of the first n - ceil(0.8 n) + 1 shingles of each in any common order; rare ones come first here,
-    so members that share nothing but a frequent passage never meet.
-    """
-    pdf = pdf.drop_duplicates("node").sort_values("node")
-    nodes, labels = pdf["node"].to_numpy(), pdf["label"].to_numpy()
-    sets = [np.frombuffer(s, np.uint64) for s in pdf["shingles"]]
-    sizes = np.array([len(s) for s in sets])
-    starts = np.r_[0, np.cumsum(sizes)]
-    distinct, ids = np.unique(np.concatenate(sets), return_inverse=True)
-    often = np.bincount(ids)
-    rank = np.empty(len(distinct), dtype=np.int64)
-    rank[np.argsort(often, kind="stable")] = np.arange(len(distinct))
-    owner = np.repeat(np.arange(len(sets)), sizes)
-    order = np.lexsort((rank[ids], owner))
-    place = np.arange(len(ids)) - np.repeat(starts[:-1], sizes)
-    prefix = sizes - (SIMILAR * sizes + 99) // 100 + 1
-    chosen = order[place < np.repeat(prefix, sizes)]
-    chosen = chosen[often[ids[chosen]] > 1]
-    by_token = chosen[np.argsort(ids[chosen], kind="stable")]
-    token, member = ids[by_token], owner[by_token]
-    edges = np.searchsorted(token, np.arange(len(distinct) + 1))
-    mine = np.split(ids[chosen], np.searchsorted(owner[chosen], np.arange(1, len(sets))))
-    values, counts = np.unique(labels, return_counts=True)
-    most = values[counts.argmax()]
-    flags = np.zeros(len(distinct), dtype=bool)
+def sketch(shingles: np.ndarray) -> np.ndarray:
+    """How many shingles fall into each of 128 parts of the universe, at most 255: sets differ in no fewer places than sketches."""
+    return np.minimum(np.bincount((shingles >> np.uint64(57)).astype(np.int64), minlength=128), 255).astype(np.uint8)
+
+
+def _may_be_similar(n_a: np.ndarray, n_b: np.ndarray, sketch_a: np.ndarray, sketch_b: np.ndarray) -> np.ndarray:
+    """False where sizes or sketches rule a link out."""
+    apart = np.abs(sketch_a.astype(np.int16) - sketch_b.astype(np.int16)).sum(axis=-1, dtype=np.int64)
+    fits = SIMILAR * np.maximum(n_a, n_b) <= 100 * np.minimum(n_a, n_b)
+    return fits & (apart * (100 + SIMILAR) <= (n_a + n_b) * (100 - SIMILAR))
+
+
+def block_pairs(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Differently labelled members of a block that sizes and sketches allow to be similar."""
+    pdf = pdf.drop_duplicates("node").sort_values(["n", "node"])
+    nodes, labels, n = pdf["node"].to_numpy(), pdf["label"].to_numpy(), pdf["n"].to_numpy()
+    sketches = np.frombuffer(b"".join(pdf["sketch"]), np.uint8).reshape(len(nodes), -1)
+    ends = np.searchsorted(n, 100 * n // SIMILAR, side="right")
     found = []
-    for k in np.flatnonzero(labels != most):  # every pair of two labels has a member outside the largest one
-        met = [member[edges[t]:edges[t + 1]] for t in mine[k]]
-        others = np.unique(np.concatenate(met)) if met else np.zeros(0, dtype=np.int64)
-        others = others[(labels[others] != labels[k]) & (SIMILAR * np.maximum(sizes[others], sizes[k])
-                                                         <= 100 * np.minimum(sizes[others], sizes[k]))]
-        own = ids[starts[k]:starts[k + 1]]
-        flags[own] = True
-        linked: set[int] = set()
-        for other in others:
-            if labels[other] not in linked:
-                both = int(np.count_nonzero(flags[ids[starts[other]:starts[other + 1]]]))
-                if 100 * both >= SIMILAR * (sizes[other] + sizes[k] - both):
-                    linked.add(labels[other])
-                    found.append((nodes[k], nodes[other]))
-        flags[own] = False
-    return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
-
-
-def _rest(members: DataFrame, labels: DataFrame, sets: DataFrame, sizes: DataFrame) -> DataFrame:
-    """Links that the stars may have missed.  ``members``: key, hub, node (other than the hub)."""
+    for k in range(len(nodes)):
+        others = np.arange(k + 1, ends[k])
+        others = others[labels[others] != labels[k]]
+        others = others[_may_be_similar(n[others], n[k], sketches[others], sketches[k])]
+        found.append(np.stack([np.minimum(nodes[others], nodes[k]), np.maximum(nodes[others], nodes[k])]))
+    found = np.concatenate(found, axis=1) if found else np.zeros((2, 0), dtype=np.int64)
+    return pd.DataFrame({"a": found[0], "b": found[1]})
+
+
+def _sketched(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs (a, b) that sizes and sketches allow to be similar."""
+    narrow = sets.select("node", "n", "sketch")
+    rows = pairs.join(narrow.toDF("b", "n_b", "sketch_b"), "b").join(narrow.toDF("a", "n_a", "sketch_a"), "a")
+
+    def make():
+        def work(batch):
+            n = [batch.column(c).to_numpy() for c in ("n_a", "n_b")]
+            sketches = [np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(len(n[0]), -1)
+                        for c in ("sketch_a", "sketch_b")]
+            kept = pa.array(_may_be_similar(*n, *sketches))
+            return {"a": batch.column("a").filter(kept), "b": batch.column("b").filter(kept)}
+
+        return work
+
+    return map_batches(rows.select("a", "b", "n_a", "n_b", "sketch_a", "sketch_b"), make, "a bigint, b bigint")
+
+
+def _open_members(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """key, node, label and n (members) of keys whose members carry different labels.  ``members``: key, hub, node."""
     plain = labels.withColumnRenamed("component", "label")
     pairs = members.select("hub", "node").distinct()
     named = (pairs.join(plain, "node", "left").withColumn("mine", F.coalesce("label", "node")).drop("label")
@@ -302,20 +304,27 @@ def _rest(members: DataFrame, labels: DataFrame, sets: DataFrame, sizes: DataFra
     open_keys = members.join(named, ["hub", "node"]).select("key", "hub").distinct()
     rows = (members.join(open_keys.select("key"), "key", "left_semi").select("key", "node")
             .union(open_keys.select("key", F.col("hub").alias("node"))))
-    rows = stage(rows.join(sizes, "node").join(plain, "node", "left")
-                 .select("key", "node", "n_shingles", F.coalesce("label", "node").alias("label")), "open")
     # The same members often meet under many keys: one of these is enough.
     keys = (rows.groupBy("key")
-            .agg(F.sum("n_shingles").alias("work"),
-                 F.struct(F.count(F.lit(1)), F.bit_xor(F.xxhash64("node")), F.bit_xor(F.xxhash64(F.lit(3), "node"))).alias("who"))
-            .groupBy("who").agg(F.min("key").alias("key"), F.max("work").alias("work"))
-            .select("key", F.ceil(F.col("work") / BLOCK_SHINGLES).cast("int").alias("parts")))
-    part = F.pmod(F.xxhash64("node", F.lit(7)), F.col("parts"))
-    dealt = rows.join(keys, "key").select("key", "node", "label", part.alias("p"),
-                                          F.explode(F.expr("sequence(0, parts - 1)")).alias("q"))
-    dealt = dealt.select("key", "node", "label", F.least("p", "q").alias("i"), F.greatest("p", "q").alias("j"))
-    dealt = dealt.join(sets, "node").select("key", "i", "j", "node", "label", "shingles")
-    return dealt.groupBy("key", "i", "j").applyInPandas(settle, "a bigint, b bigint")
+            .agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64(F.lit(3), "node")).alias("y"))
+            .groupBy("n", "x", "y").agg(F.min("key").alias("key")).select("key", "n"))
+    return rows.join(keys, "key").join(plain, "node", "left").select("key", "node", F.coalesce("label", "node").alias("label"), "n")
+
+
+def _rest(members: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links that the stars may have missed: differently labelled members of a key, through sketches to full sets."""
+    rows = stage(_open_members(members, labels), "open")
+    few = rows.where(f"n <= {FEW}").select("key", "node", "label")
+    pairs = (few.join(few.toDF("key", "other", "other_label"), "key").where("node < other AND label <> other_label")
+             .select(F.col("node").alias("a"), F.col("other").alias("b")).distinct())
+    many = rows.where(f"n > {FEW}").withColumn("parts", F.ceil(F.col("n") / BLOCK_MEMBERS).cast("int"))
+    part = F.pmod(F.xxhash64("node", F.lit(7)), F.col("parts")).cast("int")
+    dealt = many.select("key", "node", "label", part.alias("p"), F.explode(F.expr("sequence(0, parts - 1)")).alias("q"))
+    dealt = (dealt.select("key", "node", "label", F.least("p", "q").alias("i"), F.greatest("p", "q").alias("j"))
+             .join(sets.select("node", "n", "sketch"), "node"))
+    blocks = dealt.groupBy("key", "i", "j").applyInPandas(block_pairs, "a bigint, b bigint").distinct()
+    close = stage(_sketched(pairs, sets).union(blocks), "close")
+    return _verified(close, sets)
 
 
 def join_documents(docs: DataFrame) -> DataFrame:
@@ -328,17 +337,12 @@ def join_documents(docs: DataFrame) -> DataFrame:
                .where("node <> hub AND node <> before").select("key", "hub", "node"))
     members = stage(members, "join-members")
     pairs = stage(members.select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct(), "join-pairs")
-    classes = signed.groupBy("node").agg(F.min("row").alias("row"), F.min("doc_id").alias("least"),
-                                         F.first("n_shingles").alias("n_shingles"))
+    classes = signed.groupBy("node").agg(F.min("row").alias("row"), F.min("doc_id").alias("least"))
     met = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    sizes = stage(classes.join(met, "node").select("node", "row", "n_shingles"), "join-sizes")
-    sets = stage(_sets(docs, sizes.select("node", "row")), "join-sets")
-
-    similar_sizes = (pairs.join(sizes.select(F.col("node").alias("a"), F.col("n_shingles").alias("n_a")), "a")
-                     .join(sizes.select(F.col("node").alias("b"), F.col("n_shingles").alias("n_b")), "b")
-                     .where(f"{SIMILAR} * greatest(n_a, n_b) <= 100 * least(n_a, n_b)").select("a", "b"))
-    links = stage(_verified(stage(similar_sizes, "join-sized"), sets), "join-links")
-    more = stage(_rest(members, components(links), sets, sizes.select("node", "n_shingles")), "join-more")
+    sets = stage(_sets(docs, classes.join(met, "node").select("node", "row")), "join-sets")
+
+    links = stage(_verified(stage(_sketched(pairs, sets), "join-close"), sets), "join-links")
+    more = stage(_rest(members, components(links), sets), "join-more")
     named = components(links.union(more))
     leaders = (named.join(classes.select("node", "least"), "node").groupBy("component")
                .agg(F.min("least").alias("leader")))
