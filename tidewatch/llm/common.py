@@ -85,3 +85,19 @@ def sample_by_hash(df: DataFrame, n: int, *keys: str) -> DataFrame:
     several = df.select(F.approx_count_distinct(place)).first()[0]
     cut = min(1.0, 2.0 * n / max(1, several))
     return df.where(place < F.lit(int(cut * (1 << 32)))).dropDuplicates().orderBy(place, *df.columns).limit(n)
+
+
+def look_up(rows: DataFrame, side: DataFrame, keys: list[str], weight: Column, total: Column | int, spread: Column) -> DataFrame:
+    """``rows`` left-joined with ``side`` (one row per key), dealing out keys that many rows share.
+
+    ``weight`` bounds the rows of a key and ``total`` their sum, so fewer than 1000 keys weigh more than a thousandth of it:
+    these are broadcast, and their rows are spread by ``spread`` instead of meeting in one task.
+    """
+    names = [c for c in side.columns if c not in keys]
+    heavy = side.where(weight * 1000 > total).select(*keys, F.struct(*names).alias("_hot"))
+    marked = rows.join(F.broadcast(heavy), keys, "left")
+    place = F.when(F.col("_hot").isNotNull(), 1 + F.pmod(F.xxhash64(spread), F.lit(1 << 20))).otherwise(F.lit(0))
+    usual = side.where(~(weight * 1000 > total)).select(*keys, F.lit(0).cast("bigint").alias("_place"), F.struct(*names).alias("_cold"))
+    out = marked.withColumn("_place", place.cast("bigint")).join(usual, [*keys, "_place"], "left")
+    found = F.coalesce("_hot", "_cold")
+    return out.select(*rows.columns, *[found[n].alias(n) for n in names])

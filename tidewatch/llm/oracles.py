@@ -145,6 +145,69 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, len(w) - coalesce(n, 0) AS n_r
        sha256(coalesce(text, '')) AS kept_sha256
 FROM docs LEFT JOIN kept USING (doc_id)"""
 
+PREFIX_TRIE = """
+WITH turns AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS pos
+  FROM conversations WHERE conv_id IS NOT NULL),
+talks AS (SELECT conv_id, list(struct_pack(role := role, text := text) ORDER BY pos) AS own FROM turns GROUP BY conv_id),
+heads AS (
+  SELECT conv_id, conv_id - conv_id % 100 AS base, own, xor(list_reduce(list_prepend(4294967295::BIGINT,
+      [ord(c)::BIGINT FOR c IN string_split(conv_id::VARCHAR, '')]),
+      lambda crc, o: list_reduce([xor(crc, o), 0, 0, 0, 0, 0, 0, 0, 0], lambda c, z: xor(c >> 1, (c & 1) * 3988292384))),
+      4294967295::BIGINT) % 6 AS h FROM talks),
+rebuilt AS (
+  SELECT c.conv_id, list_concat(coalesce(b.own[1:c.h], []), c.own[c.h + 1:]) AS said
+  FROM heads c LEFT JOIN talks b ON b.conv_id = c.base),
+paths AS (
+  SELECT conv_id, len(said) AS total, d, md5(said[1:d]::VARCHAR || '/' || d) AS key,
+         md5(said[1:d - 1]::VARCHAR || '/' || (d - 1)) AS parent, CASE WHEN d > 0 THEN length(said[d].text) ELSE 0 END AS n_chars
+  FROM (SELECT conv_id, said, unnest(range(0, len(said) + 1)) AS d FROM rebuilt)),
+nodes AS (
+  SELECT key, any_value(parent) AS parent, min(conv_id) AS conv_id, any_value(d) AS depth, count(*) AS n_convs,
+         any_value(n_chars) AS n_chars,
+         sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE d = total), '')) AS ends_sha256
+  FROM paths GROUP BY key),
+kids AS (SELECT parent, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY parent),
+own AS (
+  SELECT n.conv_id, n.depth, (k.n IS NULL)::INT AS leaf, (n.n_convs - 1) * n.n_chars AS saved
+  FROM nodes n LEFT JOIN kids k ON k.parent = n.key),
+totals AS (
+  SELECT p.key, sum(o.leaf) AS n_leaves, sum(o.saved) AS saved_tokens
+  FROM own o JOIN paths p ON p.conv_id = o.conv_id AND p.d <= o.depth GROUP BY p.key)
+SELECT n.conv_id, n.depth, CASE WHEN n.depth > 0 THEN p.conv_id END AS parent_conv_id, n.n_convs,
+       coalesce(k.n, 0) AS n_children, t.n_leaves::BIGINT AS n_leaves, t.saved_tokens::BIGINT AS saved_tokens, n.ends_sha256
+FROM nodes n JOIN totals t ON t.key = n.key LEFT JOIN kids k ON k.parent = n.key LEFT JOIN nodes p ON p.key = n.parent"""
+
+
+def _vector_codes(rounds: int = 6) -> str:
+    steps = []
+    for r in range(rounds + 1):
+        steps.append(f"""
+near{r} AS MATERIALIZED (
+  SELECT row, p, x, min(struct_pack(d := list_sum(list_transform(list_zip(x, c), lambda z: (z[1] - z[2]) * (z[1] - z[2]))), e := e)) AS best
+  FROM pieces JOIN books{r} USING (p) GROUP BY row, p, x)""")
+        if r < rounds:
+            steps.append(f"""
+books{r + 1} AS MATERIALIZED (
+  SELECT b.p, b.e, coalesce(m.c, b.c) AS c FROM books{r} b LEFT JOIN (
+    SELECT p, e, list(((s - ((s % n) + n) % n) / n)::BIGINT ORDER BY i) AS c FROM (
+      SELECT p, best.e AS e, i, sum(x[i])::HUGEINT AS s, count(*) AS n
+      FROM near{r}, range(1, 9) AS t(i) GROUP BY p, best.e, i) GROUP BY p, e) m ON m.p = b.p AND m.e = b.e)""")
+    return f"""
+WITH whole AS (
+  SELECT vec_id, label, list_transform(embedding, lambda v: floor(4096 * v::DOUBLE)::BIGINT) AS x,
+         row_number() OVER (ORDER BY vec_id) AS row
+  FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda v: v IS NULL OR NOT isfinite(v))) = 0),
+pieces AS MATERIALIZED (SELECT row, p, x[8 * p + 1:8 * p + 8] AS x FROM whole, range(0, 8) AS t(p)),
+books0 AS MATERIALIZED (SELECT p, row - 1 AS e, x AS c FROM pieces WHERE row <= 16),{','.join(steps)},
+books AS (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY p, e)) AS digest FROM books{rounds}),
+coded AS (
+  SELECT row, string_agg(lower(printf('%02x', best.e)), '' ORDER BY p) AS code, sum(best.d)::BIGINT AS error FROM near{rounds} GROUP BY row)
+SELECT w.vec_id, c.code, c.error, (sum(c.error) OVER (PARTITION BY w.label))::BIGINT AS label_error, b.digest AS codebooks_sha256
+FROM whole w JOIN coded c USING (row), books b"""
+
+
 ORACLES = {
     "op1_near_dup": NEAR_DUP,
     "op2_line_dedup": LINE_DEDUP,
@@ -153,4 +216,6 @@ ORACLES = {
     "op7_decontamination": DECONTAMINATION,
     "op9_url_filter": URL_FILTER,
     "op11_ngram_join": NGRAM_JOIN,
+    "op12_prefix_trie": PREFIX_TRIE,
+    "op13_vector_codes": _vector_codes(),
 }

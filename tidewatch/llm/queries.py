@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import hashlib
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm import (decontaminate, language_id, line_dedup, near_dup, ngram_join, packing, quality_crf,
-                           quality_rules, secrets, substring_dedup, url_filter)
+from tidewatch.llm import (decontaminate, language_id, line_dedup, near_dup, ngram_join, packing, prefix_trie,
+                           quality_crf, quality_rules, secrets, substring_dedup, url_filter, vector_codes)
 from tidewatch.llm.common import crc_mod, table, tuned
 from tidewatch.session import stage
 
@@ -100,6 +102,16 @@ def op11_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.join_documents(table(tuned(spark), sf_dir, "documents").select("doc_id", "text"))
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_nodes(table(tuned(spark), sf_dir, "conversations").select("conv_id", "turn", "role", "text"))
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded, books = vector_codes.compress(table(tuned(spark), sf_dir, "embeddings").select("vec_id", "embedding", "label"))
+    text = F.lit(hashlib.sha256(vector_codes.codebook_text(books).encode()).hexdigest())
+    return coded.select("vec_id", "code", "error", "label_error", text.alias("codebooks_sha256"))
+
+
 QUERIES = {
     "op1_near_dup": op1_near_dup,
     "op2_line_dedup": op2_line_dedup,
@@ -112,4 +124,6 @@ QUERIES = {
     "op9_url_filter": op9_url_filter,
     "op10_language_id": op10_language_id,
     "op11_ngram_join": op11_ngram_join,
+    "op12_prefix_trie": op12_prefix_trie,
+    "op13_vector_codes": op13_vector_codes,
 }
