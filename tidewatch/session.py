@@ -95,13 +95,29 @@ def job_folder(spark: SparkSession, label: str) -> Iterator[str]:
         target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def write_once(df: DataFrame, path: str) -> DataFrame:
+    """Write a frame as Parquet and read it back.
+
+    The shuffle files of the writing query are removed at its end: what it was written from is on shared storage already,
+    and until the driver's memory is collected they would take executors' disks.
+    """
+    spark = df.sparkSession
+    before = spark.conf.get(SHUFFLE_CLEANUP, "false")
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(SHUFFLE_CLEANUP, before)
+    return spark.read.parquet(path)
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Materialise a frame as a table in the shared folder and read it back.
 
     Cuts the lineage before a step that runs many jobs on the same rows.  The
     files are on shared storage, so a lost executor costs only its own tasks.
     """
-    spark = df.sparkSession
-    path = work_dir(spark, label)
-    df.write.parquet(path)
-    return spark.read.parquet(path)
+    return write_once(df, work_dir(df.sparkSession, label))
