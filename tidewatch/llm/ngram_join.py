@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 from tidewatch.llm.common import map_batches
 from tidewatch.llm.components import components
 from tidewatch.llm.near_dup import shingle_set
-from tidewatch.session import stage
+from tidewatch.session import job_folder, stage, work_dir, write_once
 
 SIMILAR = 80  # per cent
 # Expected further candidates under a key of one shingle, and of two, in keys.
@@ -197,7 +197,7 @@ def signatures(docs: DataFrame) -> DataFrame:
 
 def _sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     """node, n, its shingles as bytes and their sketch, for ``nodes`` (node, row): row is one row's hash."""
-    rows = docs.select(_row().alias("row"), "text").join(nodes, "row").withColumn("t", F.xxhash64("text"))
+    rows = docs.select(_row().alias("row"), "text").join(nodes, "row").dropDuplicates(["row", "node"]).select("node", "text")
 
     def make():
         def work(batch):
@@ -211,8 +211,7 @@ def _sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
 
         return work
 
-    rows = rows.dropDuplicates(["node", "t"]).select("node", "text")
-    return map_batches(rows, make, "node bigint, n bigint, shingles binary, sketch binary").dropDuplicates(["node"])
+    return map_batches(rows, make, "node bigint, n bigint, shingles binary, sketch binary")
 
 
 def similar(x: np.ndarray, y: np.ndarray) -> bool:
@@ -329,13 +328,17 @@ def _rest(members: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFrame:
 
 def join_documents(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles and component_id of every row of ``docs`` (doc_id, text)."""
-    signed = stage(signatures(docs), "join-keys")
-    within = Window.partitionBy("key").orderBy("node")
-    members = (signed.select(F.explode("keys").alias("key"), "node")
+    spark = docs.sparkSession
+    places = {label: work_dir(spark, f"join-{label}") for label in ("members", "rows")}
+    with job_folder(spark, "join-keys"):  # the keys are the largest table: they go once members have met
+        keyed = stage(signatures(docs), "keys")
+        within = Window.partitionBy("key").orderBy("node")
+        met = (keyed.select(F.explode("keys").alias("key"), "node")
                .select("key", "node", F.lag("node").over(within).alias("before"),
                        F.first("node").over(within.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("hub"))
                .where("node <> hub AND node <> before").select("key", "hub", "node"))
-    members = stage(members, "join-members")
+        members = write_once(met, places["members"])
+        signed = write_once(keyed.drop("keys"), places["rows"])
     pairs = stage(members.select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct(), "join-pairs")
     classes = signed.groupBy("node").agg(F.min("row").alias("row"), F.min("doc_id").alias("least"))
     met = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()

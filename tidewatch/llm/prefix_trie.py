@@ -101,7 +101,7 @@ def paths(turns: DataFrame, height: int, deepest: int, chunk: int = CHUNK) -> Da
         sums = sums.select("conv_id", "chunk", *[F.coalesce(F.bit_xor(s).over(earlier), F.lit(0)).alias(s) for s in ("s1", "s2")])
         # The top node of a chunk's first band also closes the chunk before, where its ancestors are.
         home = F.when((F.col("depth") % chunk == 0), F.array(F.col("chunk") - 1, F.col("chunk"))).otherwise(F.array("chunk"))
-        rows = rows.withColumn("chunk", F.explode(home)).join(sums, ["conv_id", "chunk"])
+        rows = rows.withColumn("chunk", F.explode(home)).join(sums, ["conv_id", "chunk"], "left").fillna(0, ["s1", "s2"])
     else:
         rows = rows.withColumns({"s1": F.lit(0).cast("bigint"), "s2": F.lit(0).cast("bigint")})
     order = Window.partitionBy("conv_id", "chunk").orderBy("depth")
