@@ -167,6 +167,52 @@ def test_cached_ids_equal_the_tokenizer():
             assert np.frombuffer(ids, "<u4").tolist() == tok.encode(text, add_special_tokens=False).ids
 
 
+def test_ids_of_sliced_texts_and_of_words_dropped_from_the_cache(monkeypatch):
+    monkeypatch.setattr(tokens, "BYTES_AT_ONCE", 700)
+    tok, own = Tokenizer.from_file(TOKENIZER), tokens.WordTokenizer(TOKENIZER, cache_words=200)
+    rng = random.Random(9)
+    pieces = ["Straße", "naïve,", "a1b2c3", "don't", "x" * 130, "ÀÉÎ÷õ×ü", "--!?", "<|x|>", "\n\n", "日本", "ﬁn", "3.14", "\t", "()[]", "word"]
+    texts = [rng.choice([" ", "\n", ""]).join(rng.choice(pieces) + str(rng.randrange(30)) * rng.randrange(2) for _ in range(rng.randrange(90)))
+             for _ in range(300)]
+    for at in range(0, len(texts), 11):
+        for text, ids in zip(texts[at:at + 11], own.ids(texts[at:at + 11])):
+            assert np.frombuffer(ids, "<u4").tolist() == tok.encode(text, add_special_tokens=False).ids
+    assert own.learned > 200
+
+
+def _sized(spark, n=600):
+    rng = random.Random(12)
+    sizes = [rng.randint(1000, 2200) for _ in range(n)]
+    rows = [(i, 0, 0, size, 7, i) for i, size in enumerate(sizes)]
+    return sizes, spark.createDataFrame(rows, f"{packing.PIECE}, salt bigint")
+
+
+def test_genetic_steps_use_fewer_bins_than_best_fit(spark, monkeypatch):
+    """Sizes for which best fit is not optimal: crossovers, and islands with migration, do better."""
+    sizes, rows = _sized(spark)
+    order = sorted(range(len(sizes)), key=lambda i: -sizes[i])
+    plain, least = packing.best_fit(order, sizes, 4096, []), -(-sum(sizes) // 4096)
+    assert len(plain) > least
+    calls, crossover = [], packing.crossover
+    monkeypatch.setattr(packing, "crossover", lambda *a: calls.append(1) or crossover(*a))
+    evolved = packing.evolve(sizes, 4096, [plain], random.Random(1))
+    assert calls and len(evolved) < len(plain)
+    monkeypatch.undo()
+    got = packing._pack(rows, 4096, 6000, 2, 2).collect()
+    assert sorted(r["doc_id"] for r in got) == list(range(600))
+    fills = {}
+    for r in got:
+        fills[r["bin"]] = fills.get(r["bin"], 0) + r["length"]
+    assert max(fills.values()) <= 4096 and all(fills[r["bin"]] == r["fill"] for r in got)
+    assert least <= len(fills) < len(plain)
+
+
+def test_only_blocks_above_their_bound_evolve(spark, monkeypatch):
+    rows = spark.createDataFrame([(i, 0, 0, 1024, 7, i) for i in range(40)], f"{packing.PIECE}, salt bigint")
+    monkeypatch.setattr(packing, "_epoch", lambda *a: pytest.fail("a packed block evolved"))
+    assert len({(r["block"], r["bin"]) for r in packing._pack(rows, 4096, 6000, 2, 2).collect()}) == 10
+
+
 # ---- decontamination --------------------------------------------------------------------------------------
 
 @pytest.mark.parametrize("block_chars", [decontaminate.BLOCK_CHARS, 150])

@@ -1,7 +1,8 @@
 """Best-fit packing of token sequences by a grouping genetic algorithm on islands.
 
 Documents are tokenised and cut into pieces of at most ``capacity`` tokens.  Pieces are dealt by hash into
-blocks of about ``block_pieces``; every block is evolved on several islands.  A chromosome is a set of bins.
+blocks of about ``block_pieces``, and each is first packed by best fit.  A block that needs more bins than the sum of its
+pieces asks for is evolved on several islands, which start from that packing.  A chromosome is a set of bins.
 Crossover injects whole well-filled bins of one parent into the other, removes the bins that hold the same
 pieces, and best-fits the displaced pieces, largest first.  After each epoch an island's elite also goes to the
 next island.  The best island of a block wins; its well-filled sequences are final and the pieces of the
@@ -10,7 +11,9 @@ others are dealt again into fewer blocks and packed once more, so what a block b
 A task holds one block: its size is a parameter, not a function of the data.  Texts never leave the first step.
 
 Edge cases: a null text is an empty one; an empty text is the end token alone; repeated rows are packed each;
-an empty table gives an empty result.  Rows without doc_id are packed like others.
+an empty table gives an empty result.  Rows without doc_id are packed like others.  A very long text is cut into many pieces and
+encoded a megabyte at a time; pieces of equal length (ties) go in the order of their ids.  Other columns of the input, whatever
+their names, are not read.
 """
 
 from __future__ import annotations
@@ -34,8 +37,8 @@ END_ID = 1
 BLOCK_PIECES = 6000
 ISLANDS = 2
 EPOCHS = 2
-POPULATION = 3
-GENERATIONS = 3
+POPULATION = 6
+GENERATIONS = 20
 WELL_FILLED = 0.995
 
 PIECE = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
@@ -123,8 +126,16 @@ def evolve(sizes: list[int], capacity: int, elites: list[Bins], rng: random.Rand
 
 # ---- islands on Spark -------------------------------------------------------------------------------------
 
+def _columns(bins: Bins, sizes: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    """Each piece's bin and what that bin holds."""
+    number, fill = np.zeros(len(sizes), dtype=np.int64), np.zeros(len(sizes), dtype=np.int64)
+    for k, b in enumerate(bins):
+        number[b], fill[b] = k, sum(sizes[i] for i in b)
+    return number, fill
+
+
 def _epoch(rows: DataFrame, epoch: int, capacity: int, islands: int) -> DataFrame:
-    """Evolves every (block, island); ``rows`` has a ``bin`` for each chromosome that came in (null: none)."""
+    """Evolves every (block, island); ``rows`` has a ``bin`` for each chromosome that came in, told apart by ``origin``."""
     columns = f"{PIECE}, salt bigint, block bigint, island int, origin int, bin bigint, fill bigint"
 
     def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
@@ -132,28 +143,45 @@ def _epoch(rows: DataFrame, epoch: int, capacity: int, islands: int) -> DataFram
         pdf = pdf.sort_values([*identity, "origin"], kind="stable")
         elites: list[Bins] = []
         for _, one in pdf.groupby("origin", sort=True):
-            if one["bin"].notna().all():
-                elites.append([list(g) for g in pd.Series(range(len(one))).groupby(one["bin"].to_numpy()).agg(list)])
+            elites.append([list(g) for g in pd.Series(range(len(one))).groupby(one["bin"].to_numpy()).agg(list)])
         out = pdf[pdf["origin"] == pdf["origin"].min()].reset_index(drop=True)
         sizes = out["length"].tolist()
         rng = random.Random(f"{key[0]}-{key[1]}-{epoch}")
         bins = evolve(sizes, capacity, elites, rng)
-        number, fill = np.zeros(len(sizes), dtype=np.int64), np.zeros(len(sizes), dtype=np.int64)
-        for k, b in enumerate(bins):
-            number[b], fill[b] = k, sum(sizes[i] for i in b)
+        number, fill = _columns(bins, sizes)
         return out.assign(bin=number, fill=fill, origin=np.int32(key[1]))
 
     return rows.groupBy("block", "island").applyInPandas(run, columns)
 
 
+def _best_fit(rows: DataFrame, capacity: int) -> DataFrame:
+    """Best-fit decreasing in every block: adds bin, fill and ``open``, whether fewer bins may be possible."""
+    columns = f"{PIECE}, salt bigint, block bigint, bin bigint, fill bigint, open boolean"
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(["doc_id", "piece", "start", "length", "ids_crc32", "salt"], kind="stable").reset_index(drop=True)
+        sizes = pdf["length"].tolist()
+        bins = best_fit(sorted(range(len(sizes)), key=lambda i: -sizes[i]), sizes, capacity, [])
+        number, fill = _columns(bins, sizes)
+        return pdf.assign(bin=number, fill=fill, open=len(bins) > -(-sum(sizes) // capacity))
+
+    return rows.groupBy("block").applyInPandas(run, columns)
+
+
 def _pack(rows: DataFrame, capacity: int, block_pieces: int, islands: int, epochs: int) -> DataFrame:
-    """Packs pieces within blocks; adds block, bin and fill of the winning island."""
+    """Packs pieces within blocks; adds block, bin and fill.
+
+    A block in which best fit reaches the least possible number of bins is done.  The others evolve on islands, which
+    start from its result.
+    """
     blocks = rows.agg(F.ceil(F.count(F.lit(1)) / F.lit(float(block_pieces))).alias("n")).scalar()
     block = F.pmod(F.xxhash64("doc_id", "piece", "start", "ids_crc32", "salt"), F.greatest(blocks, F.lit(1)))
-    state = rows.select(*[c.split()[0] for c in PIECE.split(", ")], "salt", block.cast("bigint").alias("block"))
-    state = state.select("*", F.explode(F.array(*[F.lit(i) for i in range(islands)])).alias("island"),
-                         F.lit(0).alias("origin"), F.lit(None).cast("bigint").alias("bin"),
-                         F.lit(None).cast("bigint").alias("fill"))
+    dealt = rows.select(*[c.split()[0] for c in PIECE.split(", ")], "salt", block.cast("bigint").alias("block"))
+    fitted = stage(_best_fit(dealt, capacity), "best-fit")
+    state = fitted.where("open").drop("open")
+    if state.isEmpty():
+        return fitted.drop("open")
+    state = state.select("*", F.explode(F.array(*[F.lit(i) for i in range(islands)])).alias("island"), F.lit(0).alias("origin"))
     for epoch in range(epochs):
         state = stage(_epoch(state, epoch, capacity, islands), f"islands-{epoch}")
         if epoch + 1 < epochs:  # the elite stays and also migrates to the next island
@@ -164,7 +192,8 @@ def _pack(rows: DataFrame, capacity: int, block_pieces: int, islands: int, epoch
     winner = (score.groupBy("block")
               .agg(F.max(F.struct(-F.col("bins"), F.col("quality"), -F.col("island"))).alias("w"))
               .select("block", (-F.col("w")["col3"]).alias("island")))
-    return state.join(winner, ["block", "island"]).drop("island", "origin")
+    evolved = state.join(winner, ["block", "island"]).drop("island", "origin")
+    return fitted.where("NOT open").drop("open").unionByName(evolved)
 
 
 def _numbered(rows: DataFrame, level: int) -> DataFrame:
