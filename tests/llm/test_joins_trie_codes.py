@@ -106,6 +106,7 @@ def test_links_between_members_unlike_their_hub(spark, monkeypatch, few, block):
     """Chains, and texts below the threshold with a common half, under keys settled as pairs and in one or many blocks."""
     monkeypatch.setattr(ngram_join, "FEW", few)
     monkeypatch.setattr(ngram_join, "BLOCK_MEMBERS", block)
+    monkeypatch.setattr(ngram_join, "BLOCK_SHINGLES", 200 * block)
     rng = random.Random(1)
     w = words(rng, 400)
     rows = [(k, " ".join(w[10 * k:10 * k + 180])) for k in range(12)]

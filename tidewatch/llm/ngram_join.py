@@ -15,7 +15,7 @@ H + 1 there is one with value v in which the pair differs in less than v places
    these meet as well.
 4. Under each key the members are linked to the smallest one.  Where sizes, and counts of shingles in 128 parts of the
    universe, do not rule a link out, it is verified on full sets.  Keys whose members still carry different labels are
-   settled exactly: their differently labelled members meet as pairs, or in blocks of bounded size under a key of many, and
+   settled exactly: their differently labelled members meet as pairs, or under keys of many in blocks of bounded size, and
    take the same way.  Links between equally labelled sets add nothing to a component.
 
 No key holds a third of all rows even if one group of copies does: copies in a task emit once, and near copies are
@@ -48,7 +48,8 @@ from tidewatch.session import job_folder, stage, work_dir, write_once
 SIMILAR = 80  # per cent
 # Expected further candidates under a key of one shingle, and of two, in keys.
 LIST_COST = (8.0, 1.0)
-FEW, BLOCK_MEMBERS = 64, 4096
+FEW = 64
+BLOCK_MEMBERS, BLOCK_SHINGLES = 4096, 1_000_000
 HUB_PART = 2_000
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -259,20 +260,35 @@ def _may_be_similar(n_a: np.ndarray, n_b: np.ndarray, sketch_a: np.ndarray, sket
     return fits & (apart * (100 + SIMILAR) <= (n_a + n_b) * (100 - SIMILAR))
 
 
-def block_pairs(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Differently labelled members of a block that sizes and sketches allow to be similar."""
+def settle(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Links that join differently labelled members of a block: never more than it has labels.
+
+    Sizes and sketches rule most pairs out at once; the rest is verified on full sets, until both labels are known to be one.
+    """
     pdf = pdf.drop_duplicates("node").sort_values(["n", "node"])
-    nodes, labels, n = pdf["node"].to_numpy(), pdf["label"].to_numpy(), pdf["n"].to_numpy()
+    nodes, n = pdf["node"].to_numpy(), pdf["n"].to_numpy()
+    label = np.unique(pdf["label"].to_numpy(), return_inverse=True)[1]
     sketches = np.frombuffer(b"".join(pdf["sketch"]), np.uint8).reshape(len(nodes), -1)
+    ids = np.unique(np.frombuffer(b"".join(pdf["shingles"]), np.uint64), return_inverse=True)[1]
+    starts = np.concatenate([[0], np.cumsum(n)])
+    flags = np.zeros(int(ids.max()) + 1, dtype=bool)
     ends = np.searchsorted(n, 100 * n // SIMILAR, side="right")
     found = []
     for k in range(len(nodes)):
         others = np.arange(k + 1, ends[k])
-        others = others[labels[others] != labels[k]]
+        others = others[label[others] != label[k]]
         others = others[_may_be_similar(n[others], n[k], sketches[others], sketches[k])]
-        found.append(np.stack([np.minimum(nodes[others], nodes[k]), np.maximum(nodes[others], nodes[k])]))
-    found = np.concatenate(found, axis=1) if found else np.zeros((2, 0), dtype=np.int64)
-    return pd.DataFrame({"a": found[0], "b": found[1]})
+        own = ids[starts[k]:starts[k + 1]]
+        flags[own] = True
+        while len(others):
+            other, others = others[0], others[1:]
+            both = int(np.count_nonzero(flags[ids[starts[other]:starts[other + 1]]]))
+            if 100 * both >= SIMILAR * (n[other] + n[k] - both):
+                found.append((nodes[k], nodes[other]))
+                label[label == label[other]] = label[k]
+                others = others[label[others] != label[k]]
+        flags[own] = False
+    return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
 
 def _sketched(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -294,36 +310,45 @@ def _sketched(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def _open_members(members: DataFrame, labels: DataFrame) -> DataFrame:
-    """key, node, label and n (members) of keys whose members carry different labels.  ``members``: key, hub, node."""
+    """key, hub, node, label and size (members) of keys whose members carry different labels.  ``members``: key, hub, node."""
     plain = labels.withColumnRenamed("component", "label")
     pairs = members.select("hub", "node").distinct()
     named = (pairs.join(plain, "node", "left").withColumn("mine", F.coalesce("label", "node")).drop("label")
              .join(plain.withColumnRenamed("node", "hub"), "hub", "left")
              .where(F.col("mine") != F.coalesce("label", "hub")).select("hub", "node"))
     open_keys = members.join(named, ["hub", "node"]).select("key", "hub").distinct()
-    rows = (members.join(open_keys.select("key"), "key", "left_semi").select("key", "node")
-            .union(open_keys.select("key", F.col("hub").alias("node"))))
+    rows = (members.join(open_keys.select("key"), "key", "left_semi").select("key", "hub", "node")
+            .union(open_keys.select("key", "hub", F.col("hub").alias("node"))))
     # The same members often meet under many keys: one of these is enough.
     keys = (rows.groupBy("key")
-            .agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64(F.lit(3), "node")).alias("y"))
-            .groupBy("n", "x", "y").agg(F.min("key").alias("key")).select("key", "n"))
-    return rows.join(keys, "key").join(plain, "node", "left").select("key", "node", F.coalesce("label", "node").alias("label"), "n")
+            .agg(F.count(F.lit(1)).alias("size"), F.bit_xor(F.xxhash64("node")).alias("x"),
+                 F.bit_xor(F.xxhash64(F.lit(3), "node")).alias("y"))
+            .groupBy("size", "x", "y").agg(F.min("key").alias("key")).select("key", "size"))
+    return (rows.join(keys, "key").join(plain, "node", "left")
+            .select("key", "hub", "node", F.coalesce("label", "node").alias("label"), "size"))
 
 
 def _rest(members: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFrame:
-    """Links that the stars may have missed: differently labelled members of a key, through sketches to full sets."""
+    """Links that the stars may have missed between differently labelled members of a key.
+
+    Members of a short key meet as pairs.  Those of long ones meet by hub, because near copies share a hub under most of their
+    keys, in blocks of bounded size that hold the sets.
+    """
     rows = stage(_open_members(members, labels), "open")
-    few = rows.where(f"n <= {FEW}").select("key", "node", "label")
+    few = rows.where(f"size <= {FEW}").select("key", "node", "label")
     pairs = (few.join(few.toDF("key", "other", "other_label"), "key").where("node < other AND label <> other_label")
              .select(F.col("node").alias("a"), F.col("other").alias("b")).distinct())
-    many = rows.where(f"n > {FEW}").withColumn("parts", F.ceil(F.col("n") / BLOCK_MEMBERS).cast("int"))
+    close = stage(_sketched(pairs, sets), "close")
+
+    many = rows.where(f"size > {FEW}").select("hub", "node", "label").distinct().join(sets.select("node", "n"), "node")
+    parts = many.groupBy("hub").agg(F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK_MEMBERS), F.ceil(F.sum("n") / BLOCK_SHINGLES))
+                                    .cast("int").alias("parts"))
     part = F.pmod(F.xxhash64("node", F.lit(7)), F.col("parts")).cast("int")
-    dealt = many.select("key", "node", "label", part.alias("p"), F.explode(F.expr("sequence(0, parts - 1)")).alias("q"))
-    dealt = (dealt.select("key", "node", "label", F.least("p", "q").alias("i"), F.greatest("p", "q").alias("j"))
-             .join(sets.select("node", "n", "sketch"), "node"))
-    blocks = dealt.groupBy("key", "i", "j").applyInPandas(block_pairs, "a bigint, b bigint").distinct()
-    close = stage(_sketched(pairs, sets).union(blocks), "close")
-    return _verified(close, sets)
+    dealt = many.join(parts, "hub").select("hub", "node", "label", part.alias("p"),
+                                           F.explode(F.expr("sequence(0, parts - 1)")).alias("q"))
+    dealt = (dealt.select("hub", "node", "label", F.least("p", "q").alias("i"), F.greatest("p", "q").alias("j"))
+             .join(sets, "node"))
+    return _verified(close, sets).union(dealt.groupBy("hub", "i", "j").applyInPandas(settle, "a bigint, b bigint"))
 
 
 def join_documents(docs: DataFrame) -> DataFrame:
