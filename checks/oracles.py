@@ -14,9 +14,11 @@ from checks.queries import (
     ASKED_FOR,
     SEGMENTS,
     SHAPES,
+    SMALL_RANDOM,
 )
 from checks.shapes import shaped_sql
 from tidewatch.operators.measures import BALANCES
+from tidewatch.plans import training as tr
 from tidewatch.settings import MODEL_LEVELS, MOVEMENT_LEVELS, PIVOT_MEASURES, SETTLED_CLAIM_STATUSES
 
 MONTHS = range(1, 13)
@@ -453,16 +455,28 @@ BODIES: dict[str, str] = {
         UNION ALL SELECT dealer_code, churn_status, round(last_billed_days / 120.0, 4) FROM recent""",
     # Properties of the trained model's results: which rows there must be, and that each one is right.
     "train_gbt_check": """
-        SELECT dataset, unnest(['accuracy', 'precision', 'recall', 'f1_score', 'roc_auc']) AS metric, 1 AS in_range
+        SELECT dataset, unnest(['accuracy', 'precision', 'recall', 'f1_score', 'roc_auc']) AS metric, 1 AS equal, 1 AS learned
         FROM (SELECT DISTINCT dataset FROM formula)""",
-    "train_quick_check": "SELECT 1 AS n_rows, 1 AS in_range",
+    "train_quick_check": """
+        SELECT unnest(['accuracy', 'precision', 'recall', 'f1_score', 'roc_auc']) AS metric, 1 AS equal, 1 AS learned""",
+    "random_search_check": f"SELECT unnest({[tr.point_text(p) for p in tr.draw_points(SMALL_RANDOM, 4, 42)]}) AS params, 1 AS in_range",
+    "grid_search_check": """
+        SELECT '{"learning_rate": ' || r || ', "max_depth": 2, "n_estimators": ' || n || '}' AS params, 1 AS equal
+        FROM (SELECT unnest(['0.1', '0.3']) AS r), (SELECT unnest([2, 4, 8]) AS n)""",
+    "score_loaded_check": "SELECT dealer_code, 1 AS equal FROM features WHERE last_billed_days <= 365",
+    "prediction_csv_roundtrip": "SELECT dealer_code, predicted_churn, churn_probability, risk_category FROM results",
+    "daily_rerun_check": "SELECT dealer_code, 2 AS n_rows, 2 AS n_days FROM results",
     "feature_importance_check": "SELECT 1.0 AS total, 0 AS negative, 0 AS repeated",
     "score_accounts_check": "SELECT dealer_code, 1 AS class_follows FROM features WHERE last_billed_days <= 365",
     "score_all_check": "SELECT dealer_code, 'right' AS label, 'right' AS band FROM features WHERE last_billed_days <= 365",
     "tree_contributions_check": "SELECT dealer_code, 1 AS adds_up FROM features WHERE last_billed_days <= 365",
     "explain_all_check": """
-        SELECT dealer_code, 1 AS n_top, 1 AS has_base FROM formula
-        WHERE dataset = 'test' AND dealer_code IN (SELECT dealer_code FROM features)""",
+        SELECT dealer_code, 1 AS n_top, 1 AS has_base
+        FROM (SELECT dealer_code, row_number() OVER (PARTITION BY churn_status
+                                                     ORDER BY CAST('0x' || substr(md5(dealer_code || '|42'), 1, 15) AS BIGINT)) AS k,
+                     count(*) OVER (PARTITION BY churn_status) AS n
+              FROM features WHERE last_billed_days <= 365)
+        WHERE k <= round(0.2 * n)""",
     "daily_job_check": "SELECT dealer_code, 1 AS explained FROM features WHERE last_billed_days <= 365",
 }
 

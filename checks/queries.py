@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import dataclasses
 import uuid
 from typing import Callable
 
+from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,7 +25,7 @@ from tidewatch.plans import scoring as sc
 from tidewatch.plans import training as tr
 from tidewatch.session import stage, tune, work_dir
 from tidewatch.settings import PIVOT_MEASURES
-from tidewatch.sources import contracts, sinks
+from tidewatch.sources import contracts, sinks, versions
 from tidewatch.sources import tables as tb
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -141,13 +143,15 @@ class Inputs:
 
     @property
     def formula(self):
-        return self._once("formula", self._formula)
+        """Formula scores with their split."""
+        return self._once("formula", lambda: pp.with_split(self.by_formula, self.settings, target="true_label"))
 
-    def _formula(self):
-        """Recent accounts scored by a fixed formula, with label, split and h."""
+    @property
+    def by_formula(self):
+        """Recent accounts scored by a fixed formula, with label and h."""
         h = fc.hash_bucket(F.col("dealer_code"), self.settings.seed) / F.lit(10000)
         z = F.lit(0.02) * (F.col("last_billed_days") - 90) + F.lit(3.0) * (F.col("h") - F.lit(0.5))
-        scored = (
+        return (
             self.recent.withColumn("h", h)
             .withColumn("churn_probability", F.lit(1.0) / (F.lit(1.0) + F.exp(-z)))
             .select(
@@ -156,18 +160,17 @@ class Inputs:
                 sc.classify(F.col("churn_probability")).alias("predicted_label"),
             )
         )
-        return pp.with_split(scored, self.settings, target="true_label")
 
     @property
     def results(self):
-        scored = self.formula.select(
+        scored = self.by_formula.select(
             "dealer_code", F.col("predicted_label").alias("predicted_churn"), "churn_probability"
         )
         return sc.prediction_results(scored, self.reference, self.settings)
 
     @property
     def linear(self):
-        rows = self.formula.withColumnRenamed("predicted_label", "predicted_churn")
+        rows = self.by_formula.withColumnRenamed("predicted_label", "predicted_churn")
         return at.linear_contributions(rows, {"last_billed_days": 0.02, "h": 3.0})
 
 
@@ -808,9 +811,9 @@ def explain_all(x: Inputs):
 
 def _daily(x: Inputs) -> DataFrame:
     out = work_dir(x.spark, "daily")
-    paths = jobs.daily_job(x.spark, x.catalog, x.settings, out, x.reference)
-    predictions = sinks.read_evolving(x.spark, paths["predictions"])
-    explained = sinks.read_evolving(x.spark, paths["explanations"]).drop("predicted_churn")
+    jobs.daily_job(x.spark, x.catalog, x.settings, out, x.reference)
+    predictions = jobs.read_daily(x.spark, out, "predictions")
+    explained = jobs.read_daily(x.spark, out, "explanations").drop("predicted_churn", "run_date")
     return predictions.join(explained, "dealer_code", "left")
 
 
@@ -825,17 +828,135 @@ def _class_of(p):
     return (F.col(p) >= 0.5).cast("int")
 
 
-@query("dataset:s metric:s in_range:i")
+# Least area under the curve of the default model on test rows that counts as having learned.
+AUC_FLOOR = 0.7
+
+
+def _recomputed(x: Inputs) -> DataFrame:
+    """dataset, metric, value from the scored rows, by their definitions and not by the evaluation plans.
+
+    The area is Spark ML's, over all different scores.
+    """
+    scored = stage(jobs.scored_truth(trained(x)), "truth").select("dataset", "true_label", "predicted_label", "churn_probability")
+    hit = F.col("true_label") == F.col("predicted_label")
+    classes = scored.withColumn("c", F.explode(F.array(F.lit(0), F.lit(1)))).groupBy("dataset", "c").agg(
+        F.count_if(hit & (F.col("true_label") == F.col("c"))).alias("tp"), F.count_if(F.col("predicted_label") == F.col("c")).alias("said"),
+        F.count_if(F.col("true_label") == F.col("c")).alias("true"), F.count(F.lit(1)).alias("n"))
+    share = lambda a, b: F.coalesce(F.try_divide(a, b), F.lit(0.0))
+    precision, recall = share(F.col("tp"), F.col("said")), share(F.col("tp"), F.col("true"))
+    f1 = share(2.0 * precision * recall, precision + recall)
+    per = classes.groupBy("dataset").agg(
+        *[F.sum(v * F.col("true") / F.col("n")).alias(k) for k, v in (("precision", precision), ("recall", recall), ("f1_score", f1))],
+        F.sum(F.col("tp") / F.col("n")).alias("accuracy"))
+    judge = BinaryClassificationEvaluator(rawPredictionCol="churn_probability", labelCol="true_label", numBins=0)
+    areas = [(d, judge.evaluate(scored.where(F.col("dataset") == d))) for d in ("train", "test")]
+    area = x.spark.createDataFrame(areas, "dataset string, roc_auc double")
+    names = ["accuracy", "precision", "recall", "f1_score", "roc_auc"]
+    return per.join(area, "dataset").unpivot(["dataset"], names, "metric", "again")
+
+
+@query("dataset:s metric:s equal:i learned:i")
 def train_gbt_check(x: Inputs):
-    metrics = jobs.evaluate(trained(x))
-    return metrics.select("dataset", "metric", F.col("value").between(0, 1).cast("int").alias("in_range"))
+    """Every metric equals its recomputation; the areas are above the floor."""
+    both = jobs.evaluate(trained(x)).join(_recomputed(x), ["dataset", "metric"], "full")
+    learned = (F.col("metric") != "roc_auc") | (F.col("value") >= AUC_FLOOR)
+    return both.select("dataset", "metric", (F.abs(F.col("value") - F.col("again")) < 1e-9).cast("int").alias("equal"),
+                       learned.cast("int").alias("learned"))
 
 
-@query("n_rows:i in_range:i")
+@query("metric:s equal:i learned:i")
 def train_quick_check(x: Inputs):
-    row = ev.test_summary(jobs.scored_truth(trained(x)))
-    inside = F.forall(F.array(*row.columns), lambda v: v.between(0, 1))
-    return row.agg(F.count(F.lit(1)).alias("n_rows"), F.min(inside.cast("int")).alias("in_range"))
+    """The one row of test metrics against their recomputation."""
+    row = ev.test_summary(jobs.scored_truth(trained(x))).unpivot(
+        [], ["accuracy", "precision", "recall", "f1_score", "roc_auc"], "metric", "value")
+    again = _recomputed(x).where("dataset = 'test'").drop("dataset")
+    learned = (F.col("metric") != "roc_auc") | (F.col("value") >= AUC_FLOOR)
+    return row.join(again, "metric", "full").select(
+        "metric", (F.abs(F.col("value") - F.col("again")) < 1e-9).cast("int").alias("equal"), learned.cast("int").alias("learned"))
+
+
+# -- searches over small documented spaces; the job uses the whole ones --------------------------
+
+SEARCH = dataclasses.replace(SETTINGS, cv_folds=3, search_draws=4)
+SMALL_RANDOM = {"n_estimators": [3, 6], "max_depth": [2, 3], "learning_rate": [0.1, 0.3], "subsample": [0.8, 1.0],
+                "colsample": [0.6, 1.0], "gamma": [0.0, 0.2], "min_child_weight": [1, 5]}
+SMALL_GRID = {"n_estimators": [2, 4, 8], "max_depth": [2], "learning_rate": [0.1, 0.3]}
+
+
+def _search_rows(x: Inputs) -> tuple[DataFrame, list[str]]:
+    prepared, state = x._once("prepared", lambda: jobs.prepare(x.stored_features, x.settings))
+    return prepared.where("dataset = 'train'"), state.features
+
+
+@query()
+def random_search(x: Inputs):
+    """Cross-validated f1 of seeded draws from SMALL_RANDOM."""
+    return tr.random_search(*_search_rows(x), SEARCH, SMALL_RANDOM).frame(x.spark)
+
+
+@query()
+def grid_search(x: Inputs):
+    """Cross-validated f1 of all points of SMALL_GRID; three numbers of trees share one fit."""
+    return tr.grid_search(*_search_rows(x), SEARCH, SMALL_GRID).frame(x.spark)
+
+
+@query("params:s in_range:i")
+def random_search_check(x: Inputs):
+    out = random_search(x)
+    return out.select("params", F.col("f1").between(0, 1).cast("int").alias("in_range"))
+
+
+@query("params:s equal:i")
+def grid_search_check(x: Inputs):
+    """The score of every point equals that of a search of its own, whose fit has no more trees than the point asks for."""
+    rows, names = _search_rows(x)
+    out = tr.grid_search(rows, names, SEARCH, SMALL_GRID).frame(x.spark)
+    alone = []
+    for n in SMALL_GRID["n_estimators"]:
+        found = tr.grid_search(rows, names, SEARCH, {**SMALL_GRID, "n_estimators": [n]})
+        alone += [(tr.point_text(p), s) for p, s in found.scores]
+    return out.join(x.spark.createDataFrame(alone, "params string, again double"), "params", "full").select(
+        "params", (F.abs(F.col("f1") - F.col("again")) < 1e-12).cast("int").alias("equal"))
+
+
+@query("dealer_code:s equal:i")
+def score_loaded_check(x: Inputs):
+    """A model saved, saved again and loaded scores every account as before."""
+    t = trained(x)
+    path = work_dir(x.spark, "model")
+    for _ in range(2):
+        tr.save_model(t.model, t.state, path)
+    model, state = tr.load_model(x.spark, path)
+    ready = pp.prepare_scoring(x.stored_features, state, x.settings)
+    before = tr.score(t.model, pp.prepare_scoring(x.stored_features, t.state, x.settings), t.state.features)
+    after = tr.score(model, ready, state.features).withColumnRenamed("churn_probability", "again").drop("predicted_churn")
+    return before.join(after, "dealer_code", "full").select(
+        "dealer_code", F.coalesce((F.col("churn_probability") == F.col("again")).cast("int"), F.lit(0)).alias("equal"))
+
+
+@query("dealer_code:s predicted_churn:i churn_probability:r risk_category:s")
+def prediction_csv_roundtrip(x: Inputs):
+    """Predictions through the CSV sink of a time-stamped bundle."""
+    paths = sinks.save_bundle({"predictions": x.results}, work_dir(x.spark, "bundle"))
+    back = x.spark.read.schema(x.results.schema).option("header", "true").csv(paths["predictions"])
+    return back.select("dealer_code", "predicted_churn", "churn_probability", "risk_category")
+
+
+@query("dealer_code:s n_rows:i n_days:i")
+def daily_rerun_check(x: Inputs):
+    """A day published twice and a failed third time is read once."""
+    root = work_dir(x.spark, "days")
+    rows = x.results
+    versions.publish_day(x.spark, root, "2001-01-01", {"predictions": rows})
+    versions.publish_day(x.spark, root, "2001-01-02", {"predictions": rows.limit(3)})
+    versions.publish_day(x.spark, root, "2001-01-02", {"predictions": rows})
+    try:
+        broken = rows.withColumn("churn_probability", F.raise_error(F.lit("sink failed")))
+        versions.publish_day(x.spark, root, "2001-01-01", {"predictions": rows.limit(1), "explanations": broken})
+    except Exception:  # noqa: BLE001  (the failure is the case under test)
+        pass
+    back = versions.read_days(x.spark, root, "predictions")
+    return back.groupBy("dealer_code").agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("run_date").alias("n_days"))
 
 
 @query("total:r negative:i repeated:i")

@@ -11,6 +11,7 @@ from tidewatch.plans import jobs
 from tidewatch.plans import training as tr
 from tidewatch.plans import trees
 from tidewatch.settings import RANDOM_SPACE, Settings
+from tidewatch.sources import versions
 
 SETTINGS = Settings(cv_folds=2, search_draws=2)
 NAMES = ["f0", "f1", "f2", "f3"]
@@ -29,14 +30,13 @@ def data(spark):
 
 @pytest.fixture(scope="module")
 def model(data):
-    train = tr.assemble(data.filter("dataset = 'train'"), NAMES)
-    return tr.fit_model(train, SETTINGS, {"n_estimators": 5, "max_depth": 4})
+    return tr.fit_model(data.filter("dataset = 'train'"), NAMES, SETTINGS, {"n_estimators": 5, "max_depth": 4})
 
 
-def test_parameters_reach_the_estimator(spark):
-    gbt = tr.classifier(Settings(), {"gamma": 0.1, "min_child_weight": 3, "colsample": 1.0})
-    assert (gbt.getMaxIter(), gbt.getMaxDepth(), gbt.getStepSize(), gbt.getSubsamplingRate()) == (100, 6, 0.1, 0.8)
-    assert (gbt.getMinInfoGain(), gbt.getMinInstancesPerNode(), gbt.getFeatureSubsetStrategy()) == (0.1, 3, "all")
+def test_defaults_are_overridden():
+    given = tr.spec(Settings(), {"gamma": 0.1, "min_child_weight": 3})
+    assert (given.value("gamma"), given.value("min_child_weight"), given.value("subsample"), given.value("max_depth")) == (0.1, 3, 0.8, 6)
+    assert (given.value("reg_lambda"), given.seed) == (1.0, Settings().seed)
 
 
 def test_draws_are_distinct_and_repeatable():
@@ -62,7 +62,7 @@ def test_scores_and_importances(spark, data, model):
 
 def test_contributions_add_up_to_the_log_odds(spark, data, model):
     scored = tr.score(model, data, NAMES, keep=NAMES)
-    parts, base = trees.tree_contributions(spark, model, scored, NAMES)
+    parts, base = trees.tree_contributions(model, scored, NAMES)
     rows = parts.select("churn_probability", F.aggregate("contributions", F.lit(0.0), lambda a, e: a + e["contribution"]).alias("s")).collect()
     for r in rows:
         log_odds = np.log(r["churn_probability"] / (1 - r["churn_probability"]))
@@ -70,7 +70,7 @@ def test_contributions_add_up_to_the_log_odds(spark, data, model):
 
 
 def test_contributions_equal_shapley_values_by_enumeration(spark, data, model):
-    leaves = trees.read_leaves(spark, model)
+    leaves = trees.read_leaves(model)
 
     def value(x, known):
         total = 0.0
@@ -94,21 +94,28 @@ def test_contributions_equal_shapley_values_by_enumeration(spark, data, model):
 
 
 def test_folds_hold_every_class_evenly(spark, data):
-    rows = tr.with_folds(tr.assemble(data, NAMES), Settings(cv_folds=5)).groupBy("churn_status", "_fold").count().collect()
+    rows = tr.with_folds(data, Settings(cv_folds=5)).groupBy("churn_status", "_fold").count().collect()
     for label in (0, 1):
         sizes = [r["count"] for r in rows if r["churn_status"] == label]
         assert len(sizes) == 5 and max(sizes) - min(sizes) <= 1
 
 
 def test_search_keeps_base_parameters(spark, data):
-    train = tr.assemble(data.filter("dataset = 'train'"), NAMES)
-    found = tr.grid_search(train, SETTINGS, {"n_estimators": [1, 4], "max_depth": [3]})
+    train = data.filter("dataset = 'train'")
+    found = tr.grid_search(train, NAMES, SETTINGS, {"n_estimators": [1, 4], "max_depth": [3]})
     assert found.best_score == max(s for _, s in found.scores) and len(found.scores) == 2
     assert found.frame(spark).count() == 2
     space = {**RANDOM_SPACE, "n_estimators": [2], "max_depth": [2, 3]}
-    model, chosen = tr.train_tuned(train, SETTINGS, space, {"n_estimators": [2], "max_depth": [2]})
+    model, chosen = tr.train_tuned(train, NAMES, SETTINGS, space, {"n_estimators": [2], "max_depth": [2]})
     assert chosen["max_depth"] == 2 and {"gamma", "min_child_weight"} <= set(chosen)
-    assert model.getNumTrees == 2 and model.getOrDefault("minInstancesPerNode") == chosen["min_child_weight"]
+    assert len(model.trees) == 2 and max(len(t.feature) for t in model.trees) <= 7
+
+
+def test_full_spaces_share_fits():
+    from tidewatch.settings import GRID_SPACE
+
+    grid = tr.grid_points(GRID_SPACE)
+    assert (len(grid), len(tr.ensembles(grid))) == (48, 24)
 
 
 def test_model_and_state_persist(spark, data, model, tmp_path):
@@ -123,6 +130,48 @@ def test_model_and_state_persist(spark, data, model, tmp_path):
     assert a == rows_of(tr.score(loaded, data, NAMES), "dealer_code")
 
 
+def test_failed_save_leaves_the_old_pair(spark, data, model, tmp_path, monkeypatch):
+    spark.createDataFrame([("a", 0)], "territory_code string, territory_code_encoded int").write.parquet(str(tmp_path / "codes"))
+    state = pp.PrepState({"zone": []}, str(tmp_path / "codes"), NAMES)
+    path = tr.save_model(model, state, str(tmp_path / "m"))
+    other = model.first(2)
+    monkeypatch.setattr(pp.PrepState, "save", lambda *a: (_ for _ in ()).throw(RuntimeError("disk full")))
+    with pytest.raises(RuntimeError):
+        tr.save_model(other, state, path)
+    monkeypatch.undo()
+    loaded, _ = tr.load_model(spark, path)
+    assert len(loaded.trees) == 5 and len(versions.folders(spark, path)) == 2
+    tr.save_model(other, state, path)
+    assert len(tr.load_model(spark, path)[0].trees) == 2
+    versions.prune(spark, path, keep=1)
+    assert len(versions.folders(spark, path)) == 1 and len(tr.load_model(spark, path)[0].trees) == 2
+    with pytest.raises(FileNotFoundError):
+        tr.load_model(spark, str(tmp_path / "none"))
+
+
+def test_daily_job_can_run_again(spark, tmp_path):
+    """The day twice, and once with a failing second table: each account is read once, with the rows of the last whole run."""
+    from checks.queries import Inputs
+    from tests.conftest import SF_SMALL
+
+    x = Inputs(spark, SF_SMALL)
+    out, small = str(tmp_path / "daily"), {"n_estimators": 2, "max_depth": 2}
+    for _ in range(2):
+        jobs.daily_job(spark, x.catalog, x.settings, out, ref("2001-06-30"), small)
+    n = x.stored_features.filter("last_billed_days <= 365").count()
+    predictions = jobs.read_daily(spark, out, "predictions")
+    assert predictions.count() == predictions.select("dealer_code").distinct().count() == n
+    assert [str(r[0]) for r in predictions.select("run_date").distinct().collect()] == ["2001-06-30"]
+    with pytest.raises(Exception):
+        broken = {"explanations": predictions.limit(1), "predictions": predictions.withColumn("x", F.raise_error(F.lit("no")))}
+        versions.publish_day(spark, out, "2001-06-30", broken)
+    assert jobs.read_daily(spark, out, "explanations").count() == n == jobs.read_daily(spark, out, "predictions").count()
+    versions.publish_day(spark, out, "2001-07-01", {"explanations": predictions.limit(1).select("dealer_code"),
+                                                    "predictions": predictions.limit(2).withColumn("new", F.lit(1))})
+    both = jobs.read_daily(spark, out, "predictions")
+    assert both.count() == n + 2 and both.where("new = 1").count() == 2
+
+
 def test_training_and_scoring_jobs(spark, tmp_path):
     """Quick training on the smallest data set, saved, loaded again and used."""
     import dataclasses

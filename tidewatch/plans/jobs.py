@@ -5,7 +5,6 @@ from __future__ import annotations
 from dataclasses import dataclass
 from typing import Mapping, Sequence
 
-from pyspark.ml.classification import GBTClassificationModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,10 +14,11 @@ from tidewatch.plans import evaluation as ev
 from tidewatch.plans import scoring as sc
 from tidewatch.plans import training as tr
 from tidewatch.plans import trees
+from tidewatch.plans.boosting import Booster
 from tidewatch.plans.features import build_features
 from tidewatch.session import job_folder, stage
 from tidewatch.settings import Settings
-from tidewatch.sources import sinks
+from tidewatch.sources import sinks, versions
 from tidewatch.sources.tables import Catalog
 
 
@@ -26,7 +26,7 @@ from tidewatch.sources.tables import Catalog
 class Trained:
     """A fitted model with what is needed to use it."""
 
-    model: GBTClassificationModel
+    model: Booster
     state: pp.PrepState
     params: dict
     prepared: DataFrame  # key, features, target, dataset
@@ -39,14 +39,14 @@ def prepare(features: DataFrame, settings: Settings) -> tuple[DataFrame, pp.Prep
     return stage(split, "prepared"), state
 
 
-def _train_rows(prepared: DataFrame, state: pp.PrepState) -> DataFrame:
-    return tr.assemble(prepared.filter(F.col("dataset") == "train"), state.features)
+def _train_rows(prepared: DataFrame) -> DataFrame:
+    return prepared.filter(F.col("dataset") == "train")
 
 
 def train_quick(features: DataFrame, settings: Settings, params: Mapping[str, float] | None = None) -> Trained:
     """One fit with the given or default parameters."""
     prepared, state = prepare(features, settings)
-    model = tr.fit_model(_train_rows(prepared, state), settings, params)
+    model = tr.fit_model(_train_rows(prepared), state.features, settings, params)
     return Trained(model, state, dict(params or {}), prepared)
 
 
@@ -55,10 +55,11 @@ def train_tuned(
     settings: Settings,
     random_space: Mapping[str, Sequence] = tr.RANDOM_SPACE,
     grid_space: Mapping[str, Sequence] = tr.GRID_SPACE,
+    resume: str | None = None,
 ) -> Trained:
-    """Random search, grid search and the final fit."""
+    """Random search, grid search and the final fit; ``resume`` keeps the scores for a driver that starts again."""
     prepared, state = prepare(features, settings)
-    model, chosen = tr.train_tuned(_train_rows(prepared, state), settings, random_space, grid_space)
+    model, chosen = tr.train_tuned(_train_rows(prepared), state.features, settings, random_space, grid_space, resume)
     return Trained(model, state, chosen, prepared)
 
 
@@ -86,7 +87,7 @@ def evaluation_tables(trained: Trained) -> dict[str, DataFrame]:
 
 def score_all(
     features: DataFrame,
-    model: GBTClassificationModel,
+    model: Booster,
     state: pp.PrepState,
     as_of: Column,
     settings: Settings,
@@ -102,7 +103,7 @@ def score_all(
 def score_accounts(
     features: DataFrame,
     codes: Sequence[str],
-    model: GBTClassificationModel,
+    model: Booster,
     state: pp.PrepState,
     as_of: Column,
     settings: Settings,
@@ -116,7 +117,7 @@ def contributions(spark: SparkSession, trained: Trained, rows: DataFrame) -> tup
     """Contributions of prepared rows, with the prediction beside them."""
     names = trained.state.features
     scored = tr.score(trained.model, rows, names, keep=names)
-    return trees.tree_contributions(spark, trained.model, scored, names)
+    return trees.tree_contributions(trained.model, scored, names)
 
 
 def explain_all(
@@ -147,7 +148,7 @@ def run_training(
     """Train (searching the two spaces when given), evaluate, explain and save everything."""
     features = stage(features, "features")
     trained = (
-        train_tuned(features, settings, *spaces) if spaces else train_quick(features, settings, params)
+        train_tuned(features, settings, *spaces, resume=f"{out}/search") if spaces else train_quick(features, settings, params)
     )
     explained, drivers = explain_all(spark, trained, settings)
     paths = {
@@ -186,6 +187,9 @@ def run_scoring(
     return saved, sc.prediction_summary(saved)
 
 
+DAILY_TABLES = ("explanations", "predictions")
+
+
 def daily_job(
     spark: SparkSession,
     catalog: Catalog,
@@ -193,18 +197,27 @@ def daily_job(
     out: str,
     as_of: Column,
     params: Mapping[str, float] | None = None,
-) -> dict[str, str]:
-    """Features, training, explanations and predictions, appended to two tables.
+) -> str:
+    """Features, training, explanations and predictions, added to two tables as the rows of the day of ``as_of``.
 
-    Everything staged on the way is removed when both are written.
+    The day becomes visible with both tables or not at all, and a day that runs again replaces its rows
+    (:func:`read_daily`).  Everything staged on the way is removed when both are written.
     """
     with job_folder(spark, "daily-job"):
-        return _daily_tables(spark, catalog, settings, out, as_of, params)
+        day = spark.range(1).select(F.date_format(as_of, "yyyy-MM-dd")).first()[0]
+        versions.publish_day(spark, out, day, _daily_tables(spark, catalog, settings, as_of, params))
+    versions.prune_day(spark, out, list(DAILY_TABLES), day, keep=2)
+    return out
+
+
+def read_daily(spark: SparkSession, out: str, name: str) -> DataFrame:
+    """One of the two daily tables, each complete day once."""
+    return versions.read_days(spark, out, name)
 
 
 def _daily_tables(
-    spark: SparkSession, catalog: Catalog, settings: Settings, out: str, as_of: Column, params: Mapping[str, float] | None
-) -> dict[str, str]:
+    spark: SparkSession, catalog: Catalog, settings: Settings, as_of: Column, params: Mapping[str, float] | None
+) -> dict[str, DataFrame]:
     features = stage(build_features(catalog, settings), "features")
     trained = train_quick(features, settings, params)
     explained, _ = explain_all(spark, trained, settings, dataset=None)
@@ -212,8 +225,4 @@ def _daily_tables(
         "created_at", sc.run_stamp(as_of, settings.stamp_zone)
     )
     results = score_all(features, trained.model, trained.state, as_of, settings)
-    placed = sc.with_territory(results, catalog["customer_master"])
-    return {
-        "explanations": sinks.append_evolving(stamped, f"{out}/explanations"),
-        "predictions": sinks.append_evolving(placed, f"{out}/predictions"),
-    }
+    return {"explanations": stamped, "predictions": sc.with_territory(results, catalog["customer_master"])}

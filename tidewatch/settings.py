@@ -85,7 +85,7 @@ TREE_DEFAULTS = {
     "max_depth": 6,
     "learning_rate": 0.1,
     "subsample": 0.8,
-    "colsample": 0.8,  # drawn anew at every node, not once per tree
+    "colsample": 0.8,
 }
 
 RANDOM_SPACE = {
