@@ -83,12 +83,16 @@ def same_tree(a, b):
     same_tree(a[5], b[5]), same_tree(a[6], b[6])
 
 
-@pytest.mark.parametrize("over", [{}, {"gamma": 3.0}, {"min_child_weight": 25.0}, {"reg_lambda": 7.0, "max_depth": 2}])
-def test_gains_and_leaves_equal_a_plain_version(rows, binned, over, monkeypatch):
+@pytest.mark.parametrize("node_rows, over", [
+    (0, {}), (0, {"gamma": 3.0}), (10_000, {}), (10_000, {"gamma": 3.0}), (10_000, {"min_child_weight": 25.0}),
+    (150, {"max_depth": 5}), (0, {"reg_lambda": 7.0, "max_depth": 2})])
+def test_gains_and_leaves_equal_a_plain_version(rows, binned, node_rows, over, monkeypatch):
+    """With all nodes split by passes over all rows, with all finished in tasks, and with some of both."""
+    monkeypatch.setattr(bt, "NODE_ROWS", node_rows)
     monkeypatch.setattr(bt, "STORE_AFTER", 3)  # margins are stored on the way
     x, y = rows
     w = 1.0 + np.arange(len(y)) % 3
-    params = {**bt.DEFAULTS, "n_estimators": 8, "max_depth": 4, "learning_rate": 0.3, **over}
+    params = {**bt.DEFAULTS, "n_estimators": 4, "max_depth": 4, "learning_rate": 0.3, **over}
     model = bt.fit(binned, [bt.Spec(params)])[0]
     margin = np.zeros(len(y))
     for tree in model.trees:
@@ -100,7 +104,8 @@ def test_gains_and_leaves_equal_a_plain_version(rows, binned, over, monkeypatch)
     assert (model.importances()[4], model.importances().sum()) == (0, pytest.approx(1))  # ties go to the lower feature
 
 
-def test_models_grown_together_equal_models_grown_alone(rows, data):
+def test_models_grown_together_equal_models_grown_alone(rows, data, monkeypatch):
+    monkeypatch.setattr(bt, "NODE_ROWS", 120)
     folded = data.withColumn("fold", F.expr("cast(dealer_code as int) % 3"))
     binned = bt.bin_rows(folded, NAMES, "dealer_code", "churn_status", "w", "fold")
     specs = [bt.Spec({"n_estimators": n, "max_depth": d, "subsample": s, "colsample": c}, k, 9)

@@ -3,8 +3,9 @@
 Rows are binned once and stored: one byte per feature.  A pass over them makes, for every model that is being grown, the
 gradient and hessian sums of each (node, feature, bin) in Arrow batches, one set of arrays per task; these meet by
 (model, block of features), where they are added up and each node's best split is chosen, so the driver sees one row per
-node and block.  All models of a call (folds, search points) take their next level in the same pass, so the number of
-passes is that of the largest model, not their sum.  Every ``STORE_AFTER`` trees the rows are stored again with their margins,
+node and block.  Nodes of at most ``NODE_ROWS`` rows are finished instead: their rows meet in one group of bounded size, whose
+task grows all that is left below them (the division of work of Panda et al., PLANET, 2009), so a tree takes a pass per level of
+large nodes and one more.  All models of a call (folds, search points) take their next step in the same pass.  Every ``STORE_AFTER`` trees the rows are stored again with their margins,
 so a pass evaluates few trees and its plan has no history.
 
 Parameters: ``gamma`` is the least loss reduction of a split (without the factor one half), ``min_child_weight`` the least
@@ -31,6 +32,7 @@ from tidewatch.session import stage
 BINS = 32
 CUT_ACCURACY = 10_000
 FEATURES_AT_ONCE = 64
+NODE_ROWS = 10_000
 STORE_AFTER = 10
 LEAST_GAIN = 1e-6
 
@@ -188,53 +190,94 @@ class Spec:
         return {**DEFAULTS, **self.params}[name]
 
 
+Node = list  # feature, bin, threshold, left, right, value, cover, gain
+
+
+def _leaf(k: int, g: float, h: float, params: Mapping[str, float]) -> Node:
+    return [-1, 0, 0.0, k, k, -g / (h + params["reg_lambda"]) * params["learning_rate"], h, 0.0]
+
+
+def split_nodes(nodes: list[Node], frontier: Sequence[int], splits: Mapping[int, tuple], params: Mapping[str, float]) -> list[tuple[int, int]]:
+    """Applies the best splits (by slot of the frontier); returns (node, rows) of the new nodes."""
+    least, following = max(params["gamma"], LEAST_GAIN), []
+    for slot, node in enumerate(frontier):
+        if slot not in splits:  # no row was drawn
+            continue
+        gain, feature, at, g_left, h_left, n_left, g, h, n = splits[slot]
+        nodes[node] = _leaf(node, g, h, params)
+        if gain > least:
+            nodes[node][0], nodes[node][1], nodes[node][7] = feature, at, gain
+            nodes[node][3], nodes[node][4] = len(nodes), len(nodes) + 1
+            for a, b, c in ((g_left, h_left, n_left), (g - g_left, h - h_left, n - n_left)):
+                following.append((len(nodes), int(c)))
+                nodes.append(_leaf(len(nodes), a, b, params))
+    return following
+
+
 @dataclass
 class _Growing:
     """A model on its way: finished trees, and the nodes of the tree in work."""
 
     spec: Spec
     width: int
+    n_rows: int
     trees: list[Tree] = field(default_factory=list)
     stored: int = 0
-    nodes: list[list] = field(default_factory=list)
-    frontier: list[int] = field(default_factory=list)
+    nodes: list[Node] = field(default_factory=list)
+    large: list[int] = field(default_factory=list)  # to be split by a pass over all rows
+    small: dict[int, int] = field(default_factory=dict)  # to be finished in a task: node -> level
     level: int = 0
     columns: np.ndarray | None = None
 
     def __post_init__(self):
+        self.params = {**DEFAULTS, **self.spec.params}
         self._start()
 
     def _start(self) -> None:
-        share = float(self.spec.value("colsample"))
+        share = float(self.params["colsample"])
         n = max(1, int(share * self.width + 0.5)) if share < 1 else self.width
         draw = np.random.default_rng([self.spec.seed, len(self.trees)])
         self.columns = np.sort(draw.permutation(self.width)[:n])
-        self.nodes = [[-1, 0, 0.0, 0, 0, 0.0, 0.0, 0.0]]
-        self.frontier, self.level = [0], 0
+        self.nodes, self.level, self.large, self.small = [_leaf(0, 0.0, 0.0, self.params)], 0, [], {}
+        self._file([(0, self.n_rows)])
+
+    def _file(self, fresh: Sequence[tuple[int, int]]) -> None:
+        for node, rows in fresh:
+            if self.level < self.params["max_depth"]:
+                if rows <= NODE_ROWS:
+                    self.small[node] = self.level
+                else:
+                    self.large.append(node)
 
     @property
     def done(self) -> bool:
-        return len(self.trees) >= self.spec.value("n_estimators")
-
-    def take(self, splits: Mapping[int, tuple], cuts: Sequence[np.ndarray]) -> None:
-        """Applies the best splits (by slot of the frontier) and moves to the next level or tree."""
-        rate, penalty = self.spec.value("learning_rate"), self.spec.value("reg_lambda")
-        least, following = max(self.spec.value("gamma"), LEAST_GAIN), []
-        for slot, node in enumerate(self.frontier):
-            if slot not in splits:  # no row was drawn
-                continue
-            gain, feature, at, g_left, h_left, g, h = splits[slot]
-            row = self.nodes[node]
-            row[5], row[6] = -g / (h + penalty) * rate, h
-            if not gain > least:
-                continue
-            row[0], row[1], row[2], row[7] = feature, at, float(cuts[feature][at]), gain
-            row[3], row[4] = len(self.nodes), len(self.nodes) + 1
-            for a, b in ((g_left, h_left), (g - g_left, h - h_left)):
-                following.append(len(self.nodes))
-                self.nodes.append([-1, 0, 0.0, len(self.nodes), len(self.nodes), -a / (b + penalty) * rate, b, 0.0])
-        self.frontier, self.level = following, self.level + 1
-        if not following or self.level >= self.spec.value("max_depth"):
+        return len(self.trees) >= self.params["n_estimators"]
+
+    def take(self, splits: Mapping[int, tuple]) -> None:
+        """Applies the best splits of the large nodes."""
+        frontier, self.large = self.large, []
+        self.level += 1
+        self._file(split_nodes(self.nodes, frontier, splits, self.params))
+
+    def graft(self, parts: Mapping[int, list[tuple]]) -> None:
+        """Puts grown parts below the small nodes: node -> its nodes in order, the first being the node itself."""
+        for node in self.small:
+            names = {}
+            for k, row in enumerate(parts.get(node, ())):
+                names[k] = node if k == 0 else len(self.nodes)
+                if k:
+                    self.nodes.append(None)
+                self.nodes[names[k]] = list(row)
+            for k in names.values():
+                self.nodes[k][3], self.nodes[k][4] = names[self.nodes[k][3]], names[self.nodes[k][4]]
+        self.small = {}
+
+    def close(self, cuts: Sequence[np.ndarray]) -> None:
+        """Ends the tree if nothing of it is left to grow."""
+        if not self.large and not self.small:
+            for row in self.nodes:
+                if row[0] >= 0:
+                    row[2] = float(cuts[row[0]][row[1]])
             self.trees.append(_tree(self.nodes))
             self._start()
 
@@ -251,93 +294,159 @@ def _salt(seed: int, tree: int) -> np.uint64:
 
 
 def best_splits(sums: np.ndarray, columns: np.ndarray, params: Mapping[str, float]) -> list[tuple]:
-    """(gain, feature, bin, G left, H left, G, H) of every node from its sums (node, feature, bin, gradient or hessian).
+    """(gain, feature, bin, G left, H left, rows left, G, H, rows) of every node.
 
-    Ties go to the lower feature, then the lower bin.  A node without an allowed split has a gain of minus infinity.
+    ``sums``: (node, feature, bin, gradient or hessian or rows).  Ties go to the lower feature, then the lower bin.  A node
+    without an allowed split has a gain of minus infinity.
     """
     penalty, least = params["reg_lambda"], params["min_child_weight"]
     run = np.cumsum(sums, axis=2)
     total = run[:, :, -1:, :]
-    g, h = run[..., 0], run[..., 1]
+    g, h, n = run[..., 0], run[..., 1], run[..., 2]
     g_right, h_right = total[..., 0] - g, total[..., 1] - h
     gain = g**2 / (h + penalty) + g_right**2 / (h_right + penalty) - total[..., 0]**2 / (total[..., 1] + penalty)
-    some = 1e-12 * total[..., 1]  # what running sums leave of nothing
-    gain = np.where((h >= least) & (h_right >= least) & (h > some) & (h_right > some), gain, -np.inf)[:, :, :-1]
+    gain = np.where((h >= least) & (h_right >= least) & (n > 0) & (n < total[..., 2]), gain, -np.inf)[:, :, :-1]
+    best = gain.reshape(len(sums), -1).argmax(axis=1)
     out = []
-    for node in range(len(sums)):
-        f, at = np.unravel_index(np.argmax(gain[node]), gain.shape[1:])
-        out.append((float(gain[node, f, at]), int(columns[f]), int(at), float(g[node, f, at]), float(h[node, f, at]),
-                    float(total[node, 0, 0, 0]), float(total[node, 0, 0, 1])))
+    for node, place in enumerate(best.tolist()):
+        f, at = divmod(place, gain.shape[2])
+        out.append((float(gain[node, f, at]), int(columns[f]), at, *run[node, f, at].tolist(), *total[node, 0, 0].tolist()))
     return out
 
 
-def _level(rows: DataFrame, growing: Sequence[_Growing], width: int) -> dict[int, dict[int, tuple]]:
-    """Best splits of the frontiers of all models: model -> slot -> split."""
-    models = len(growing)
-    work = []
+def _add(sums: np.ndarray, slot: np.ndarray, x: np.ndarray, g: np.ndarray, h: np.ndarray) -> None:
+    """Adds rows to sums (gradient or hessian or rows; node, feature, bin flat); ``x`` has the drawn columns."""
+    width = x.shape[1]
+    for a in range(0, len(slot), 4096):
+        part = slice(a, a + 4096)
+        cell = ((slot[part, None] * width + np.arange(width)) * BINS + x[part]).ravel()
+        sums[0] += np.bincount(cell, np.repeat(g[part], width), sums.shape[1])
+        sums[1] += np.bincount(cell, np.repeat(h[part], width), sums.shape[1])
+        sums[2] += np.bincount(cell, minlength=sums.shape[1])
+
+
+def grow(x: np.ndarray, g: np.ndarray, h: np.ndarray, columns: np.ndarray, params: Mapping[str, float], level: int) -> list[Node]:
+    """All that is left of a tree below a node with these rows; ``x`` has the drawn columns."""
+    nodes, frontier, slot = [_leaf(0, 0.0, 0.0, params)], [0], np.zeros(len(x), dtype=np.int64)
+    while frontier and level < params["max_depth"]:
+        sums = np.zeros((3, len(frontier) * len(columns) * BINS))
+        _add(sums, slot, x, g, h)
+        shaped = sums.reshape(3, len(frontier), len(columns), BINS).transpose(1, 2, 3, 0)
+        following = [node for node, _ in split_nodes(nodes, frontier, dict(enumerate(best_splits(shaped, columns, params))), params)]
+        inner = np.array([nodes[k][0] >= 0 for k in frontier])
+        kept = inner[slot]
+        x, g, h, slot = x[kept], g[kept], h[kept], slot[kept]
+        first = np.cumsum(inner) * 2 - 2  # the left child's slot
+        column = np.searchsorted(columns, [max(nodes[k][0], 0) for k in frontier])
+        right = x[np.arange(len(x)), column[slot]] > np.array([nodes[k][1] for k in frontier])[slot]
+        slot, frontier, level = first[slot] + right, following, level + 1
+    return nodes
+
+
+def _gradients(batch: pa.RecordBatch, width: int, models: int, work: Sequence[tuple]):
+    """(work, bins, place, slot, g, h) of the rows that take part, for every model in work."""
+    bins, margins = _bins(batch, width), _margins(batch, models)
+    place = batch.column("place").to_numpy()
+    fold, y, w = (batch.column(c).to_numpy() for c in ("fold", "y", "w"))
+    for one in work:
+        m, trees, tree, slots, held_out, subsample, salt = one[:7]
+        drawn = fold != held_out
+        if subsample < 1:
+            drawn &= _scatter(place.view(np.uint64) ^ salt) < subsample
+        at = np.flatnonzero(drawn)
+        x = bins[at]
+        slot = slots[tree.reach(x, tree.bin)]
+        at, x, slot = at[slot >= 0], x[slot >= 0], slot[slot >= 0]
+        margin = margins[at, m].copy()
+        for t in trees:
+            margin += t.value[t.reach(x, t.bin)]
+        p = 1 / (1 + np.exp(-margin))
+        yield one, x, place[at], slot, w[at] * (p - y[at]), np.maximum(w[at] * p * (1 - p), 1e-16)
+
+
+def _work(growing: Sequence[_Growing], nodes_of) -> list[tuple]:
+    """What tasks need to know of the models that have such nodes."""
+    out = []
     for m, one in enumerate(growing):
-        if not one.done:
+        nodes = [] if one.done else list(nodes_of(one))
+        if nodes:
             slots = np.full(len(one.nodes), -1)
-            slots[one.frontier] = np.arange(len(one.frontier))
-            work.append((m, one.trees[one.stored:], _tree(one.nodes), slots, len(one.frontier), one.columns, one.spec.held_out,
-                         float(one.spec.value("subsample")), _salt(one.spec.seed, len(one.trees))))
-    params = [{**DEFAULTS, **one.spec.params} for one in growing]
-    columns = [one.columns for one in growing]
+            slots[nodes] = np.arange(len(nodes))
+            out.append((m, one.trees[one.stored:], _tree(one.nodes), slots, one.spec.held_out, float(one.params["subsample"]),
+                        _salt(one.spec.seed, len(one.trees)), one.columns, nodes))
+    return out
+
+
+def _pass(rows: DataFrame, growing: Sequence[_Growing], width: int) -> None:
+    """Splits the large nodes of all models."""
+    models, work = len(growing), _work(growing, lambda one: one.large)
+    params, columns = [one.params for one in growing], [one.columns for one in growing]
 
     def histograms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: dict[int, np.ndarray] = {}
         for batch in batches:
-            bins, margins = _bins(batch, width), _margins(batch, models)
-            place = batch.column("place").to_numpy().view(np.uint64)
-            fold, y, w = (batch.column(c).to_numpy() for c in ("fold", "y", "w"))
-            for m, trees, tree, slots, n, chosen, held_out, subsample, salt in work:
-                drawn = fold != held_out
-                if subsample < 1:
-                    drawn &= _scatter(place ^ salt) < subsample
-                at = np.flatnonzero(drawn)
-                x = bins[at]
-                slot = slots[tree.reach(x, tree.bin)]
-                at, x, slot = at[slot >= 0], x[slot >= 0], slot[slot >= 0]
-                margin = margins[at, m].copy()
-                for t in trees:
-                    margin += t.value[t.reach(x, t.bin)]
-                p = 1 / (1 + np.exp(-margin))
-                g, h = w[at] * (p - y[at]), np.maximum(w[at] * p * (1 - p), 1e-16)
-                size = n * len(chosen) * BINS
-                sums = found.setdefault(m, np.zeros((2, size)))
-                for a in range(0, len(at), 4096):
-                    part = slice(a, a + 4096)
-                    cell = ((slot[part, None] * len(chosen) + np.arange(len(chosen))) * BINS + x[part][:, chosen]).ravel()
-                    for k, v in enumerate((g, h)):
-                        sums[k] += np.bincount(cell, np.repeat(v[part], len(chosen)), size)
+            for one, x, _, slot, g, h in _gradients(batch, width, models, work):
+                m, chosen, nodes = one[0], one[7], one[8]
+                _add(found.setdefault(m, np.zeros((3, len(nodes) * len(chosen) * BINS))), slot, x[:, chosen], g, h)
         part, out = TaskContext.get().partitionId(), []
         for m, sums in found.items():
-            sums = sums.reshape(2, -1, len(columns[m]), BINS).transpose(1, 2, 3, 0)
+            sums = sums.reshape(3, -1, len(columns[m]), BINS).transpose(1, 2, 3, 0)
             for block, a in enumerate(range(0, len(columns[m]), FEATURES_AT_ONCE)):
                 out.append((m, block, part, np.ascontiguousarray(sums[:, a:a + FEATURES_AT_ONCE]).tobytes()))
         names = ("model", "block", "part", "sums")
         kinds = (pa.int32(), pa.int32(), pa.int32(), pa.binary())
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(list(zip(*out)) or [[]] * 4, kinds)], names=names)
 
+    names = ["model", "slot", "gain", "feature", "bin", "g_left", "h_left", "n_left", "g", "h", "n"]
+
     def choose(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         m, block = key
         some = columns[m][block * FEATURES_AT_ONCE:(block + 1) * FEATURES_AT_ONCE]
         # In the order of tasks, so that a rerun adds up the same way.
         sums = sum(np.frombuffer(b, dtype=np.float64) for b in pdf.sort_values("part")["sums"])
-        splits = best_splits(sums.reshape(-1, len(some), BINS, 2), some, params[m])
-        return pd.DataFrame([(m, slot, *s) for slot, s in enumerate(splits)],
-                            columns=["model", "slot", "gain", "feature", "bin", "g_left", "h_left", "g", "h"])
+        splits = best_splits(sums.reshape(-1, len(some), BINS, 3), some, params[m])
+        return pd.DataFrame([(m, slot, *s) for slot, s in enumerate(splits)], columns=names)
 
-    sums = rows.mapInArrow(histograms, "model int, block int, part int, sums binary")
-    chosen = sums.groupBy("model", "block").applyInPandas(
-        choose, "model int, slot int, gain double, feature int, bin int, g_left double, h_left double, g double, h double")
+    chosen = rows.mapInArrow(histograms, "model int, block int, part int, sums binary").groupBy("model", "block").applyInPandas(
+        choose, "model int, slot int, gain double, feature int, bin int, " + ", ".join(f"{c} double" for c in names[5:]))
     best: dict[int, dict[int, tuple]] = {}
     for r in chosen.collect():
-        one = (r["gain"], r["feature"], r["bin"], r["g_left"], r["h_left"], r["g"], r["h"])
-        here = best.setdefault(r["model"], {})
+        one, here = tuple(r)[2:], best.setdefault(r["model"], {})
         if r["slot"] not in here or (-one[0], one[1]) < (-here[r["slot"]][0], here[r["slot"]][1]):
             here[r["slot"]] = one
-    return best
+    for m, *_ in work:
+        growing[m].take(best.get(m, {}))
+
+
+def _finish(rows: DataFrame, growing: Sequence[_Growing], width: int) -> None:
+    """Grows what is left below the small nodes of models that have no large ones."""
+    models, work = len(growing), _work(growing, lambda one: () if one.large else one.small)
+    params, columns = [one.params for one in growing], [one.columns for one in growing]
+    levels = [dict(one.small) for one in growing]
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for one, x, place, slot, g, h in _gradients(batch, width, models, work):
+                m, chosen, nodes = one[0], one[7], np.array(one[8], dtype=np.int32)
+                kept = pa.array([r.tobytes() for r in np.ascontiguousarray(x[:, chosen])], pa.binary())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(slot), m, dtype=np.int32)), pa.array(nodes[slot]), pa.array(place), pa.array(g), pa.array(h), kept],
+                    names=["model", "node", "place", "g", "h", "x"])
+
+    def finish(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        m, node = key
+        pdf = pdf.sort_values(["place", "g", "h", "x"])  # sums do not depend on the order of arrival
+        x = np.frombuffer(b"".join(pdf["x"]), dtype=np.uint8).reshape(len(pdf), -1)
+        nodes = grow(x, pdf["g"].to_numpy(), pdf["h"].to_numpy(), columns[m], params[m], levels[m][node])
+        return pd.DataFrame([(m, node, k, *row) for k, row in enumerate(nodes)], columns=["model", "node", "k", *COLUMNS])
+
+    dealt = rows.mapInArrow(deal, "model int, node int, place bigint, g double, h double, x binary")
+    grown = dealt.groupBy("model", "node").applyInPandas(finish, "model int, node int, k int, " + NODE.split(", ", 2)[2])
+    parts: dict[int, dict[int, list]] = {}
+    for r in sorted(grown.collect(), key=lambda r: r["k"]):
+        parts.setdefault(r["model"], {}).setdefault(r["node"], []).append(tuple(r[c] for c in COLUMNS))
+    for m, *_ in work:
+        growing[m].graft(parts.get(m, {}))
 
 
 def _stored(rows: DataFrame, growing: Sequence[_Growing], width: int) -> DataFrame:
@@ -365,12 +474,16 @@ def fit(binned: Binned, specs: Sequence[Spec]) -> list[Booster]:
     rows, width = binned.rows, len(binned.features)
     if not width:
         raise ValueError("a model needs features")
-    growing = [_Growing(s, width) for s in specs]
+    n = rows.count()
+    growing = [_Growing(s, width, n) for s in specs]
     while not all(one.done for one in growing):
-        best = _level(rows, growing, width)
-        for m, one in enumerate(growing):
-            if not one.done:
-                one.take(best.get(m, {}), binned.cuts)
+        active = [one for one in growing if not one.done]
+        if any(one.large for one in active):
+            _pass(rows, growing, width)
+        if any(one.small and not one.large for one in active):
+            _finish(rows, growing, width)
+        for one in active:
+            one.close(binned.cuts)
         if any(len(one.trees) - one.stored >= STORE_AFTER for one in growing if not one.done):
             rows = _stored(rows, growing, width)
     return [Booster(binned.features, tuple(one.trees)) for one in growing]
