@@ -296,6 +296,7 @@ BODIES: dict[str, str] = {
     "churn_label": "SELECT * FROM labels",
     "no_sales_streak": "SELECT * FROM streak",
     "account_windows": "SELECT * FROM windows",
+    "lifecycle_incremental": "SELECT * FROM windows",
     "account_window_sales": "SELECT * FROM wsales",
     "purchase_interval": "SELECT * FROM intervals",
     "account_age": "SELECT * FROM ages",

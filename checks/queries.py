@@ -20,6 +20,7 @@ from tidewatch.operators import widen as wd
 from tidewatch.plans import attribution as at
 from tidewatch.plans import evaluation as ev
 from tidewatch.plans import features as ft
+from tidewatch.plans import incremental
 from tidewatch.plans import jobs
 from tidewatch.plans import scoring as sc
 from tidewatch.plans import training as tr
@@ -294,6 +295,18 @@ def account_windows(x: Inputs):
     return x.life.windows
 
 
+@query(WINDOW_SHAPE)
+def lifecycle_incremental(x: Inputs):
+    """Windows after three deltas: early lines, most others, and late ones of any date; the second comes twice."""
+    sales, path = x.catalog.unrestricted("sales_data"), work_dir(x.spark, "lifecycle")
+    late = F.pmod(F.xxhash64("invoice_number", "dealer_code"), F.lit(10)) == 0
+    early = F.coalesce(F.year("invoice_date") < 1996, F.lit(False))
+    deltas = {"early": early & ~late, "most": ~early & ~late, "again": ~early & ~late, "late": late}
+    for name, condition in deltas.items():
+        incremental.apply_delta(x.spark, path, sales.where(condition), x.accounts, x.settings, name.replace("again", "most"))
+    return incremental.read_windows(x.spark, path)
+
+
 @query("dealer_code:s invoice_date:t period:s ndp_value:d invoice_number:s volume:d churn_status:s "
        "last_billed_days:i threshold_start_date:t threshold_end_date:t")
 def account_window_sales(x: Inputs):

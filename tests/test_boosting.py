@@ -193,3 +193,24 @@ def test_search_shares_fits_and_goes_on_from_stored_scores(spark, data, tmp_path
     assert tr.search(train, NAMES, points, SETTINGS, resume=broken).n_fits == 0
     other = data.drop("w").where("dealer_code <> '7'")  # other rows: stored scores do not count
     assert tr.search(other, NAMES, points[:1], SETTINGS, resume=broken).n_fits == 3
+
+
+def test_contributions_of_short_and_long_paths(monkeypatch):
+    """Leaves looked up by outcome and leaves worked out a row at a time give the same sums."""
+    rng = np.random.default_rng(5)
+    x = rng.integers(0, 32, (3000, 12), dtype=np.uint8)
+    g = (x[:, 0] > x[:, 1]) * 1.0 - (x[:, 2] > 9) * (x[:, 3] > x[:, 4]) + rng.normal(size=3000)
+    nodes = bt.grow(x, g, np.full(3000, 0.25), np.arange(12), {**bt.DEFAULTS, "max_depth": 9}, 0)
+    for row in nodes:
+        row[2] = float(row[1])
+    model = bt.Booster(tuple("abcdefghijkl"), (bt._tree(nodes),))
+    leaves = trees.read_leaves(model)
+    assert max(len(leaf.features) for leaf in leaves) > trees.SHORT > min(len(leaf.features) for leaf in leaves)
+    some = x[:700].astype(float)
+    phi = trees.contributions_of(leaves, some)
+    assert phi.sum(axis=1) + trees.base_value(leaves) == pytest.approx(model.margins(some), abs=1e-9)
+    monkeypatch.setattr(trees, "SHORT", 0)
+    assert trees.contributions_of(leaves, some) == pytest.approx(phi, abs=1e-12)
+    monkeypatch.setattr(trees, "CELLS", 1000)
+    assert trees.contributions_of(leaves, some) == pytest.approx(phi, abs=1e-12)
+    assert trees.contributions_of([], some).tolist() == np.zeros(some.shape).tolist()

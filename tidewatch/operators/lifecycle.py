@@ -109,14 +109,14 @@ def _label(last: DataFrame, reference: Column, settings: Settings) -> DataFrame:
     return last.withColumn("last_billed_days", days).withColumn("churn_status", status)
 
 
-def _activity(months: DataFrame) -> DataFrame:
-    """Latest invoice and longest inactive run per account, from account months.
+def _activity(months: DataFrame, axis: Column | None = None) -> DataFrame:
+    """Latest invoice and longest inactive run per account, from account months and all accounts' axis.
 
     A run of missing months shows as a jump between the axis positions of two
     consecutive active months; the runs before the first and after the last
     active month are jumps too.  Of equally long runs the earliest wins.
     """
-    indexed = months.withColumn("axis", month_axis(months)).withColumn(
+    indexed = months.withColumn("axis", month_axis(months) if axis is None else axis).withColumn(
         "idx", F.array_position("axis", F.col("month"))
     )
     # Months that are null carry a latest invoice but no axis position.
@@ -150,9 +150,9 @@ def no_sales_streak(months: DataFrame) -> DataFrame:
     return _activity(months).select("dealer_code", "max_no_sales_streak", "max_streak_start_period")
 
 
-def account_lifecycle(months: DataFrame, reference: Column, settings: Settings) -> DataFrame:
-    """Label, inactive run and analysis window of every account."""
-    labelled = _label(_activity(months), reference, settings)
+def account_lifecycle(months: DataFrame, reference: Column, settings: Settings, axis: Column | None = None) -> DataFrame:
+    """Label, inactive run and analysis window of every account; ``axis`` is given where ``months`` has some accounts only."""
+    labelled = _label(_activity(months, axis), reference, settings)
     return with_windows(labelled, reference, settings)
 
 
