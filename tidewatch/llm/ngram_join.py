@@ -169,17 +169,17 @@ def _row() -> Column:
 
 
 def signatures(docs: DataFrame) -> DataFrame:
-    """doc_id, row hash, n_shingles, node (the set's 64-bit hash) and keys; a set that its task has met has no keys again."""
+    """doc_id, row hash, n_shingles, node (the set's 64-bit hash), sketch and keys; a set that its task has met has no keys again."""
 
     def make():
         met: set[int] = set()
 
         def work(batch):
-            sizes, nodes, keys, ends = [], [], [], [0]
+            sizes, nodes, sketches, keys, ends = [], [], [], [], [0]
             for text in batch.column("text").to_pylist():
                 s = shingle_set(text)
                 node = _class_name(s)
-                sizes.append(len(s)), nodes.append(node)
+                sizes.append(len(s)), nodes.append(node), sketches.append(sketch(s).tobytes())
                 if node not in met:
                     met.add(node)
                     keys.append(join_keys(s))
@@ -188,31 +188,31 @@ def signatures(docs: DataFrame) -> DataFrame:
                     ends.append(ends[-1])
             values = np.concatenate(keys) if keys else np.zeros(0, dtype=np.int64)
             lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values, pa.int64()))
-            return {"doc_id": batch.column("doc_id"), "row": batch.column("row"), "n_shingles": sizes, "node": nodes, "keys": lists}
+            return {"doc_id": batch.column("doc_id"), "row": batch.column("row"), "n_shingles": sizes, "node": nodes, "sketch": sketches,
+                    "keys": lists}
 
         return work
 
     return map_batches(docs.select(F.col("doc_id").cast("bigint"), "text", _row().alias("row")), make,
-                       "doc_id bigint, row bigint, n_shingles bigint, node bigint, keys array<bigint>")
+                       "doc_id bigint, row bigint, n_shingles bigint, node bigint, sketch binary, keys array<bigint>")
 
 
 def _sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """node, n, its shingles as bytes and their sketch, for ``nodes`` (node, row): row is one row's hash."""
+    """node and its shingles as bytes, for ``nodes`` (node, row): row is one row's hash."""
     rows = docs.select(_row().alias("row"), "text").join(nodes, "row").dropDuplicates(["row", "node"]).select("node", "text")
 
     def make():
         def work(batch):
-            out = {"node": [], "n": [], "shingles": [], "sketch": []}
+            out = {"node": [], "shingles": []}
             for node, text in zip(batch.column("node").to_pylist(), batch.column("text").to_pylist()):
                 s = shingle_set(text)
                 if _class_name(s) == node:
-                    for name, value in zip(out, (node, len(s), s.tobytes(), sketch(s).tobytes())):
-                        out[name].append(value)
+                    out["node"].append(node), out["shingles"].append(s.tobytes())
             return out
 
         return work
 
-    return map_batches(rows, make, "node bigint, n bigint, shingles binary, sketch binary")
+    return map_batches(rows, make, "node bigint, shingles binary")
 
 
 def similar(x: np.ndarray, y: np.ndarray) -> bool:
@@ -226,7 +226,6 @@ def similar(x: np.ndarray, y: np.ndarray) -> bool:
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """Pairs (a, b) whose full sets are similar.  A hub with many members is dealt to several tasks, with copies of its set."""
     parts = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / HUB_PART).cast("int").alias("parts"))
-    sets = sets.select("node", "shingles")
     hubs = (sets.toDF("a", "set_a").join(parts, "a")
             .withColumn("part", F.explode(F.expr("sequence(0, parts - 1)"))).drop("parts"))
     several = parts.where("parts > 1")
@@ -291,9 +290,9 @@ def settle(pdf: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
 
-def _sketched(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def _sketched(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     """Pairs (a, b) that sizes and sketches allow to be similar."""
-    narrow = sets.select("node", "n", "sketch")
+    narrow = classes.select("node", "n", "sketch")
     rows = pairs.join(narrow.toDF("b", "n_b", "sketch_b"), "b").join(narrow.toDF("a", "n_a", "sketch_a"), "a")
 
     def make():
@@ -328,7 +327,7 @@ def _open_members(members: DataFrame, labels: DataFrame) -> DataFrame:
             .select("key", "hub", "node", F.coalesce("label", "node").alias("label"), "size"))
 
 
-def _rest(members: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFrame:
+def _rest(docs: DataFrame, members: DataFrame, labels: DataFrame, classes: DataFrame) -> DataFrame:
     """Links that the stars may have missed between differently labelled members of a key.
 
     Members of a short key meet as pairs.  Those of long ones meet by hub, because near copies share a hub under most of their
@@ -338,19 +337,29 @@ def _rest(members: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFrame:
     few = rows.where(f"size <= {FEW}").select("key", "node", "label")
     pairs = (few.join(few.toDF("key", "other", "other_label"), "key").where("node < other AND label <> other_label")
              .select(F.col("node").alias("a"), F.col("other").alias("b")).distinct())
-    close = stage(_sketched(pairs, sets), "close")
+    close = stage(_sketched(pairs, classes), "close")
 
-    many = rows.where(f"size > {FEW}").select("hub", "node", "label").distinct().join(sets.select("node", "n"), "node")
+    many = rows.where(f"size > {FEW}").select("hub", "node", "label").distinct()
+    many = stage(many.join(classes.select("node", "n", "sketch"), "node"), "many")
+    sets = stage(_sets(docs, _located(classes, close.select("a"), close.select("b"), many.select("node"))), "open-sets")
     parts = many.groupBy("hub").agg(F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK_MEMBERS), F.ceil(F.sum("n") / BLOCK_SHINGLES))
                                     .cast("int").alias("parts"))
     part = F.pmod(F.xxhash64("node", F.lit(7)), F.col("parts")).cast("int")
-    dealt = many.join(parts, "hub").select("hub", "node", "label", part.alias("p"),
+    dealt = many.join(parts, "hub").select("hub", "node", "label", "n", "sketch", part.alias("p"),
                                            F.explode(F.expr("sequence(0, parts - 1)")).alias("q"))
-    dealt = (dealt.select("hub", "node", "label", F.least("p", "q").alias("i"), F.greatest("p", "q").alias("j"))
+    dealt = (dealt.select("hub", "node", "label", "n", "sketch", F.least("p", "q").alias("i"), F.greatest("p", "q").alias("j"))
              .join(sets, "node"))
     return _verified(close, sets).union(dealt.groupBy("hub", "i", "j").applyInPandas(settle, "a bigint, b bigint"))
 
 
+def _located(classes: DataFrame, *nodes: DataFrame) -> DataFrame:
+    """node and row of the given nodes."""
+    wanted = nodes[0].toDF("node")
+    for some in nodes[1:]:
+        wanted = wanted.union(some)
+    return classes.select("node", "row").join(wanted.distinct(), "node")
+
+
 def join_documents(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles and component_id of every row of ``docs`` (doc_id, text)."""
     spark = docs.sparkSession
@@ -365,12 +374,13 @@ def join_documents(docs: DataFrame) -> DataFrame:
         members = write_once(met, places["members"])
         signed = write_once(keyed.drop("keys"), places["rows"])
     pairs = stage(members.select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct(), "join-pairs")
-    classes = signed.groupBy("node").agg(F.min("row").alias("row"), F.min("doc_id").alias("least"))
-    met = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    sets = stage(_sets(docs, classes.join(met, "node").select("node", "row")), "join-sets")
-
-    links = stage(_verified(stage(_sketched(pairs, sets), "join-close"), sets), "join-links")
-    more = stage(_rest(members, components(links), sets), "join-more")
+    classes = stage(signed.groupBy("node").agg(F.min("row").alias("row"), F.min("doc_id").alias("least"),
+                                               F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch")), "join-classes")
+    # Texts are read again for those sets only that sizes and sketches leave.
+    close = stage(_sketched(pairs, classes), "join-close")
+    sets = stage(_sets(docs, _located(classes, close.select("a"), close.select("b"))), "join-sets")
+    links = stage(_verified(close, sets), "join-links")
+    more = stage(_rest(docs, members, components(links), classes), "join-more")
     named = components(links.union(more))
     leaders = (named.join(classes.select("node", "least"), "node").groupBy("component")
                .agg(F.min("least").alias("leader")))
