@@ -2,7 +2,8 @@
 
 Every stage takes (spark, docs, sf_dir) and returns the columns of ``documents``; the last returns packed pieces.
 Other columns of the input are left behind.  Empty tables pass through all stages; nulls are treated as the
-operators describe: a null text fails the quality rules, a row without doc_id is never a duplicate.
+operators describe: a null text fails the quality rules, a row without doc_id is never a duplicate.  Very long texts pass all
+stages whole; of repeated rows one stays, and ties between near-duplicates go to the smallest doc_id.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.llm import decontaminate, line_dedup, near_dup, packing, quality_rules
 from tidewatch.llm.common import table, tuned
-from tidewatch.session import stage
+from tidewatch.session import job_folder, stage, work_dir, write_once
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 TOKENIZER = "word_bpe_49k.json"
@@ -66,5 +67,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``: one row per packed piece."""
     docs = table(tuned(spark), sf_dir, "documents")
     for name, step in STAGES:
-        docs = stage(step(tuned(spark), docs, sf_dir), name)
+        place = work_dir(spark, name)
+        with job_folder(spark, f"{name}-work"):  # what a stage wrote on its way goes when its rows are written
+            docs = write_once(step(tuned(spark), docs, sf_dir), place)
     return docs
