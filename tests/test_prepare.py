@@ -130,6 +130,29 @@ def test_quality_and_profile(spark):
     assert (profile["t"]["unique_values"], profile["t"]["min_value"]) == (1, None)
 
 
+def test_quality_report_by_fingerprint(spark):
+    """Repeats and nulls of a wide frame against groups of whole rows; only fingerprints are shuffled."""
+    import random
+
+    rng = random.Random(3)
+    names = [f"c{k}" for k in range(70)]
+    rows = [tuple(rng.choice([None, "x", "y"]) if k in (0, 1, 68, 69) else "same" for k in range(70)) for _ in range(300)]
+    rows += [(None, "x", *["same"] * 66, "x", None), ("x", None, *["same"] * 66, None, "x")] * 2
+    df = spark.createDataFrame(rows, ", ".join(f"{n} string" for n in names))
+    got = {r["column_name"]: r for r in pf.quality_report(df).collect()}
+    for k, name in enumerate(names):
+        assert got[name]["null_count"] == sum(r[k] is None for r in rows)
+    one = got["c0"]
+    assert (one["n_rows"], one["n_columns"], one["duplicate_rows"]) == (304, 70, 304 - len(set(rows)))
+    text = pf.quality_report(df)._jdf.queryExecution().executedPlan().toString()
+    for line in text.splitlines():
+        if "Exchange" in line:
+            assert "c0" not in line and "c69" not in line
+    numbers = spark.createDataFrame([(0.0, float("nan")), (-0.0, float("nan")), (1.0, None)], "a double, b double")
+    assert pf.quality_report(numbers).first()["duplicate_rows"] == 1
+    assert pf.quality_report(numbers.limit(0)).first()["n_rows"] == 0
+
+
 def test_required_columns(spark):
     df = spark.range(1)
     assert pf.require_columns(df, ["id"]) is df

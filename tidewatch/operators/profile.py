@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from functools import reduce
 from typing import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -43,20 +44,39 @@ def group_summary(df: DataFrame, group: str, columns: Sequence[str]) -> DataFram
     return df.filter(_c(group).isNotNull()).groupBy(group).agg(*parts)
 
 
+def null_masks(columns: Sequence[str]) -> list[Column]:
+    """One bit per column that is null, 63 columns a number."""
+    masks = []
+    for a in range(0, len(columns), 63):
+        bits = [F.when(_c(c).isNull(), F.lit(1 << k)).otherwise(F.lit(0)).cast("bigint") for k, c in enumerate(columns[a:a + 63])]
+        masks.append(reduce(lambda x, y: x.bitwiseOR(y), bits))
+    return masks
+
+
+def fingerprint(df: DataFrame) -> DataFrame:
+    """``_f1`` and ``_f2``, 128 bits that tell rows apart, and the null masks ``_m0``, ``_m1``, ...
+
+    Hashes pass over nulls, so the masks are hashed as well: a value and a null may not trade places unseen.
+    """
+    masks = null_masks(df.columns)
+    columns = [_c(c) for c in df.columns]
+    return df.select(F.xxhash64(*masks, *columns).alias("_f1"), F.xxhash64(F.lit(7), *reversed(columns), *masks).alias("_f2"),
+                     *[m.alias(f"_m{k}") for k, m in enumerate(masks)])
+
+
 def quality_report(df: DataFrame) -> DataFrame:
     """Row count, column count, repeated rows, and one row per column with its nulls.
 
-    One pass: grouping on all columns combines equal rows map-side, so a row
-    that repeats very often costs one row per task.
+    One pass over fingerprints: equal ones are counted map-side, so a row that repeats very often costs one row per
+    task, and what is shuffled does not grow with the width of a row but for a bit a column.
     """
-    grouped = df.groupBy(*[_c(c) for c in df.columns]).agg(F.count(F.lit(1)).alias("_n"))
+    prints = fingerprint(df)
+    grouped = prints.groupBy(*prints.columns).agg(F.count(F.lit(1)).alias("_n"))
+    nulls = [F.col(f"_m{i // 63}").bitwiseAND(F.lit(1 << (i % 63))) != 0 for i in range(len(df.columns))]
     stats = grouped.agg(
-        F.sum("_n").alias("n_rows"),
-        (F.sum("_n") - F.count(F.lit(1))).alias("duplicate_rows"),
-        *[
-            F.sum(F.when(_c(f.name).isNull(), F.col("_n")).otherwise(0)).alias(f"_null_{i}")
-            for i, f in enumerate(df.schema.fields)
-        ],
+        F.coalesce(F.sum("_n"), F.lit(0)).alias("n_rows"),
+        (F.coalesce(F.sum("_n"), F.lit(0)) - F.count(F.lit(1))).alias("duplicate_rows"),
+        *[F.coalesce(F.sum(F.when(null, F.col("_n")).otherwise(0)), F.lit(0)).alias(f"_null_{i}") for i, null in enumerate(nulls)],
     )
     rows = F.array(
         *[
