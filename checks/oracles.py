@@ -464,6 +464,7 @@ BODIES: dict[str, str] = {
     "grid_search_check": """
         SELECT '{"learning_rate": ' || r || ', "max_depth": 2, "n_estimators": ' || n || '}' AS params, 1 AS equal
         FROM (SELECT unnest(['0.1', '0.3']) AS r), (SELECT unnest([2, 4, 8]) AS n)""",
+    "profile_sketch_check": "SELECT column_name, 1 AS within FROM (DESCRIBE SELECT * FROM sales_data)",
     "score_loaded_check": "SELECT dealer_code, 1 AS equal FROM features WHERE last_billed_days <= 365",
     "prediction_csv_roundtrip": "SELECT dealer_code, predicted_churn, churn_probability, risk_category FROM results",
     "daily_rerun_check": "SELECT dealer_code, 2 AS n_rows, 2 AS n_days FROM results",

@@ -16,6 +16,7 @@ from tidewatch.functions import columns as fc
 from tidewatch.operators import joins, prepare as pp, profile as pf
 from tidewatch.operators import lifecycle as lc
 from tidewatch.operators import measures as ms
+from tidewatch.operators import sketches
 from tidewatch.operators import widen as wd
 from tidewatch.plans import attribution as at
 from tidewatch.plans import evaluation as ev
@@ -589,6 +590,40 @@ def column_profile(x: Inputs):
     return pf.column_profile(x.raw["sales_data"])
 
 
+def _daily_profile(x: Inputs) -> DataFrame:
+    """Sketches of the sales lines of every invoice year, stored as load dates and merged."""
+    root, sales = work_dir(x.spark, "profile"), x.raw["sales_data"]
+    years = [r[0] for r in sales.select(F.year("invoice_date")).distinct().orderBy(F.year("invoice_date")).collect()]
+    for year in years:
+        part = sales.where(F.year("invoice_date").eqNullSafe(F.lit(year)))
+        sketches.add_day(x.spark, root, f"{year or 1:04}-12-31", part)
+    return sketches.read_profile(x.spark, root)
+
+
+@query()
+def profile_sketch(x: Inputs):
+    return _daily_profile(x)
+
+
+@query("column_name:s within:i")
+def profile_sketch_check(x: Inputs):
+    """Counts and bounds equal the exact profile; different values and quartiles lie within the stated errors of the exact ones."""
+    sales, merged = x.raw["sales_data"], stage(_daily_profile(x), "merged-profile")
+    exact = pf.column_profile(sales).withColumnsRenamed({"null_count": "nulls", "min_value": "low", "max_value": "high"}).drop("data_type")
+    both = merged.join(exact, "column_name", "full")
+    equal = F.col("null_count").eqNullSafe(F.col("nulls")) & F.col("min_value").eqNullSafe(F.col("low")) & F.col("max_value").eqNullSafe(F.col("high"))
+    near = F.abs(F.col("distinct_values") - F.col("unique_values")) <= sketches.DISTINCT_ERROR * F.col("unique_values")
+    numbers = pf.numeric_columns(sales)
+    asked = {"q1": 0.25, "median": 0.5, "q3": 0.75}
+    found = {r["column_name"]: r for r in merged.where(F.col("column_name").isin(numbers)).collect()}  # one row per column
+    ranks = sales.agg(*[
+        (F.count_if(F.col(c) < found[c][q]) / F.count(c) <= r + sketches.RANK_ERROR).alias(f"{c} {q} low") for c in numbers for q, r in asked.items()
+    ] + [(F.count_if(F.col(c) <= found[c][q]) / F.count(c) >= r - sketches.RANK_ERROR).alias(f"{c} {q} high") for c in numbers for q, r in asked.items()]).first()
+    good = [c for c in numbers if all(ranks[f"{c} {q} {side}"] for q in asked for side in ("low", "high"))]
+    ranked = ~F.col("column_name").isin(numbers) | F.col("column_name").isin(good)
+    return both.select("column_name", F.coalesce((equal & near & ranked).cast("int"), F.lit(0)).alias("within"))
+
+
 @query("account_month:s column_name:s value:d")
 def iqr_outliers(x: Inputs):
     keyed = x.monthly.withColumn(

@@ -27,7 +27,7 @@ def duck():
 
 
 def test_every_sql_key_is_a_query():
-    assert set(ORACLES) <= set(QUERIES) and len(QUERIES) == 104
+    assert set(ORACLES) <= set(QUERIES) and len(QUERIES) == 106
     assert set(entry_points.oracle_sql()) <= set(entry_points.queries())
     assert set(QUERIES) <= set(entry_points.queries())
 
