@@ -353,11 +353,11 @@ def _rest(docs: DataFrame, members: DataFrame, labels: DataFrame, classes: DataF
 
 
 def _located(classes: DataFrame, *nodes: DataFrame) -> DataFrame:
-    """node and row of the given nodes."""
+    """node and row of the given nodes, stored: Spark then knows their size before it decides whether whole texts must move."""
     wanted = nodes[0].toDF("node")
     for some in nodes[1:]:
         wanted = wanted.union(some)
-    return classes.select("node", "row").join(wanted.distinct(), "node")
+    return stage(classes.select("node", "row").join(wanted.distinct(), "node"), "join-located")
 
 
 def join_documents(docs: DataFrame) -> DataFrame:
