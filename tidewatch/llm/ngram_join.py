@@ -327,11 +327,12 @@ def _open_members(members: DataFrame, labels: DataFrame) -> DataFrame:
             .select("key", "hub", "node", F.coalesce("label", "node").alias("label"), "size"))
 
 
-def _rest(docs: DataFrame, members: DataFrame, labels: DataFrame, classes: DataFrame) -> DataFrame:
+def _rest(docs: DataFrame, members: DataFrame, labels: DataFrame, classes: DataFrame, places: dict[str, str]) -> DataFrame:
     """Links that the stars may have missed between differently labelled members of a key.
 
     Members of a short key meet as pairs.  Those of long ones meet by hub, because near copies share a hub under most of their
-    keys, in blocks of bounded size that hold the sets.
+    keys, in blocks of bounded size that hold the sets.  Both are written one after the other, so that only one of them
+    has sets in shuffle files at a time.
     """
     rows = stage(_open_members(members, labels), "open")
     few = rows.where(f"size <= {FEW}").select("key", "node", "label")
@@ -349,7 +350,8 @@ def _rest(docs: DataFrame, members: DataFrame, labels: DataFrame, classes: DataF
                                            F.explode(F.expr("sequence(0, parts - 1)")).alias("q"))
     dealt = (dealt.select("hub", "node", "label", "n", "sketch", F.least("p", "q").alias("i"), F.greatest("p", "q").alias("j"))
              .join(sets, "node"))
-    return _verified(close, sets).union(dealt.groupBy("hub", "i", "j").applyInPandas(settle, "a bigint, b bigint"))
+    short = write_once(_verified(close, sets), places["short"])
+    return short.union(write_once(dealt.groupBy("hub", "i", "j").applyInPandas(settle, "a bigint, b bigint"), places["long"]))
 
 
 def _located(classes: DataFrame, *nodes: DataFrame) -> DataFrame:
@@ -363,7 +365,7 @@ def _located(classes: DataFrame, *nodes: DataFrame) -> DataFrame:
 def join_documents(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles and component_id of every row of ``docs`` (doc_id, text)."""
     spark = docs.sparkSession
-    places = {label: work_dir(spark, f"join-{label}") for label in ("members", "rows")}
+    places = {label: work_dir(spark, f"join-{label}") for label in ("members", "rows", "links", "short", "long")}
     with job_folder(spark, "join-keys"):  # the keys are the largest table: they go once members have met
         keyed = stage(signatures(docs), "keys")
         within = Window.partitionBy("key").orderBy("node")
@@ -377,10 +379,13 @@ def join_documents(docs: DataFrame) -> DataFrame:
     classes = stage(signed.groupBy("node").agg(F.min("row").alias("row"), F.min("doc_id").alias("least"),
                                                F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch")), "join-classes")
     # Texts are read again for those sets only that sizes and sketches leave.
-    close = stage(_sketched(pairs, classes), "join-close")
-    sets = stage(_sets(docs, _located(classes, close.select("a"), close.select("b"))), "join-sets")
-    links = stage(_verified(close, sets), "join-links")
-    more = stage(_rest(docs, members, components(links), classes), "join-more")
+    with job_folder(spark, "join-stars"):  # sets go once they are compared
+        close = stage(_sketched(pairs, classes), "join-close")
+        sets = stage(_sets(docs, _located(classes, close.select("a"), close.select("b"))), "join-sets")
+        links = write_once(_verified(close, sets), places["links"])
+    labels = components(links)
+    with job_folder(spark, "join-open"):
+        more = _rest(docs, members, labels, classes, places)
     named = components(links.union(more))
     leaders = (named.join(classes.select("node", "least"), "node").groupBy("component")
                .agg(F.min("least").alias("leader")))
