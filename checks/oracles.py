@@ -298,6 +298,7 @@ BODIES: dict[str, str] = {
     "account_windows": "SELECT * FROM windows",
     "lifecycle_incremental": "SELECT * FROM windows",
     "account_window_sales": "SELECT * FROM wsales",
+    "window_sales_by_month": "SELECT * FROM wsales",
     "purchase_interval": "SELECT * FROM intervals",
     "account_age": "SELECT * FROM ages",
     "monthly_sales": "SELECT * FROM monthly",

@@ -27,7 +27,7 @@ from tidewatch.plans import scoring as sc
 from tidewatch.plans import training as tr
 from tidewatch.session import stage, tune, work_dir
 from tidewatch.settings import PIVOT_MEASURES
-from tidewatch.sources import contracts, sinks, versions
+from tidewatch.sources import contracts, months, sinks, versions
 from tidewatch.sources import tables as tb
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -314,6 +314,16 @@ def account_window_sales(x: Inputs):
     return x.life.window_sales
 
 
+@query("dealer_code:s invoice_date:t period:s ndp_value:d invoice_number:s volume:d churn_status:s "
+       "last_billed_days:i threshold_start_date:t threshold_end_date:t")
+def window_sales_by_month(x: Inputs):
+    """Window sales from lines stored by month: only months that some window reaches are read."""
+    path = work_dir(x.spark, "sales-months")
+    schema = months.store_by_month(x.staged_life.closed, path)
+    windows = x.staged_life.windows
+    return lc.account_window_sales(months.read_months(x.spark, path, schema, months.window_months(windows)), windows)
+
+
 @query("dealer_code:s avg_days_between_purchase:d")
 def purchase_interval(x: Inputs):
     return lc.purchase_interval(x.life.window_days)
