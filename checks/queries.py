@@ -600,25 +600,34 @@ def column_profile(x: Inputs):
     return pf.column_profile(x.raw["sales_data"])
 
 
-def _daily_profile(x: Inputs) -> DataFrame:
+def _sales_by_year(x: Inputs) -> DataFrame:
+    """All sales lines, written once in a folder for each invoice year, so that a year is read without the others."""
+    path, sales = work_dir(x.spark, "sales-by-year"), x.raw["sales_data"]
+    by_year = sales.withColumn("_year", F.year("invoice_date"))
+    by_year.write.partitionBy("_year").parquet(path)
+    return x.spark.read.schema(by_year.schema).parquet(path)
+
+
+def _daily_profile(x: Inputs, sales: DataFrame) -> DataFrame:
     """Sketches of the sales lines of every invoice year, stored as load dates and merged."""
-    root, sales = work_dir(x.spark, "profile"), x.raw["sales_data"]
-    years = [r[0] for r in sales.select(F.year("invoice_date")).distinct().orderBy(F.year("invoice_date")).collect()]
+    root = work_dir(x.spark, "profile")
+    years = [r[0] for r in sales.select("_year").distinct().orderBy("_year").collect()]
     for year in years:
-        part = sales.where(F.year("invoice_date").eqNullSafe(F.lit(year)))
+        part = sales.where(F.col("_year").eqNullSafe(F.lit(year))).drop("_year")
         sketches.add_day(x.spark, root, f"{year or 1:04}-12-31", part)
     return sketches.read_profile(x.spark, root)
 
 
 @query()
 def profile_sketch(x: Inputs):
-    return _daily_profile(x)
+    return _daily_profile(x, _sales_by_year(x))
 
 
 @query("column_name:s within:i")
 def profile_sketch_check(x: Inputs):
     """Counts and bounds equal the exact profile; different values and quartiles lie within the stated errors of the exact ones."""
-    sales, merged = x.raw["sales_data"], stage(_daily_profile(x), "merged-profile")
+    by_year = _sales_by_year(x)
+    sales, merged = by_year.drop("_year"), stage(_daily_profile(x, by_year), "merged-profile")
     exact = pf.column_profile(sales).withColumnsRenamed({"null_count": "nulls", "min_value": "low", "max_value": "high"}).drop("data_type")
     both = merged.join(exact, "column_name", "full")
     equal = F.col("null_count").eqNullSafe(F.col("nulls")) & F.col("min_value").eqNullSafe(F.col("low")) & F.col("max_value").eqNullSafe(F.col("high"))
