@@ -799,11 +799,9 @@ def explanations(x: Inputs):
 def explanations_json(x: Inputs):
     stored = at.maps_to_json(at.explanations(x.linear, x.settings))
     loaded = at.maps_from_json(stored)
-    rows = [
-        loaded.select("dealer_code", F.lit(c).alias("kind"), F.posexplode(c).alias("position", "feature", "impact"))
-        for c in at.MAP_COLUMNS
-    ]
-    return rows[0].unionByName(rows[1]).unionByName(rows[2])
+    maps = F.array(*[F.struct(F.lit(c).alias("kind"), F.col(c).alias("impacts")) for c in at.MAP_COLUMNS])
+    kinds = loaded.select("dealer_code", F.explode(maps).alias("m")).select("dealer_code", "m.kind", "m.impacts")
+    return kinds.select("dealer_code", "kind", F.posexplode("impacts").alias("position", "feature", "impact"))
 
 
 @query("feature:s mean_abs_contribution:r")

@@ -42,6 +42,13 @@ def test_streak_leading_and_trailing_gap(spark):
     assert got["tail"] == (4, dt.date(2023, 5, 1))
 
 
+def test_rows_are_ordered_without_the_month_axis(spark):
+    months = lc.account_months(sales_frame(spark, [("a", month_day(m), 1.0) for m in (1, 4)] + [("b", month_day(2), 1.0)]))
+    plan = lc.no_sales_streak(months)._jdf.queryExecution().optimizedPlan()
+    windows = [line for line in plan.toString().splitlines() if "axis#" in line and "max(axis" not in line and "array_sort" not in line]
+    assert windows == []
+
+
 def test_month_nobody_sold_in_is_no_gap(spark):
     got = streaks(spark, [("a", month_day(1), 1.0), ("a", month_day(3), 1.0), ("b", month_day(3), 1.0)])
     assert got == {"a": (0, None), "b": (1, dt.date(2023, 1, 1))}

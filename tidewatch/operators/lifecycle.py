@@ -116,9 +116,9 @@ def _activity(months: DataFrame, axis: Column | None = None) -> DataFrame:
     consecutive active months; the runs before the first and after the last
     active month are jumps too.  Of equally long runs the earliest wins.
     """
-    indexed = months.withColumn("axis", month_axis(months) if axis is None else axis).withColumn(
-        "idx", F.array_position("axis", F.col("month"))
-    )
+    # The axis is one value for all rows: kept out of them, it does not widen what is sorted.
+    axis = month_axis(months) if axis is None else axis
+    indexed = months.withColumn("idx", F.array_position(axis, F.col("month")))
     # Months that are null carry a latest invoice but no axis position.
     by_account = Window.partitionBy("dealer_code").orderBy(F.col("idx").asc_nulls_first())
     previous = F.coalesce(F.lag("idx").over(by_account), F.lit(0))
@@ -129,17 +129,16 @@ def _activity(months: DataFrame, axis: Column | None = None) -> DataFrame:
         F.max("last_in_month").alias("last_invoice_date"),
         F.max(F.when(F.col("idx").isNotNull(), F.col("inner_run"))).alias("inner_run"),
         F.coalesce(F.max("idx"), F.lit(0)).alias("last_idx"),
-        F.first("axis").alias("axis"),
     )
     tail = F.struct(
-        (F.size("axis") - F.col("last_idx")).alias("gap"), (-(F.col("last_idx") + 1)).alias("order")
+        (F.size(axis) - F.col("last_idx")).alias("gap"), (-(F.col("last_idx") + 1)).alias("order")
     )
     best = F.greatest(F.coalesce("inner_run", tail), tail)
     return rolled.withColumn("best", best).select(
         "dealer_code",
         "last_invoice_date",
         F.col("best.gap").cast("int").alias("max_no_sales_streak"),
-        F.when(F.col("best.gap") > 0, F.try_element_at("axis", (-F.col("best.order")).cast("int"))).alias(
+        F.when(F.col("best.gap") > 0, F.try_element_at(axis, (-F.col("best.order")).cast("int"))).alias(
             "max_streak_start_period"
         ),
     )
