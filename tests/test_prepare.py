@@ -103,6 +103,19 @@ def test_split_is_disjoint_complete_and_stable(spark):
     assert split.exceptAll(again).count() == 0
 
 
+def test_stored_rows_are_split_alike_without_being_written_again(spark, monkeypatch):
+    df = spark.createDataFrame([(str(i // 2), i % 3 if i % 3 < 2 else None, "x" * 50) for i in range(300)],
+                               "dealer_code string, churn_status int, wide string")
+    ranked = pp.with_class_rank(df, SETTINGS.seed)
+    test = F.col("_rank") < F.round(F.lit(SETTINGS.test_share) * F.col("_size"))
+    by_rank = ranked.select("dealer_code", "churn_status", F.when(test, "test").otherwise("train").alias("dataset"))
+    written = []
+    monkeypatch.setattr(pp, "stage", lambda rows, label: written.append(label) or rows)
+    split = pp.with_split(df, SETTINGS, stored=True)
+    assert written == [] and split.columns == [*df.columns, "dataset"]
+    assert sorted(map(str, split.drop("wide").collect())) == sorted(map(str, by_rank.collect()))
+
+
 def test_coercion(spark):
     df = spark.createDataFrame([("12",), ("x",), ("",), (None,), (" 3.5 ",)], "t string")
     assert [r[0] for r in pf.coerce_numeric(df, ["t"]).collect()] == [12.0, 0.0, 0.0, 0.0, 3.5]
