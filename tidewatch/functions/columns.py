@@ -79,7 +79,7 @@ def previous_month_end(moment: Column) -> Column:
 
 def invoice_key(invoice: Column) -> Column:
     """Invoice number without a decimal suffix (``123.0`` -> ``123``)."""
-    return F.split_part(invoice.cast("string"), F.lit("."), F.lit(1))
+    return F.substring_index(invoice.cast("string"), ".", 1)
 
 
 def number_or_null(value: Column) -> Column:
