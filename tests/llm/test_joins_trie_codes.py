@@ -87,6 +87,25 @@ def test_sketches_never_rule_out_a_link():
         assert not ngram_join.similar(x, y) or ngram_join._may_be_similar(n_x, n_y, ngram_join.sketch(x)[None], ngram_join.sketch(y)[None])[0]
 
 
+def test_sketches_rule_out_large_sets_well_below_the_threshold():
+    """Of which counts in 128 parts left nearly all, so that their texts moved."""
+    numbers = np.random.default_rng(4)
+    for n in (300, 1300, 9000):
+        x = np.unique(numbers.integers(0, 2**64, n, dtype=np.uint64))
+        y = np.unique(np.r_[x[n // 4:], numbers.integers(0, 2**64, n // 4, dtype=np.uint64)])  # similarity 0.6
+        n_x, n_y = np.array([len(x)]), np.array([len(y)])
+        assert not ngram_join._may_be_similar(n_x, n_y, ngram_join.sketch(x)[None], ngram_join.sketch(y)[None])[0]
+
+
+def test_texts_of_wanted_rows_come_and_few_others(spark):
+    docs = frame(spark, [(k, f"text {k}") for k in range(3000)] + [(5, "text 5"), (None, "text 7"), (None, None)])
+    hashed = docs.select("doc_id", "text", ngram_join._row().alias("row"))
+    wanted = hashed.where("doc_id % 100 = 5 OR doc_id IS NULL").select("row").cache()
+    got = ngram_join._texts(docs, wanted).collect()
+    expected = {tuple(r) for r in hashed.join(wanted, "row", "left_semi").select("row", "text").collect()}
+    assert len(expected) == 32 and expected <= {tuple(r) for r in got} and len(got) < 40
+
+
 def test_ngram_join_equals_brute_force(spark):
     rows = crawl()
     same(ngram_join.join_documents(frame(spark, rows)).collect(), joined(rows))

@@ -13,8 +13,8 @@ H + 1 there is one with value v in which the pair differs in less than v places
    empty subsets, which most sets share, are skipped.  Of a pair, the set that stops first guarantees the common key.  A
    set that runs out of segments also emits its empty ones (and a last common key, if even these do not suffice), so two of
    these meet as well.
-4. Under each key the members are linked to the smallest one.  Where sizes, and counts of shingles in 128 parts of the
-   universe, do not rule a link out, it is verified on full sets.  Keys whose members still carry different labels are
+4. Under each key the members are linked to the smallest one.  Where sizes, and parities of the shingles in small
+   parts of the universe, do not rule a link out, it is verified on full sets.  Keys whose members still carry different labels are
    settled exactly: their differently labelled members meet as pairs, or under keys of many in blocks of bounded size, and
    take the same way.  Links between equally labelled sets add nothing to a component.
 
@@ -51,6 +51,8 @@ LIST_COST = (8.0, 1.0)
 FEW = 64
 BLOCK_MEMBERS, BLOCK_SHINGLES = 4096, 1_000_000
 HUB_PART = 2_000
+# Bits of the bitmap of wanted rows, 4 MB at most.
+BITMAP = 1 << 25
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -197,22 +199,18 @@ def signatures(docs: DataFrame) -> DataFrame:
                        "doc_id bigint, row bigint, n_shingles bigint, node bigint, sketch binary, keys array<bigint>")
 
 
-def _sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """node and its shingles as bytes, for ``nodes`` (node, row): row is one row's hash."""
-    rows = docs.select(_row().alias("row"), "text").join(nodes, "row").dropDuplicates(["row", "node"]).select("node", "text")
+def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """row and text of the rows whose hash ``wanted`` (stored) has, and of few others; equal rows once.
 
-    def make():
-        def work(batch):
-            out = {"node": [], "shingles": []}
-            for node, text in zip(batch.column("node").to_pylist(), batch.column("text").to_pylist()):
-                s = shingle_set(text)
-                if _class_name(s) == node:
-                    out["node"].append(node), out["shingles"].append(s.tobytes())
-            return out
-
-        return work
-
-    return map_batches(rows, make, "node bigint, shingles binary")
+    A bitmap of fixed size keeps nearly all other texts from moving; where most rows are wanted, all texts move once.
+    """
+    place = F.pmod("row", F.lit(BITMAP)) + 1
+    bitmap = (wanted.select(F.bitmap_bucket_number(place).alias("bucket"), F.bitmap_bit_position(place).alias("bit"))
+              .repartition("bucket").groupBy("bucket").agg(F.bitmap_construct_agg("bit").alias("bits")))
+    rows = docs.select(_row().alias("row"), "text").withColumns({"bucket": F.bitmap_bucket_number(place), "bit": F.bitmap_bit_position(place)})
+    of_eight = F.conv(F.hex(F.expr("substring(bits, int(bit div 8) + 1, 1)")), 16, 10).cast("int")
+    return (rows.join(F.broadcast(bitmap), "bucket").where(of_eight.bitwiseAND(F.expr("shiftleft(1, int(bit % 8))")) != 0)
+            .select("row", "text").dropDuplicates(["row"]))
 
 
 def similar(x: np.ndarray, y: np.ndarray) -> bool:
@@ -223,52 +221,97 @@ def similar(x: np.ndarray, y: np.ndarray) -> bool:
     return 100 * both >= SIMILAR * (len(x) + len(y) - both)
 
 
-def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Pairs (a, b) whose full sets are similar.  A hub with many members is dealt to several tasks, with copies of its set."""
+def _verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Pairs (a, b; stored) whose full sets are similar.  A hub with many members is dealt to several tasks, with copies of its text.
+
+    Texts go straight to where they are compared, being smaller than sets; a hub comes before its members.
+    """
     parts = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / HUB_PART).cast("int").alias("parts"))
-    hubs = (sets.toDF("a", "set_a").join(parts, "a")
-            .withColumn("part", F.explode(F.expr("sequence(0, parts - 1)"))).drop("parts"))
-    several = parts.where("parts > 1")
     part = F.pmod(F.xxhash64("b"), F.coalesce("parts", F.lit(1))).cast("int")
-    rows = (pairs.join(several, "a", "left").select("a", "b", part.alias("part"))
-            .join(sets.toDF("b", "set_b"), "b").join(hubs, ["a", "part"]))
+    members = pairs.join(parts.where("parts > 1"), "a", "left").select("a", part.alias("part"), F.col("b").alias("node"))
+    hubs = parts.select("a", F.explode(F.expr("sequence(0, parts - 1)")).alias("part"), F.col("a").alias("node"))
+    wanted = stage(members.union(hubs).join(classes.select("node", "row"), "node"), "join-wanted")
+    rows = (_texts(docs, wanted).join(wanted, "row").select("a", "part", "node", "text")
+            .repartition("a", "part").sortWithinPartitions("a", "part", F.col("node") != F.col("a")))
 
     def make():
+        hub, of_hub = None, None
+
         def work(batch):
+            nonlocal hub, of_hub
             out = {"a": [], "b": []}
-            columns = (batch.column(c).to_pylist() for c in ("a", "b", "set_a", "set_b"))
-            for a, b, x, y in zip(*columns):
-                if similar(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)):
-                    out["a"].append(a), out["b"].append(b)
+            for a, part, node, text in zip(*(batch.column(c).to_pylist() for c in ("a", "part", "node", "text"))):
+                s = shingle_set(text)
+                if _class_name(s) != node:
+                    continue
+                if node == a:
+                    hub, of_hub = (a, part), s
+                elif hub == (a, part) and similar(of_hub, s):
+                    out["a"].append(a), out["b"].append(node)
             return out
 
         return work
 
-    return map_batches(rows.select("a", "b", "set_a", "set_b"), make, "a bigint, b bigint")
+    return map_batches(rows, make, "a bigint, b bigint")
 
 
 def sketch(shingles: np.ndarray) -> np.ndarray:
-    """How many shingles fall into each of 128 parts of the universe, at most 255: sets differ in no fewer places than sketches."""
-    return np.minimum(np.bincount((shingles >> np.uint64(57)).astype(np.int64), minlength=128), 255).astype(np.uint8)
+    """Bits: is the number of shingles in a part of the universe odd?  Sets differ in no fewer places than sketches.
+
+    There are as many parts as shingles, rounded up to a power of two, so that few differences cancel out.
+    """
+    parts = 1 << min(16, max(6, (len(shingles) - 1).bit_length()))
+    counts = np.bincount((shingles & np.uint64(parts - 1)).astype(np.int64), minlength=parts)
+    return np.packbits((counts & 1).astype(np.uint8), bitorder="little")
+
+
+def _folded(sketches: np.ndarray, width: int) -> np.ndarray:
+    """The sketches of as many bytes, over fewer and larger parts."""
+    while sketches.shape[-1] > width:
+        half = sketches.shape[-1] // 2
+        sketches = sketches[..., :half] ^ sketches[..., half:]
+    return sketches
 
 
 def _may_be_similar(n_a: np.ndarray, n_b: np.ndarray, sketch_a: np.ndarray, sketch_b: np.ndarray) -> np.ndarray:
     """False where sizes or sketches rule a link out."""
-    apart = np.abs(sketch_a.astype(np.int16) - sketch_b.astype(np.int16)).sum(axis=-1, dtype=np.int64)
+    width = min(sketch_a.shape[-1], sketch_b.shape[-1])
+    apart = np.bitwise_count(_folded(sketch_a, width) ^ _folded(sketch_b, width)).sum(axis=-1, dtype=np.int64)
     fits = SIMILAR * np.maximum(n_a, n_b) <= 100 * np.minimum(n_a, n_b)
     return fits & (apart * (100 + SIMILAR) <= (n_a + n_b) * (100 - SIMILAR))
 
 
+def _possible(n_a: np.ndarray, n_b: np.ndarray, sketches_a: list[bytes], sketches_b: list[bytes]) -> np.ndarray:
+    """``_may_be_similar`` for pairs whose sketches have different widths."""
+    out = np.zeros(len(n_a), dtype=bool)
+    fits = np.flatnonzero(SIMILAR * np.maximum(n_a, n_b) <= 100 * np.minimum(n_a, n_b))
+    widths = np.array([(len(sketches_a[k]), len(sketches_b[k])) for k in fits], dtype=np.int64).reshape(-1, 2)
+    for w in np.unique(widths, axis=0):
+        of_w = fits[(widths == w).all(axis=1)]
+        x, y = (np.frombuffer(b"".join(some[k] for k in of_w), np.uint8).reshape(len(of_w), -1) for some in (sketches_a, sketches_b))
+        out[of_w] = _may_be_similar(n_a[of_w], n_b[of_w], x, y)
+    return out
+
+
 def settle(pdf: pd.DataFrame) -> pd.DataFrame:
     """Links that join differently labelled members of a block: never more than it has labels.
 
     Sizes and sketches rule most pairs out at once; the rest is verified on full sets, until both labels are known to be one.
     """
-    pdf = pdf.drop_duplicates("node").sort_values(["n", "node"])
+    pdf = pdf.drop_duplicates("node")
+    pdf = pdf.assign(set=pdf["text"].map(shingle_set)).drop(columns="text")
+    pdf = pdf[pdf["set"].map(_class_name) == pdf["node"]].assign(n=pdf["set"].map(len)).sort_values(["n", "node"])
     nodes, n = pdf["node"].to_numpy(), pdf["n"].to_numpy()
+    if not len(nodes):
+        return pd.DataFrame([], columns=["a", "b"], dtype="int64")
     label = np.unique(pdf["label"].to_numpy(), return_inverse=True)[1]
-    sketches = np.frombuffer(b"".join(pdf["sketch"]), np.uint8).reshape(len(nodes), -1)
-    ids = np.unique(np.frombuffer(b"".join(pdf["shingles"]), np.uint64), return_inverse=True)[1]
+    # Larger sets have wider sketches, and a partner's is up to twice as wide: per width, those up to twice as wide are folded.
+    sketches = pdf["set"].map(sketch)
+    widths, folded = sketches.map(len).to_numpy(), {}
+    for w in np.unique(widths):
+        first, last = np.searchsorted(widths, w), np.searchsorted(widths, 2 * w, side="right")
+        folded[w] = first, np.stack([_folded(x, w) for x in sketches.iloc[first:last]])
+    ids = np.unique(np.concatenate(pdf["set"].to_list()), return_inverse=True)[1]
     starts = np.concatenate([[0], np.cumsum(n)])
     flags = np.zeros(int(ids.max()) + 1, dtype=bool)
     ends = np.searchsorted(n, 100 * n // SIMILAR, side="right")
@@ -276,7 +319,8 @@ def settle(pdf: pd.DataFrame) -> pd.DataFrame:
     for k in range(len(nodes)):
         others = np.arange(k + 1, ends[k])
         others = others[label[others] != label[k]]
-        others = others[_may_be_similar(n[others], n[k], sketches[others], sketches[k])]
+        first, of_width = folded[widths[k]]
+        others = others[_may_be_similar(n[others], n[k], of_width[others - first], of_width[k - first])]
         own = ids[starts[k]:starts[k + 1]]
         flags[own] = True
         while len(others):
@@ -297,10 +341,8 @@ def _sketched(pairs: DataFrame, classes: DataFrame) -> DataFrame:
 
     def make():
         def work(batch):
-            n = [batch.column(c).to_numpy() for c in ("n_a", "n_b")]
-            sketches = [np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(len(n[0]), -1)
-                        for c in ("sketch_a", "sketch_b")]
-            kept = pa.array(_may_be_similar(*n, *sketches))
+            kept = pa.array(_possible(*(batch.column(c).to_numpy() for c in ("n_a", "n_b")),
+                                      *(batch.column(c).to_pylist() for c in ("sketch_a", "sketch_b"))))
             return {"a": batch.column("a").filter(kept), "b": batch.column("b").filter(kept)}
 
         return work
@@ -308,16 +350,17 @@ def _sketched(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     return map_batches(rows.select("a", "b", "n_a", "n_b", "sketch_a", "sketch_b"), make, "a bigint, b bigint")
 
 
-def _open_members(members: DataFrame, labels: DataFrame) -> DataFrame:
-    """key, hub, node, label and size (members) of keys whose members carry different labels.  ``members``: key, hub, node."""
+def _open_members(members: DataFrame, pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    """key, hub, node, label and size (members) of keys whose members carry different labels.  ``members``: key, hub, node;
+    ``pairs``: their different (hub, node) as (a, b)."""
     plain = labels.withColumnRenamed("component", "label")
-    pairs = members.select("hub", "node").distinct()
-    named = (pairs.join(plain, "node", "left").withColumn("mine", F.coalesce("label", "node")).drop("label")
+    named = (pairs.toDF("hub", "node").join(plain, "node", "left").withColumn("mine", F.coalesce("label", "node")).drop("label")
              .join(plain.withColumnRenamed("node", "hub"), "hub", "left")
              .where(F.col("mine") != F.coalesce("label", "hub")).select("hub", "node"))
-    open_keys = members.join(named, ["hub", "node"]).select("key", "hub").distinct()
+    open_keys = stage(members.join(named, ["hub", "node"]).select("key", "hub").distinct(), "open-keys")
     rows = (members.join(open_keys.select("key"), "key", "left_semi").select("key", "hub", "node")
             .union(open_keys.select("key", "hub", F.col("hub").alias("node"))))
+    rows = stage(rows, "open-rows")
     # The same members often meet under many keys: one of these is enough.
     keys = (rows.groupBy("key")
             .agg(F.count(F.lit(1)).alias("size"), F.bit_xor(F.xxhash64("node")).alias("x"),
@@ -327,41 +370,32 @@ def _open_members(members: DataFrame, labels: DataFrame) -> DataFrame:
             .select("key", "hub", "node", F.coalesce("label", "node").alias("label"), "size"))
 
 
-def _rest(docs: DataFrame, members: DataFrame, labels: DataFrame, classes: DataFrame, places: dict[str, str]) -> DataFrame:
+def _rest(docs: DataFrame, members: DataFrame, pairs: DataFrame, labels: DataFrame, classes: DataFrame,
+          places: dict[str, str]) -> DataFrame:
     """Links that the stars may have missed between differently labelled members of a key.
 
     Members of a short key meet as pairs.  Those of long ones meet by hub, because near copies share a hub under most of their
-    keys, in blocks of bounded size that hold the sets.  Both are written one after the other, so that only one of them
-    has sets in shuffle files at a time.
+    keys, in blocks of bounded size that hold the texts.  Both are written one after the other, so that only one of them
+    has texts in shuffle files at a time.
     """
-    rows = stage(_open_members(members, labels), "open")
-    few = rows.where(f"size <= {FEW}").select("key", "node", "label")
-    pairs = (few.join(few.toDF("key", "other", "other_label"), "key").where("node < other AND label <> other_label")
-             .select(F.col("node").alias("a"), F.col("other").alias("b")).distinct())
-    close = stage(_sketched(pairs, classes), "close")
-
-    many = rows.where(f"size > {FEW}").select("hub", "node", "label").distinct()
-    many = stage(many.join(classes.select("node", "n", "sketch"), "node"), "many")
-    sets = stage(_sets(docs, _located(classes, close.select("a"), close.select("b"), many.select("node"))), "open-sets")
+    rows = stage(_open_members(members, pairs, labels).join(classes.select("node", "n", "row"), "node"), "open")
+    few = rows.where(f"size <= {FEW}").select("key", "node", "label", "n")
+    fits = f"{SIMILAR} * greatest(n, other_n) <= 100 * least(n, other_n)"
+    met = (few.join(few.toDF("key", "other", "other_label", "other_n"), "key").where(f"node < other AND label <> other_label AND {fits}")
+           .select(F.col("node").alias("a"), F.col("other").alias("b")).distinct())
+    short = write_once(_verified(docs, classes, stage(_sketched(met, classes), "close")), places["short"])
+
+    many = stage(rows.where(f"size > {FEW}").select("hub", "node", "label", "n", "row").distinct(), "many")
     parts = many.groupBy("hub").agg(F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK_MEMBERS), F.ceil(F.sum("n") / BLOCK_SHINGLES))
                                     .cast("int").alias("parts"))
     part = F.pmod(F.xxhash64("node", F.lit(7)), F.col("parts")).cast("int")
-    dealt = many.join(parts, "hub").select("hub", "node", "label", "n", "sketch", part.alias("p"),
+    dealt = many.join(parts, "hub").select("hub", "node", "label", "row", part.alias("p"),
                                            F.explode(F.expr("sequence(0, parts - 1)")).alias("q"))
-    dealt = (dealt.select("hub", "node", "label", "n", "sketch", F.least("p", "q").alias("i"), F.greatest("p", "q").alias("j"))
-             .join(sets, "node"))
-    short = write_once(_verified(close, sets), places["short"])
+    dealt = (_texts(docs, many).join(dealt, "row")
+             .select("hub", "node", "label", "text", F.least("p", "q").alias("i"), F.greatest("p", "q").alias("j")))
     return short.union(write_once(dealt.groupBy("hub", "i", "j").applyInPandas(settle, "a bigint, b bigint"), places["long"]))
 
 
-def _located(classes: DataFrame, *nodes: DataFrame) -> DataFrame:
-    """node and row of the given nodes, stored: Spark then knows their size before it decides whether whole texts must move."""
-    wanted = nodes[0].toDF("node")
-    for some in nodes[1:]:
-        wanted = wanted.union(some)
-    return stage(classes.select("node", "row").join(wanted.distinct(), "node"), "join-located")
-
-
 def join_documents(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles and component_id of every row of ``docs`` (doc_id, text)."""
     spark = docs.sparkSession
@@ -379,13 +413,12 @@ def join_documents(docs: DataFrame) -> DataFrame:
     classes = stage(signed.groupBy("node").agg(F.min("row").alias("row"), F.min("doc_id").alias("least"),
                                                F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch")), "join-classes")
     # Texts are read again for those sets only that sizes and sketches leave.
-    with job_folder(spark, "join-stars"):  # sets go once they are compared
+    with job_folder(spark, "join-stars"):
         close = stage(_sketched(pairs, classes), "join-close")
-        sets = stage(_sets(docs, _located(classes, close.select("a"), close.select("b"))), "join-sets")
-        links = write_once(_verified(close, sets), places["links"])
+        links = write_once(_verified(docs, classes, close), places["links"])
     labels = components(links)
     with job_folder(spark, "join-open"):
-        more = _rest(docs, members, labels, classes, places)
+        more = _rest(docs, members, pairs, labels, classes, places)
     named = components(links.union(more))
     leaders = (named.join(classes.select("node", "least"), "node").groupBy("component")
                .agg(F.min("least").alias("leader")))
