@@ -220,3 +220,54 @@ def test_rows_of_a_few_partitions_are_dealt_over_the_cores(spark, data, monkeypa
     monkeypatch.setattr(bt, "TASK_ROWS", 100, raising=False)
     binned = bt.bin_rows(data.coalesce(1), NAMES, "dealer_code", "churn_status", "w")
     assert len(binned.rows.inputFiles()) == min(5, spark.sparkContext.defaultParallelism)
+
+
+def test_sums_do_not_depend_on_how_rows_are_dealt(data, monkeypatch):
+    """Passes over rows in five tasks and in one give equal nodes to the last bit."""
+    monkeypatch.setattr(bt, "NODE_ROWS", 60)
+    monkeypatch.setattr(bt, "STORE_AFTER", 2)
+    models = []
+    for task_rows in (100, 1000):
+        monkeypatch.setattr(bt, "TASK_ROWS", task_rows)
+        binned = bt.bin_rows(data, NAMES, "dealer_code", "churn_status", "w")
+        models.append(bt.fit(binned, [bt.Spec({"n_estimators": 4, "max_depth": 4, "colsample": 0.8})])[0])
+    assert list(models[0].node_rows()) == list(models[1].node_rows())
+
+
+def test_cells_of_the_commonest_bins_are_filled_in():
+    rng = np.random.default_rng(3)
+    x = rng.integers(0, 32, (5000, 7), dtype=np.uint8) * (rng.random((5000, 7)) < 0.2)
+    x[:, 5], slot = 9, rng.integers(0, 3, 5000)
+    g, h = np.rint(rng.normal(size=5000) * 1024) / 1024, np.rint(rng.random(5000) * 1024 + 1) / 1024
+    plain, rare = bt._Sums(4, 7, False), bt._Sums(4, 7, True)  # one node has no rows
+    for part in (slice(0, 4500), slice(4500, 5000)):
+        plain.add(slot[part], x[part], g[part], h[part])
+        rare.add(slot[part], x[part], g[part], h[part])
+    assert (plain.result() == rare.result()).all()
+
+
+def test_bytes_of_a_single_row_of_some_columns():
+    x = np.arange(10, dtype=np.uint8).reshape(2, 5)
+    assert bt._binary(x[:1][:, [0, 2, 3]]).to_pylist() == [bytes([0, 2, 3])]
+
+
+def test_rows_that_a_tree_tests_alike_are_worked_out_once(monkeypatch):
+    rng = np.random.default_rng(8)
+    bins = rng.integers(0, 4, (400, 6), dtype=np.uint8)
+    g = bins[:, 0] * 1.0 - (bins[:, 1] > 1) * bins[:, 2] + rng.normal(size=400)
+    built = []
+    for seed, depth in ((0, 3), (1, 9)):  # the deeper one has more tests than a word has bits
+        rows = bt.grow(bins, g + seed * rng.normal(size=400) * 3, np.full(400, 0.25), np.arange(6),
+                       {**bt.DEFAULTS, "max_depth": depth, "min_child_weight": 0.0}, 0)
+        for row in rows:
+            row[2] = float(row[1])
+        built.append(bt._tree(rows))
+    model = bt.Booster(tuple("abcdef"), (*built, bt._tree([bt._leaf(0, 1.0, 1.0, bt.DEFAULTS)])))
+    x = np.r_[bins, bins[:300]].astype(float)
+    want = trees.contributions_of(trees.read_leaves(model), x)
+    seen, plain = [], trees.contributions_of
+    monkeypatch.setattr(trees, "contributions_of", lambda leaves, some: seen.append(len(some)) or plain(leaves, some))
+    assert trees.contributions_by_tree(trees.parts(model), x) == pytest.approx(want, abs=1e-12)
+    assert len(seen) == 2 and max(seen) <= 400
+    x[0, 0], x[1, 1], x[2, 2] = np.nan, np.inf, -np.inf
+    assert trees.contributions_by_tree(trees.parts(model), x) == pytest.approx(plain(trees.read_leaves(model), x), abs=1e-12)

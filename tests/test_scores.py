@@ -128,3 +128,18 @@ def test_run_stamp_crosses_midnight(spark):
     df = spark.sql("select timestamp'2024-05-31 18:29:00' a, timestamp'2024-05-31 18:30:00' b")
     got = df.select(sc.run_stamp(F.col("a"), "Asia/Kolkata"), sc.run_stamp(F.col("b"), "Asia/Kolkata")).first()
     assert [str(v) for v in got] == ["2024-05-31", "2024-06-01"]
+
+
+def test_top_features_are_those_of_a_full_sort(spark):
+    """Also where zeros, unknown values or values that are no numbers are among the first."""
+    nan = float("nan")
+    rows = {"many": [0.5, -3.0, 0.0, 2.0, -0.5, 0.0], "few": [0.0, 0.0, -1.0, 0.0, -0.0, 0.0],
+            "none": [0.0] * 6, "odd": [nan, None, 0.0, 1.0, nan, nan], "nans": [nan, nan, nan, nan, 0.0, 0.0]}
+    names = list("fedcba")
+    table = [(k, [(f, 1.0, c) for f, c in zip(names, v)]) for k, v in rows.items()]
+    schema = "dealer_code string, contributions array<struct<feature string, value double, contribution double>>"
+    got = at.explanations(spark.createDataFrame(table, schema), Settings(top_features=3)).select(
+        "dealer_code", F.map_keys("top_features").alias("top")).collect()
+    rank = lambda c: (-2.0, 0.0) if c is None else (1.0, 0.0) if c != c else (0.0, -abs(c))
+    want = {k: [f for _, f in sorted((rank(c), f) for f, c in zip(names, v))][:3] for k, v in rows.items()}
+    assert {r["dealer_code"]: r["top"] for r in got} == want
