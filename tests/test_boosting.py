@@ -271,3 +271,11 @@ def test_rows_that_a_tree_tests_alike_are_worked_out_once(monkeypatch):
     assert len(seen) == 2 and max(seen) <= 400
     x[0, 0], x[1, 1], x[2, 2] = np.nan, np.inf, -np.inf
     assert trees.contributions_by_tree(trees.parts(model), x) == pytest.approx(plain(trees.read_leaves(model), x), abs=1e-12)
+
+
+def test_bounds_of_bins_do_not_depend_on_the_blocks_of_features(data, monkeypatch):
+    want = bt.find_cuts(data.coalesce(1), NAMES)
+    for blocks in (1, 2, 3):  # the last one may have room for more features
+        monkeypatch.setattr(bt, "CUT_BLOCKS", blocks)
+        assert [c.tolist() for c in bt.find_cuts(data.coalesce(1), NAMES)] == [c.tolist() for c in want]
+    assert bt.find_cuts(data, []) == () and all(len(c) == 0 for c in bt.find_cuts(data.where("false"), NAMES))
